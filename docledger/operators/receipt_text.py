@@ -160,15 +160,17 @@ def amount_lines(lines: Column) -> Column:
     return F.transform(lines, read)
 
 
+def _first_amount(amounts: Column, pattern: str) -> Column:
+    return _first(F.filter(amounts, lambda x: x["num"].isNotNull() & x["low"].rlike(pattern)))["num"]
+
+
 def receipt_totals(df: DataFrame, lines: str = "lines") -> DataFrame:
     """Add the seven stated amounts: for each, the first line with its keyword *and* a number."""
     amounts = F.col("_amounts")
     tax_lines = F.col("_tax_lines")
     df = df.withColumn("_amounts", amount_lines(F.col(lines)))
     for name, pattern in AMOUNT_LINES.items():
-        df = df.withColumn(
-            name, _first(F.filter(amounts, lambda x, p=pattern: x["num"].isNotNull() & x["low"].rlike(p)))["num"]
-        )
+        df = df.withColumn(name, _first_amount(amounts, pattern))
     df = df.withColumn(
         "_tax_lines", F.filter(amounts, lambda x: x["low"].contains("tax") & ~x["low"].rlike(NOT_TAX))
     )
@@ -264,6 +266,23 @@ def receipt_items(text: Column) -> Column:
     return F.filter(found, lambda x: x.isNotNull() & ~is_total_named(x["item"]))
 
 
+def name_lookback(df: DataFrame, text: str = "text") -> DataFrame:
+    """Each line with the nearest usable name on the two lines above it, within the document's row."""
+
+    def read(line: Column) -> Column:
+        tidy = normalize_line(line)
+        skipped = (tidy == "") | is_excluded_line(tidy) | tidy.contains("@")
+        return F.struct(tidy.alias("line"), F.when(~skipped, name_like(tidy)).alias("usable"))
+
+    rows = F.col("_rows")
+    above = lambda i, n: F.get(rows, i - n)["usable"]
+    kept = [c for c in df.columns if c != text]
+    found = F.transform(
+        rows, lambda row, i: F.struct(i.alias("line_no"), row["line"].alias("line"), F.coalesce(above(i, 1), above(i, 2)).alias("name"))
+    )
+    return df.withColumn("_rows", F.transform(text_lines(F.col(text)), read)).select(*kept, F.inline(found))
+
+
 def explode_items(df: DataFrame, items: str = "items") -> DataFrame:
     """One row per extracted item, in line order."""
     kept = [c for c in df.columns if c != items]
