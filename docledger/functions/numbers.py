@@ -13,7 +13,7 @@ MONEY = "decimal(18,2)"
 PERCENT = "decimal(9,4)"
 
 # The number grammars of the extraction rules.
-FLOAT_TEXT = r"^[+-]?(\d(_?\d)*(\.(\d(_?\d)*)?)?|\.\d(_?\d)*)([eE][+-]?\d(_?\d)*)?$"
+FLOAT_TEXT = r"(?U)^\s*([+-]?(?:\d(?:_?\d)*(?:\.(?:\d(?:_?\d)*)?)?|\.\d(?:_?\d)*)(?:[eE][+-]?\d(?:_?\d)*)?)\s*$"
 NUMBER_ANY = r"[+-]?(?:\d{1,3}(?:[.,]\d{3})*(?:[.,]\d{2})|\d+(?:[.,]\d{2})|\d+)"
 MONEY_TOKEN = r"\$?\d{1,3}(?:,\d{3})*(?:\.\d{2})"
 PLAIN_NUMBER = r"\b\d+(?:\.\d+)?\b"
@@ -26,27 +26,26 @@ def exact(value: float) -> Column:
     return F.lit(Decimal(str(value)))
 
 
+# The parsers below name their input only once: inside a lambda nothing else keeps it from being worked out again.
+
+
 def to_number_or_null(c: Column) -> Column:
     """Decimal or scientific text as double, anything else null (never NaN or infinity)."""
-    t = strip(c.cast("string"))
-    return F.when(t.rlike(FLOAT_TEXT), F.replace(t, F.lit("_"), F.lit("")).try_cast("double"))
+    return F.translate(F.regexp_extract(c.cast("string"), FLOAT_TEXT, 1), "_", "").try_cast("double")
 
 
 def money_invoice(c: Column) -> Column:
     """Keep digits, separators and minus; with both separators commas go, a lone comma is the decimal point."""
     t = F.regexp_replace(c.cast("string"), r"[^\d,.\-]", "")
-    return to_number_or_null(
-        F.when(t.contains(",") & t.contains("."), F.translate(t, ",", "")).otherwise(F.translate(t, ",", "."))
-    )
+    return to_number_or_null(F.when(t.contains("."), F.translate(t, ",", "")).otherwise(F.translate(t, ",", ".")))
+
+
+# All dots if the last separator is a comma, all commas if it is a dot.
+GROUPING = r"\.(?=.*,[^.]*$)|,(?=.*\.[^,]*$)"
 
 
 def _later_separator_is_decimal(t: Column) -> Column:
-    both = t.contains(",") & t.contains(".")
-    return to_number_or_null(
-        F.when(both & t.rlike(r",[^.]*$"), F.translate(t, ",.", "."))
-        .when(both, F.translate(t, ",", ""))
-        .otherwise(F.translate(t, ",", "."))
-    )
+    return to_number_or_null(F.translate(F.regexp_replace(t, GROUPING, ""), ",", "."))
 
 
 def money_ocr(c: Column) -> Column:

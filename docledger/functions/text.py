@@ -11,18 +11,23 @@ from pyspark.sql import functions as F
 # Fixed value: every character sequence that ends a line.
 LINE_BREAK = r"\r\n|[\n\x0B\f\r\x1C-\x1E\x85\u2028\u2029]"
 
-# Fixed value: Unicode whitespace, incl. the four ASCII separators.
+# Unicode whitespace as a pattern and as the characters it stands for.
 WS = r"[\s\x1C-\x1F]"
+WS_CHARS = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(c: Column) -> Column:
     """Remove leading and trailing Unicode whitespace."""
-    return F.regexp_replace(c, rf"(?U)^{WS}+|{WS}+\z", "")
+    return F.btrim(c, F.lit(WS_CHARS))
 
 
 def collapse(c: Column, at_least: int = 1) -> Column:
-    """Turn every whitespace run of ``at_least`` characters into one blank."""
-    return F.regexp_replace(c, rf"(?U){WS}{{{at_least},}}", " ")
+    """Turn every whitespace run of ``at_least`` (1 or 2) characters into one blank."""
+    single = r"|[\s\x1C-\x1F&&[^ ]]" if at_least == 1 else ""
+    return F.regexp_replace(c, rf"(?U){WS}{{2,}}{single}", " ")
 
 
 def blank_to_null(c: Column) -> Column:

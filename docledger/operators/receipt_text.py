@@ -46,6 +46,7 @@ AMOUNT_LINES = {
     "tendered_meta": r"(?U)\b(?:cash|debit|credit|card|visa|mastercard)\b",
     "change_due_meta": r"(?U)change\s*due|\bchange\b",
 }
+AMOUNT_HINT = r"(?i)tot|tax|discount|change|cash|debit|credit|card|visa"
 NOT_TAX = r"(?U)non\s*tax|taxable"
 
 # Fixed value: an item line that ends in a price.
@@ -62,6 +63,12 @@ def _last(array: Column) -> Column:
     return F.get(array, F.size(array) - 1)
 
 
+def _over_all(rows: Column, fn) -> Column:
+    """``fn(rows, row, i)`` for each row. A lambda variable over a one-element array stands for all rows, so that they
+    are worked out once and not again for each row."""
+    return F.flatten(F.transform(F.array(rows), lambda all_: F.transform(all_, lambda row, i: fn(all_, row, i))))
+
+
 def receipt_merchant(text: Column, lines: Column) -> Column:
     """A known brand, else the first usable of the first ten lines."""
 
@@ -147,17 +154,20 @@ def receipt_items_sold(lines: Column) -> Column:
 
 
 def amount_lines(lines: Column) -> Column:
-    """Lines that hold a readable number: lower-cased text, first number, last-but-free percent."""
+    """Lines that may state an amount: lower-cased text, first number, first percent.
 
-    def read(line: Column) -> Column:
-        tidy = fix_split_decimal(normalize_line(line))
-        return F.struct(
-            F.lower(tidy).alias("low"),
-            money_ocr(extract(tidy, rf"({NUMBER_ANY})")).alias("num"),
-            money_ocr(extract(tidy, f"(?U){PERCENT_TOKEN}")).alias("pct"),
-        )
-
-    return F.transform(lines, read)
+    Built in stages, each naming the one before once, and only for lines with a digit and part of a keyword.
+    """
+    likely = F.filter(lines, lambda x: x.rlike(AMOUNT_HINT) & x.rlike("[0-9]"))
+    tidy = F.transform(likely, lambda x: fix_split_decimal(normalize_line(x)))
+    return F.transform(
+        tidy,
+        lambda x: F.struct(
+            F.lower(x).alias("low"),
+            money_ocr(F.regexp_extract(x, NUMBER_ANY, 0)).alias("num"),
+            money_ocr(F.regexp_extract(x, PERCENT_TOKEN, 1)).alias("pct"),
+        ),
+    )
 
 
 def _first_amount(amounts: Column, pattern: str) -> Column:
@@ -203,17 +213,31 @@ def receipt_items(text: Column) -> Column:
     own valid name, with which it fits (A). So it is enough to look at one line before.
     """
 
-    def read(line: Column) -> Column:
-        tidy = normalize_line(line)
+    # Stages, each of which names the one before it once or by a lambda variable.
+    def split_up(line: Column) -> Column:
+        at = line.contains("@")
+        return F.struct(
+            line.alias("line"),
+            ((line == "") | is_excluded_line(line)).alias("skipped"),
+            at.alias("at"),
+            F.when(at, F.regexp_extract_all(line, F.lit(f"({PRICE_DECIMAL})"), F.lit(1))).alias("nums"),
+            F.regexp_extract(line, END_PRICE, 1).alias("priced_name"),
+            F.regexp_extract(line, END_PRICE, 2).alias("price"),
+        )
+
+    def read(rows: Column, row: Column, i: Column) -> Column:
+        near = row["at"] | F.get(rows, i + 1)["at"] | F.get(rows, i + 2)["at"]
         return F.struct(
-            tidy.alias("line"),
-            ((tidy == "") | is_excluded_line(tidy)).alias("skipped"),
-            tidy.contains("@").alias("at"),
-            F.transform(F.regexp_extract_all(tidy, F.lit(f"({PRICE_DECIMAL})"), F.lit(1)), money_ocr).alias("nums"),
-            name_like(tidy).alias("name"),
+            row["skipped"].alias("skipped"),
+            row["at"].alias("at"),
+            F.transform(row["nums"], money_ocr).alias("nums"),
+            F.when(near & ~row["skipped"], item_name(row["line"])).alias("name"),
+            F.when(row["price"] != "", item_name(row["priced_name"])).alias("priced_name"),
+            money_ocr(row["price"]).alias("price"),
         )
 
-    info = F.transform(text_lines(text), read)
+    tidy = F.transform(text_lines(text), normalize_line)
+    info = _over_all(F.transform(tidy, split_up), read)
 
     def by_at(name: Column, nums: Column, i: Column) -> Column:
         qty, unit = F.get(nums, F.lit(0)), F.get(nums, F.lit(1))
@@ -241,11 +265,11 @@ def receipt_items(text: Column) -> Column:
 
     def item(rows: Column, row: Column, i: Column) -> Column:
         before, before2, after = F.get(rows, i - 1), F.get(rows, i - 2), F.get(rows, i + 1)
-        usable = lambda r: F.when(~r["skipped"] & ~r["at"], r["name"])
-        name_a = F.coalesce(row["name"], usable(before), usable(before2))
+        long_enough = lambda r: F.when(F.length(r["name"]) >= 3, r["name"])
+        usable = lambda r: F.when(~r["skipped"] & ~r["at"], long_enough(r))
+        name_a = F.coalesce(long_enough(row), usable(before), usable(before2))
         fits_a = row["at"] & (F.size(row["nums"]) >= 2) & is_valid_name(name_a)
-        name_c = item_name(F.regexp_extract(row["line"], END_PRICE, 1))
-        price = money_ocr(extract(row["line"], END_PRICE, 2))
+        name_c, price = row["priced_name"], row["price"]
         single = F.struct(
             i.alias("line_no"),
             name_c.alias("item"),
@@ -261,9 +285,7 @@ def receipt_items(text: Column) -> Column:
             .when(price.isNotNull() & is_valid_name(name_c), single)
         )
 
-    # `info` is bound once: a lambda variable over a one-element array stands for it in every line.
-    found = F.flatten(F.transform(F.array(info), lambda rows: F.transform(rows, lambda row, i: item(rows, row, i))))
-    return F.filter(found, lambda x: x.isNotNull() & ~is_total_named(x["item"]))
+    return F.filter(_over_all(info, item), lambda x: x.isNotNull() & ~is_total_named(x["item"]))
 
 
 def name_lookback(df: DataFrame, text: str = "text") -> DataFrame:
