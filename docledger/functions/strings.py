@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -120,10 +122,10 @@ def document_number_token(c: Column) -> Column:
 
 
 def detect_currency(c: Column) -> Column:
-    low = F.lower(c)
     found = F.lit(UNKNOWN)
     for code, sign, word in reversed(CURRENCIES):
-        found = F.when(low.contains(sign) | low.rlike(rf"(?U)\b{word}\b"), F.lit(code)).otherwise(found)
+        shown = c.rlike(rf"(?iU){re.escape(sign)}|\b{word}\b")
+        found = F.when(shown, F.lit(code)).otherwise(found)
     return found
 
 

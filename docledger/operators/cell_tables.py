@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docledger.functions.numbers import MONEY_TOKEN, PLAIN_NUMBER, money_invoice, to_number_or_null
-from docledger.functions.predicates import is_meta_row, is_noise_item, is_summary_row
+from docledger.functions.predicates import contains_any, is_meta_row, is_noise_item, is_summary_row
 from docledger.functions.text import collapse, strip
+from docledger.operators.lineage import write_once
 from docledger.operators.positions import bucket_of, consumed, number_rows
 
 TABLE = ["doc_id", "table_no"]
@@ -47,13 +48,9 @@ def table_rows(cells: DataFrame) -> DataFrame:
 
 def header_score(text: Column) -> Column:
     """In how many of the five word groups the text has a hit."""
-    low = F.lower(text)
     score = F.lit(0)
     for words in HEADER_WORDS.values():
-        hit = F.lit(False)
-        for word in words:
-            hit = hit | low.contains(word)
-        score = score + hit.cast("int")
+        score = score + contains_any(text, words).cast("int")
     return score
 
 
@@ -64,25 +61,28 @@ def detect_header_row(rows: DataFrame) -> DataFrame:
     a heading. The winner's cells travel with its score through the aggregate, so rows are read only once.
     """
     cells, next_cells = F.col("cells"), F.col("next_cells")
-    text, following = row_text(cells), row_text(next_cells)
-    low, low_next = F.lower(text), F.lower(following)
-    single = header_score(text)
-    double = F.when(F.col("has_next"), header_score(F.concat_ws(" ", text, following)))
-    two = F.coalesce(double > single, F.lit(False))
-    heading = F.col("has_next") & (
-        (low.contains("item") & low.contains("description")) | low.contains("item name")
+    text, both = F.col("_text"), F.col("_both")
+    # Texts and scores are columns of their own, so that no branch works them out again.
+    scored = (
+        rows.withColumn("_text", row_text(cells))
+        .withColumn("_both", F.when(F.col("has_next"), F.concat_ws(" ", "_text", row_text(next_cells))))
+        .withColumn("_single", header_score(text))
+        .withColumn("_double", F.when(F.col("has_next"), header_score(both)))
+        .withColumn("_two", F.coalesce(F.col("_double") > F.col("_single"), F.lit(False)))
     )
-    below = F.lit(False)
-    for word in ("price", "rate", "qty", "quantity"):
-        below = below | low_next.contains(word)
+    item_and_description = contains_any(text, ("item",)) & contains_any(text, ("description",))
+    heading = F.col("has_next") & (item_and_description | contains_any(text, ("item name",)))
+    below = contains_any(row_text(next_cells), ("price", "rate", "qty", "quantity"))
     payload = [cells, next_cells]
-    scored = F.struct(F.greatest(single, double).alias("score"), (-F.col("pos")).alias("neg"), two.alias("two"), *payload)
-    fallback = F.struct(F.col("pos").alias("pos"), below.alias("two"), *payload)
+    by_score = F.struct(
+        F.greatest("_single", "_double").alias("score"), (-F.col("pos")).alias("neg"), F.col("_two").alias("two"), *payload
+    )
+    by_words = F.struct(F.col("pos").alias("pos"), below.alias("two"), *payload)
     best = (
-        rows.select(
+        scored.select(
             *PART,
-            F.when(F.col("pos") <= SCAN_ROWS, scored).alias("_scored"),
-            F.when(heading, fallback).alias("_fallback"),
+            F.when(F.col("pos") <= SCAN_ROWS, by_score).alias("_scored"),
+            F.when(heading, by_words).alias("_fallback"),
         )
         .groupBy(*TABLE)
         .agg(F.max("_scored").alias("b"), F.min("_fallback").alias("f"), F.max("_bucket").alias("last_bucket"))
@@ -116,6 +116,7 @@ def apply_header(rows: DataFrame) -> DataFrame:
         *TABLE,
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("last_bucket"))).alias("_bucket"),
         (F.col("header_pos") + F.col("two_rows").cast("int")).alias("_last_header_pos"),
+        "last_bucket",
         "header",
     )
     return rows.join(headers, PART).where(F.col("pos") > F.col("_last_header_pos")).drop("_last_header_pos")
@@ -133,10 +134,15 @@ def map_columns(df: DataFrame) -> DataFrame:
 
 def header_table_to_items(rows: DataFrame) -> DataFrame:
     """Typed items of the tables with a header; noise dropped, missing totals filled."""
+    return _header_items(rows).drop("last_bucket")
+
+
+def _header_items(rows: DataFrame) -> DataFrame:
     mapped = map_columns(apply_header(rows))
     cell = lambda target: F.get(F.col("cells"), F.col(f"{target}_at"))
     items = mapped.select(
         *PART,
+        "last_bucket",
         "pos",
         F.coalesce(strip(cell("item")), F.lit("")).alias("item"),
         F.coalesce(strip(cell("description")), F.lit("")).alias("description"),
@@ -154,21 +160,17 @@ def _clean_items(items: DataFrame) -> DataFrame:
     )
 
 
-def token_spans(text: Column, pattern: str) -> Column:
-    """All matches with their start and end offsets."""
-    tokens = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-    between = F.split(text, pattern, -1)
+def token_spans(tokens: Column, between: Column) -> Column:
+    """Matches with their start and end offsets, from the matches and the texts between them."""
 
     def total(array: Column, n: Column) -> Column:
         return F.aggregate(F.slice(array, F.lit(1), n), F.lit(0), lambda acc, x: acc + F.length(x))
 
+    starts = F.transform(
+        tokens, lambda tok, k: F.struct(tok.alias("tok"), (total(between, k + 1) + total(tokens, k)).alias("s"))
+    )
     return F.transform(
-        tokens,
-        lambda tok, k: F.struct(
-            tok.alias("tok"),
-            (total(between, k + 1) + total(tokens, k)).alias("s"),
-            (total(between, k + 1) + total(tokens, k + 1)).alias("e"),
-        ),
+        starts, lambda x: F.struct(x["tok"].alias("tok"), x["s"].alias("s"), (x["s"] + F.length(x["tok"])).alias("e"))
     )
 
 
@@ -176,28 +178,34 @@ def same_line_numbers(df: DataFrame, text: str) -> DataFrame:
     """Add ``unit_price``, ``quantity`` and ``line_total`` as they stand in one row's text.
 
     First money token, last money token if there are two, and a plain number outside of money: between the two,
-    else right of the first, else any.
+    else right of the first, else any. Matches and the texts between them are columns, worked out once a row.
     """
     t = F.col(text)
     money, nums = F.col("_money"), F.col("_nums")
     first, last = F.get(money, F.lit(0)), F.get(money, F.size(money) - 1)
     two = F.size(money) >= 2
-    empty = F.array().cast("array<struct<tok:string,s:int,e:int>>")
+    empty = F.array().cast("array<string>")
     has_money = t.rlike(MONEY_TOKEN)
+    for name, pattern in (("_money", MONEY_TOKEN), ("_nums", PLAIN_NUMBER)):
+        matches = F.regexp_extract_all(t, F.lit(f"({pattern})"), F.lit(1))
+        df = df.withColumn(f"{name}_tokens", F.when(has_money, matches).otherwise(empty)).withColumn(
+            f"{name}_between", F.when(has_money, F.split(t, pattern, -1)).otherwise(empty)
+        )
     inside = lambda n: F.exists(money, lambda m: (n["s"] >= m["s"]) & (n["e"] <= m["e"]))
     between = F.filter(nums, lambda n: (n["s"] >= first["e"]) & (n["e"] <= last["s"]))
     right = F.filter(nums, lambda n: n["s"] >= first["e"])
     chosen = F.coalesce(
         F.when(two, F.get(between, F.lit(0))["tok"]), F.get(right, F.lit(0))["tok"], F.get(nums, F.lit(0))["tok"]
     )
+    parts = [f"{name}_{part}" for name in ("_money", "_nums") for part in ("tokens", "between")]
     return (
-        df.withColumn("_money", F.when(has_money, token_spans(t, MONEY_TOKEN)).otherwise(empty))
-        .withColumn("_nums", F.when(has_money, token_spans(t, PLAIN_NUMBER)).otherwise(empty))
+        df.withColumn("_money", token_spans(F.col("_money_tokens"), F.col("_money_between")))
+        .withColumn("_nums", token_spans(F.col("_nums_tokens"), F.col("_nums_between")))
         .withColumn("_nums", F.filter(nums, lambda n: ~inside(n)))
         .withColumn("unit_price", money_invoice(first["tok"]))
         .withColumn("quantity", to_number_or_null(chosen))
         .withColumn("line_total", F.when(two, money_invoice(last["tok"])))
-        .drop("_money", "_nums")
+        .drop("_money", "_nums", *parts)
     )
 
 
@@ -205,7 +213,6 @@ def line_pairs_to_items(rows: DataFrame) -> DataFrame:
     """Items of tables without a usable header; numbers missing in a row come from the row below, which is then used up."""
     text = strip(row_text(F.col("cells")))
     following = strip(row_text(F.col("next_cells")))
-    low = F.lower(F.col("_text"))
     item = F.coalesce(strip(F.get("cells", F.lit(0))), F.lit(""))
     description = F.coalesce(strip(F.get("cells", F.lit(1))), F.lit(""))
     df = same_line_numbers(
@@ -216,7 +223,9 @@ def line_pairs_to_items(rows: DataFrame) -> DataFrame:
         .drop("cells", "next_cells"),
         "_text",
     )
-    skipped = is_meta_row(F.col("_text")) | (low.contains("item") & low.contains("description"))
+    skipped = is_meta_row(F.col("_text")) | (
+        contains_any(F.col("_text"), ("item",)) & contains_any(F.col("_text"), ("description",))
+    )
     for name in ("item", "description"):
         skipped = skipped | is_meta_row(F.col(name)) | is_summary_row(F.col(name))
     incomplete = F.col("quantity").isNull() | F.col("line_total").isNull()
@@ -263,17 +272,29 @@ def score_numeric(candidates: DataFrame) -> DataFrame:
 
 
 def union_candidates(rows: DataFrame) -> DataFrame:
-    """Both parses of every table, told apart by ``path``."""
-    by_header = header_table_to_items(rows).withColumn("path", F.lit("header"))
-    by_pairs = line_pairs_to_items(rows).withColumn("path", F.lit("pairs"))
-    return by_header.unionByName(by_pairs)
+    """Both parses, told apart by ``path``. The pairs parse is made only of tables whose header parse has no number.
+
+    The header parse has three consumers (that choice, the scores, the result), so it is written once.
+    """
+    by_header = write_once(_header_items(rows))
+    strong = (
+        by_header.groupBy(*TABLE)
+        .agg(F.max("last_bucket").alias("last_bucket"), F.max(numeric_cells()).alias("numeric_cells"))
+        .where(F.col("numeric_cells") > 0)
+        .select(*TABLE, F.explode(F.sequence(F.lit(0).cast("bigint"), "last_bucket")).alias("_bucket"))
+    )
+    by_pairs = line_pairs_to_items(rows.join(strong, PART, "left_anti"))
+    return (
+        by_header.drop("last_bucket")
+        .withColumn("path", F.lit("header"))
+        .unionByName(by_pairs.withColumn("path", F.lit("pairs")))
+    )
 
 
 def best_candidate(scores: DataFrame) -> DataFrame:
     """Best parse of a document: most number cells, then most rows, then first table.
 
-    The pairs parse only competes where the header parse of the same table found no number at all, and it has
-    to be strictly better.
+    Pairs have to be strictly better than the header parse of the same table.
     """
     is_header = F.col("path") == "header"
     pick = lambda cond, name: F.coalesce(F.max(F.when(cond, F.col(name))), F.lit(0))

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docledger.operators.lineage import write_once
+
 BUCKET_ROWS = 8192
 
 
@@ -32,7 +34,8 @@ def number_rows(
     """Add the dense 0-based position ``out`` of each row in its group.
 
     ``bucket`` has to rise with ``order``. ``look_ahead`` names a column whose value in the next row of the group
-    is added as ``next_<column>`` (null in the last row). The bucket stays in ``_bucket``.
+    is added as ``next_<column>`` (null in the last row). The bucket stays in ``_bucket``; ``_multi`` is true in groups
+    of several buckets and null in others.
     """
     part = [*keys, "_bucket"]
     inner = Window.partitionBy(*part).orderBy(*order)
@@ -45,13 +48,14 @@ def number_rows(
         local = local.withColumn("_next", F.lead(F.struct(F.col(look_ahead).alias("v"))).over(inner))
     outer = Window.partitionBy(*keys).orderBy("_bucket")
     before = F.sum("_rows").over(outer.rowsBetween(Window.unboundedPreceding, -1))
-    heads = local.where(F.col("_at") == 0)
-    if look_ahead:
-        heads = heads.select(
-            *part, before.alias("_before"), F.lead(F.struct(F.col(look_ahead).alias("v"))).over(outer).alias("_head")
-        ).where(F.col("_before").isNotNull() | F.col("_head").isNotNull())
-    else:
-        heads = heads.select(*part, before.alias("_before")).where(F.col("_before").isNotNull())
+    head = [F.lead(F.struct(F.col(look_ahead).alias("v"))).over(outer).alias("_head")] if look_ahead else []
+    heads = (
+        local.where(F.col("_at") == 0)
+        .select(*part, before.alias("_before"), F.lead("_bucket").over(outer).alias("_following"), *head)
+        .where(F.col("_before").isNotNull() | F.col("_following").isNotNull())
+        .withColumn("_multi", F.lit(True))
+        .drop("_following")
+    )
     joined = local.join(heads, part, "left").withColumn(
         out, (F.col("_at") + F.coalesce("_before", F.lit(0))).cast("bigint")
     )
@@ -70,18 +74,20 @@ def last_before(df: DataFrame, keys: Sequence[str], pos: str, when: Column, out:
     part = [*keys, "_bucket"]
     mark = F.when(when, F.col(pos))
     inner = Window.partitionBy(*part).orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
-    local = df.withColumn("_mark", mark).withColumn("_inner", F.max("_mark").over(inner))
     outer = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # The filter makes the join that set `_multi` an inner one: without large groups this side is found empty early.
     carried = (
-        local.groupBy(*part)
-        .agg(F.max("_mark").alias("_top"))
+        df.where(F.col("_multi"))
+        .groupBy(*part)
+        .agg(F.max(mark).alias("_top"))
         .select(*part, F.max("_top").over(outer).alias("_carry"))
         .where(F.col("_carry").isNotNull())
     )
     return (
-        local.join(carried, part, "left")
+        df.withColumn("_inner", F.max(mark).over(inner))
+        .join(carried, part, "left")
         .withColumn(out, F.coalesce("_inner", "_carry", F.lit(-1).cast("bigint")))
-        .drop("_mark", "_inner", "_carry")
+        .drop("_inner", "_carry")
     )
 
 
@@ -102,10 +108,7 @@ def ranked(df: DataFrame, order: Sequence[Column], out: str = "rank") -> DataFra
     A range-partitioned sort splits the rows, ties of the first column included when ``order`` ends in a unique key.
     The sorted rows are checkpointed, so that their partitions stay as they are; the offsets are one row a partition.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(_checkpoint_dir(df))
-    tagged = df.orderBy(*order).withColumn("_tag", F.monotonically_increasing_id()).checkpoint()
+    tagged = write_once(df.orderBy(*order).withColumn("_tag", F.monotonically_increasing_id()))
     part, at = F.shiftright("_tag", 33), F.col("_tag").bitwiseAND((1 << 33) - 1)
     before = F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
     offsets = (
@@ -119,13 +122,3 @@ def ranked(df: DataFrame, order: Sequence[Column], out: str = "rank") -> DataFra
         .withColumn(out, (F.col("_before") + at + 1).cast("bigint"))
         .drop("_part", "_before", "_tag")
     )
-
-
-def _checkpoint_dir(df: DataFrame) -> str:
-    """The cluster's shared folder; a temporary one only where none is named, as in tests."""
-    named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    import tempfile
-
-    return tempfile.mkdtemp(prefix="checkpoint-")
