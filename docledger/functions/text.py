@@ -9,11 +9,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: every character sequence that ends a line.
-LINE_BREAK = r"\r\n|[\n\x0B\f\r\x1C-\x1E\x85\u2028\u2029]"
+LINE_BREAK = r"\R|[\x1C-\x1E]"
 
-# Unicode whitespace as a character class and as the characters it stands for.
-WS_INNER = r"\t\n\x0B\f\r\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
-WS = f"[ {WS_INNER}]"
+# Unicode whitespace as a character class (under the U flag) and as the characters it stands for.
+WS = r"[\s\x1C-\x1F]"
 WS_CHARS = (
     " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
@@ -26,9 +25,8 @@ def strip(c: Column) -> Column:
 
 
 def collapse(c: Column, at_least: int = 1) -> Column:
-    """Turn every whitespace run of ``at_least`` (1 or 2) characters into one blank."""
-    single = f"|[{WS_INNER}]" if at_least == 1 else ""
-    return F.regexp_replace(c, f"{WS}{{2,}}{single}", " ")
+    """Turn every whitespace run of ``at_least`` characters into one blank."""
+    return F.regexp_replace(c, rf"(?U){WS}{{{at_least},}}", " ")
 
 
 def blank_to_null(c: Column) -> Column:

@@ -209,8 +209,8 @@ def table_cells(spark: SparkSession, sf: str) -> DataFrame:
     each = F.struct(no.cast("int").alias("row_no"), body.alias("cells"))
     rows = items.select(doc, F.lit(0).alias("table_no"), F.inline(F.concat(F.coalesce(first, F.array()), F.array(each))))
     empty = F.lit("")
-    sums = items.groupBy("document_id").agg(
-        F.max("line_no").alias("n"), F.sum("line_total").cast("decimal(18,2)").alias("line_total")
+    sums = line_items(spark, sf).groupBy("document_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("line_total").cast("decimal(18,2)").alias("line_total")
     )
     summary = sums.select(*row(F.col("n") + 1, F.array(F.lit("Subtotal"), empty, empty, empty, text("line_total"))))
     return rows.unionByName(summary)
