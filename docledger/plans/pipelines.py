@@ -183,9 +183,18 @@ def ingest_receipts(
     replace: bool = True,
     threshold: float = RECEIPT_THRESHOLD,
     top_n: int = TOP_N,
+    sources: DataFrame | None = None,
 ) -> dict:
-    """Receipts from OCR passes to tables, report sections and a summary."""
-    texts = receipt_texts(passes).withColumn("source_path", F.col("doc_id").cast("string"))
+    """Receipts from OCR passes to tables, report sections and a summary.
+
+    ``sources`` may name each document's file as ``(doc_id, source_path, file_hash)``, as :func:`scan_documents` lists
+    it; without it the document's id stands for its path.
+    """
+    texts = receipt_texts(passes)
+    if sources is None:
+        texts = texts.withColumn("source_path", F.col("doc_id").cast("string"))
+    else:
+        texts = texts.join(sources.select("doc_id", "source_path", "file_hash"), "doc_id", "left")
     texts = texts.withColumn("doc_id", F.col("doc_id").cast("string"))
     receipt_meta(texts, run_ts).write.parquet(f"{staging}/bronze")
     batch = receipt_batch(spark.read.parquet(f"{staging}/bronze"), run_ts)

@@ -79,12 +79,15 @@ def test_receipt_run(spark, tmp_path):
     cafe = "MOMI & TOY'S\nTOTAL 175, 000"
     rows = [(d, 0, "gray", p, f"psm{p}", t) for d, t in (("00", text), ("06", cafe)) for p in (4, 6)]
     passes = spark.createDataFrame(rows, "doc_id string, variant_no int, variant string, pass_no int, cfg string, text string")
-    run = pipelines.ingest_receipts(spark, passes, str(tmp_path / "v1"), STAMP)
+    sources = spark.createDataFrame([("00", "in/00.jpg", "abc")], "doc_id string, source_path string, file_hash string")
+    run = pipelines.ingest_receipts(spark, passes, str(tmp_path / "v1"), STAMP, sources=sources)
+    bronze = {r.doc_id: r for r in spark.read.parquet(str(tmp_path / "v1" / "bronze")).collect()}
+    assert (bronze["00"].file_hash, bronze["00"].ocr_input_variant, bronze["00"].items_detected) == ("abc", "gray", 2)
     found = {r.document_id: r for r in run["documents"].collect()}
     walmart = found["WALMART-00-20150126"]
     assert (walmart.party_name, walmart.document_number, walmart.currency) == ("End Customer", "Not Found", "USD")
     assert (walmart.items_count, walmart.sum_line_total, walmart.subtotal_meta) == (2, Decimal("5.68"), Decimal("5.11"))
-    assert walmart.extraction_flavor == "ocr_mp:gray:psm4"
+    assert (walmart.extraction_flavor, walmart.source_path) == ("ocr_mp:gray:psm4", "in/00.jpg")
     empty = found["MOMITOYS-06-NA"]
     assert (empty.items_count, empty.total_meta, empty.diff_sum_vs_total) == (0, Decimal("175.00"), Decimal("-175.00"))
     # No stated subtotal: the item sum, which is zero here.
