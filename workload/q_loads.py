@@ -74,7 +74,7 @@ def _gaps(spark, sf):
     """Documents with gaps in their stated amounts."""
     k = c("order_key")
     d = lambda name: c(name).cast("double")
-    return views.documents(spark, sf).select(
+    return views.documents(spark, sf, names=False).select(
         "document_id",
         "order_key",
         d("sum_line_total").alias("sum_line_total"),
@@ -233,14 +233,14 @@ KEPT = "SELECT document_id FROM fx_documents WHERE order_key % 5 <> 0"
 
 @query("SELECT document_id, item, line_total FROM fx_line_items WHERE order_key % 5 = 0")
 def fk_violations(spark, sf):
-    documents = views.documents(spark, sf).where(c("order_key") % 5 != 0)
+    documents = views.documents(spark, sf, names=False).where(c("order_key") % 5 != 0)
     return tables.fk_violations(views.line_items(spark, sf), documents).select("document_id", "item", "line_total")
 
 
 @query("""SELECT 'documents' AS name, count(*) AS n FROM fx_documents WHERE order_key % 5 <> 0
           UNION ALL SELECT 'items', count(*) FROM fx_line_items WHERE order_key % 5 <> 0""")
 def cascade_delete(spark, sf):
-    documents, items = views.documents(spark, sf), views.line_items(spark, sf)
+    documents, items = views.documents(spark, sf, names=False), views.line_items(spark, sf)
     kept = tables.cascade_delete(documents, items, documents.where(c("order_key") % 5 == 0))
     counts = [df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n")) for name, df in zip(("documents", "items"), kept)]
     return counts[0].unionByName(counts[1])
@@ -248,7 +248,7 @@ def cascade_delete(spark, sf):
 
 @query("SELECT document_id, item, line_total FROM fx_line_items WHERE order_key % 3 = 0")
 def key_membership(spark, sf):
-    receipts = views.documents(spark, sf).where(c("doc_type") == "receipt")
+    receipts = views.documents(spark, sf, names=False).where(c("doc_type") == "receipt")
     return tables.key_membership(views.line_items(spark, sf), receipts).select("document_id", "item", "line_total")
 
 
@@ -273,7 +273,7 @@ def _error():
 
 @query(f"SELECT document_id, coalesce({ERROR}, 'processed') AS status FROM fx_documents")
 def split_failures(spark, sf):
-    processed, failed = tables.split_failures(views.documents(spark, sf), _error())
+    processed, failed = tables.split_failures(views.documents(spark, sf, names=False), _error())
     return processed.select("document_id", F.lit("processed").alias("status")).unionByName(
         failed.select("document_id", c("error").alias("status"))
     )
@@ -282,7 +282,7 @@ def split_failures(spark, sf):
 @query(f"""SELECT count(*) FILTER (WHERE {ERROR} IS NULL) AS processed_count, count(*) FILTER (WHERE {ERROR} IS NOT NULL) AS failed_count,
            count(*) AS loaded_docs, (SELECT count(*) FROM fx_line_items) AS loaded_items, 'ok' AS status FROM fx_documents""")
 def ingest_summary(spark, sf):
-    documents = views.documents(spark, sf)
+    documents = views.documents(spark, sf, names=False)
     return tables.ingest_summary(documents.withColumn("error", _error()), documents, views.line_items(spark, sf))
 
 

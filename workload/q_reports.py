@@ -16,7 +16,7 @@ SELECT count(*) AS n_docs, CAST(coalesce(sum(sum_line_total), 0) AS {WIDE}) AS s
        count(*) FILTER (WHERE diff_sum_vs_subtotal IS NULL OR diff_sum_vs_subtotal <> 0) AS n_with_diff_subtotal
 FROM fx_documents""")
 def v_summary_overview(spark, sf):
-    return gold.summary_overview(views.documents(spark, sf))
+    return gold.summary_overview(views.documents(spark, sf, names=False))
 
 
 @query(f"""
@@ -75,7 +75,7 @@ SELECT count(*) AS total_documents, sum(CAST(doc_type = 'invoice' AS INT)) AS to
        CAST(coalesce(sum(sum_line_total) FILTER (WHERE doc_type = 'invoice'), 0) AS {WIDE}) AS invoices_total_value
 FROM fx_documents""")
 def invoice_overview(spark, sf):
-    return reports.invoice_overview(views.documents(spark, sf))
+    return reports.invoice_overview(views.documents(spark, sf, names=False))
 
 
 @query(f"""
@@ -96,14 +96,14 @@ def invoice_top_suppliers(spark, sf):
 SELECT item, count(*) AS lines, CAST(coalesce(sum(line_total), 0) AS {WIDE}) AS total_value
 FROM invoiced GROUP BY item ORDER BY total_value DESC, item LIMIT 5""", invoiced=INVOICE_LINES)
 def invoice_top_items_by_value(spark, sf):
-    return reports.invoice_top_items_by_value(views.documents(spark, sf), views.line_items(spark, sf))
+    return reports.invoice_top_items_by_value(views.documents(spark, sf, names=False), views.line_items(spark, sf))
 
 
 @query("""
 SELECT item, CAST(sum(coalesce(quantity, 1)) AS DECIMAL(28,3)) AS quantity
 FROM invoiced GROUP BY item ORDER BY 2 DESC, item LIMIT 5""", invoiced=INVOICE_LINES)
 def invoice_top_items_by_frequency(spark, sf):
-    return reports.invoice_top_items_by_frequency(views.documents(spark, sf), views.line_items(spark, sf))
+    return reports.invoice_top_items_by_frequency(views.documents(spark, sf, names=False), views.line_items(spark, sf))
 
 
 @query("""
@@ -118,7 +118,7 @@ SELECT count(*) AS docs, CAST(coalesce(sum(total_meta), 0) AS DECIMAL(18,2)) AS
        CAST(round(sum(total_meta) / count(total_meta), 2) AS DECIMAL(18,2)) AS avg_ticket
 FROM fx_documents WHERE doc_type = 'receipt'""")
 def receipt_overview(spark, sf):
-    return reports.receipt_overview(views.documents(spark, sf))
+    return reports.receipt_overview(views.documents(spark, sf, names=False))
 
 
 @query("""
@@ -132,14 +132,14 @@ def receipt_top_merchants(spark, sf):
 SELECT item, CAST(sum(line_total) AS DECIMAL(18,2)) AS total
 FROM lines GROUP BY item ORDER BY total DESC NULLS LAST, item LIMIT 5""", lines=RECEIPT_LINES)
 def receipt_top_items_by_value(spark, sf):
-    return reports.receipt_top_items_by_value(views.documents(spark, sf), views.line_items(spark, sf))
+    return reports.receipt_top_items_by_value(views.documents(spark, sf, names=False), views.line_items(spark, sf))
 
 
 @query("""
 SELECT item, CAST(sum(coalesce(quantity, 1)) AS DECIMAL(28,3)) AS qty
 FROM lines GROUP BY item ORDER BY qty DESC NULLS LAST, item LIMIT 5""", lines=RECEIPT_LINES)
 def receipt_top_items_by_frequency(spark, sf):
-    return reports.receipt_top_items_by_frequency(views.documents(spark, sf), views.line_items(spark, sf))
+    return reports.receipt_top_items_by_frequency(views.documents(spark, sf, names=False), views.line_items(spark, sf))
 
 
 @query("""
@@ -203,7 +203,7 @@ SELECT doc_type, count(*) AS n, CAST(sum(total_meta) AS DECIMAL(28,2)) AS total
 FROM fx_documents WHERE doc_type = 'receipt' GROUP BY doc_type""")
 def doc_type_filter(spark, sf):
     return (
-        reports.of_type(views.documents(spark, sf), "receipt")
+        reports.of_type(views.documents(spark, sf, names=False), "receipt")
         .groupBy("doc_type")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("total_meta").cast("decimal(28,2)").alias("total"))
     )
@@ -213,7 +213,7 @@ def doc_type_filter(spark, sf):
 SELECT d.doc_type, count(*) AS n, CAST(sum(l.line_total) AS {WIDE}) AS total
 FROM fx_documents d JOIN fx_line_items l ON l.document_id = d.document_id GROUP BY d.doc_type""")
 def documents_join_line_items(spark, sf):
-    docs, items = views.documents(spark, sf), views.line_items(spark, sf)
+    docs, items = views.documents(spark, sf, names=False), views.line_items(spark, sf)
     per_document = items.groupBy("document_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum("line_total").alias("total")
     )

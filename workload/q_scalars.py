@@ -198,7 +198,7 @@ def drop_total_named_items(spark, sf):
 
 @query("""SELECT document_id, diff_sum_vs_subtotal IS DISTINCT FROM 0 AS value FROM fx_documents""")
 def is_distinct_from(spark, sf):
-    return views.documents(spark, sf).select(
+    return views.documents(spark, sf, names=False).select(
         "document_id", fn.is_distinct_from(c("diff_sum_vs_subtotal"), 0).alias("value")
     )
 

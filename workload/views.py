@@ -56,8 +56,8 @@ def line_items(spark: SparkSession, sf: str, numbered: bool = False) -> DataFram
     )
 
 
-def ledger(spark: SparkSession, sf: str) -> DataFrame:
-    """One document per order; every third is a receipt."""
+def ledger(spark: SparkSession, sf: str, names: bool = True) -> DataFrame:
+    """One document per order; every third is a receipt. Without ``names`` both parties and their joins are left out."""
     key = F.col("l_orderkey")
     value = (F.col("l_quantity").cast("decimal(14,3)") * F.col("p_retailprice").cast("decimal(14,2)")).cast("decimal(14,2)")
     sums = (
@@ -67,24 +67,27 @@ def ledger(spark: SparkSession, sf: str) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.sum(F.when(key % 7 != 3, value).otherwise(F.lit(0).cast("decimal(14,2)"))).alias("v"),
-            F.min(F.struct("l_linenumber", "l_partkey", "l_suppkey"))["l_suppkey"].alias("sk"),
+            *([F.min(F.struct("l_linenumber", "l_partkey", "l_suppkey"))["l_suppkey"].alias("sk")] if names else []),
         )
     )
     zero = F.lit(0).cast("decimal(18,2)")
     k, v = F.col("o_orderkey"), F.col("sum_line_total")
     off = lambda by: (v + F.lit(by).cast("decimal(18,2)")).cast("decimal(18,2)")
+    orders = table(spark, sf, "orders").join(sums, F.col("l_orderkey") == k, "left")
+    parties = []
+    if names:
+        customer, supplier = table(spark, sf, "customer"), table(spark, sf, "supplier")
+        orders = orders.join(
+            customer.select("c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey"), "left"
+        ).join(supplier.select("s_suppkey", "s_name"), F.col("sk") == F.col("s_suppkey"), "left")
+        parties = [F.when(k % 3 != 0, F.col("c_name")).alias("party_name"), F.col("s_name").alias("supplier_name")]
     return (
-        table(spark, sf, "orders")
-        .join(table(spark, sf, "customer").select("c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey"), "left")
-        .join(sums, F.col("l_orderkey") == k, "left")
-        .join(table(spark, sf, "supplier").select("s_suppkey", "s_name"), F.col("sk") == F.col("s_suppkey"), "left")
-        .withColumn("sum_line_total", F.coalesce(F.col("v").cast("decimal(18,2)"), zero))
+        orders.withColumn("sum_line_total", F.coalesce(F.col("v").cast("decimal(18,2)"), zero))
         .select(
             F.concat(F.lit("ORD-"), k).alias("document_id"),
             F.when(k % 3 == 0, "receipt").otherwise("invoice").alias("doc_type"),
             F.when(k % 11 != 0, k.cast("string")).alias("document_number"),
-            F.when(k % 3 != 0, F.col("c_name")).alias("party_name"),
-            F.col("s_name").alias("supplier_name"),
+            *parties,
             F.lit("USD").alias("currency"),
             F.coalesce("n", F.lit(0)).cast("int").alias("items_count"),
             "sum_line_total",
@@ -102,11 +105,11 @@ def ledger(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def documents(spark: SparkSession, sf: str) -> DataFrame:
+def documents(spark: SparkSession, sf: str, names: bool = True) -> DataFrame:
     """The documents table: the ledger with totals and differences."""
     money = lambda c: c.cast("decimal(18,2)")
     with_tax = F.expr("cast(subtotal_meta * (100 + tax_meta_pct) * 0.01 as decimal(18,2))")
-    df = ledger(spark, sf).withColumn("total_meta", with_tax)
+    df = ledger(spark, sf, names).withColumn("total_meta", with_tax)
     v = F.col("sum_line_total")
     return df.withColumn("diff_sum_vs_subtotal", money(v - F.col("subtotal_meta"))).withColumn(
         "diff_sum_vs_total", money(v - F.col("total_meta"))
