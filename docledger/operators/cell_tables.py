@@ -274,7 +274,7 @@ def score_numeric(candidates: DataFrame) -> DataFrame:
 def union_candidates(rows: DataFrame) -> DataFrame:
     """Both parses, told apart by ``path``. The pairs parse is made only of tables whose header parse has no number.
 
-    The header parse has three consumers (that choice, the scores, the result), so it is written once.
+    Both parses have several consumers (that choice, the scores, the result), so each is written once.
     """
     by_header = write_once(_header_items(rows))
     strong = (
@@ -283,7 +283,7 @@ def union_candidates(rows: DataFrame) -> DataFrame:
         .where(F.col("numeric_cells") > 0)
         .select(*TABLE, F.explode(F.sequence(F.lit(0).cast("bigint"), "last_bucket")).alias("_bucket"))
     )
-    by_pairs = line_pairs_to_items(rows.join(strong, PART, "left_anti"))
+    by_pairs = write_once(line_pairs_to_items(rows.join(strong, PART, "left_anti")))
     return (
         by_header.drop("last_bucket")
         .withColumn("path", F.lit("header"))
