@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docledger.llm import mixing
+from docledger.llm import byte_repeats, mixing, word_repeats
 from docledger.llm.store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,3 +23,21 @@ def query(fn):
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), mixing.quality_weights(table(spark, sf_dir, "labels")))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _removed():
+    return F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+
+
+@query
+def op5_column_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = byte_repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_bytes", _removed().alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+@query
+def op9_suffix_automaton_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = word_repeats.remove_passages(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", _removed().alias("n_removed"), F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
