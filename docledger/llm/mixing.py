@@ -26,7 +26,7 @@ WORD = r"[^\x20\x09-\x0D]++"
 SOURCE_WEIGHTS = (3.0, 1.0, 2.0)
 SHARE, MOST_EPOCHS = 1.5, 2.0
 GOOD, BAD, UNLABELLED = 2.0, 0.5, 1.0
-BUCKETS = 4096
+BUCKETS, SALTS = 4096, 64
 
 
 def quality_weights(labels: DataFrame) -> DataFrame:
@@ -99,7 +99,8 @@ def mix(
         .select("s", F.col("slice").alias("end"), "before")
     )
     plan = targets.join(ends, F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumnRenamed("source", "t")
-    placed = sized.join(plan, F.col("source").eqNullSafe(F.col("t"))).drop("t")
+    plan = plan.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))  # a large source meets it in many tasks
+    placed = sized.join(plan, F.col("source").eqNullSafe(F.col("t")) & (F.col("slice") % SALTS == F.col("salt"))).drop("t", "salt")
 
     in_order = Window.partitionBy("source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     at_end = placed.where(F.col("slice") == F.col("end"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docledger.llm import byte_repeats, mixing, word_repeats
+from docledger.llm import byte_repeats, mixing, toxicity, word_repeats
 from docledger.llm.store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,21 @@ def query(fn):
     return fn
 
 
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    net = toxicity.train(docs, labels)
+    scored = toxicity.score(docs.select("doc_id", "text", "lang"), net)
+    return scored.select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        "threshold",
+        "toxic",
+    )
+
+
 @query
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), mixing.quality_weights(table(spark, sf_dir, "labels")))
