@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docledger.llm import byte_repeats, mixing, toxicity, word_repeats
+from docledger.llm import byte_repeats, mixing, order_minhash, toxicity, word_repeats
 from docledger.llm.store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,9 @@ def op5_column_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_suffix_automaton_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = word_repeats.remove_passages(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", _removed().alias("n_removed"), F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes, _ = order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "class_id", "class_hash", "kept")
