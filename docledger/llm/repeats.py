@@ -187,7 +187,8 @@ def repeated_ranges(
     types = f"k {keyed.schema['k'].dataType.simpleString()}, anchor long, c1 long, c2 long, n int, lead int, at int"
     doc_type = docs.schema["doc_id"].dataType.simpleString()
     runs = settled(keyed.mapInArrow(find_runs(windows), types))
-    again = runs.groupBy("anchor").count().where("count > 1").select("anchor")
+    # Small sides of joins on hot keys are settled first: then Spark can split the large side's partitions.
+    again = settled(runs.groupBy("anchor").count().where("count > 1").select("anchor"))
     runs = settled(runs.join(again, "anchor", "left_semi"))
     contents = settled(
         runs.groupBy(*CONTENT).agg(
@@ -197,7 +198,7 @@ def repeated_ranges(
             F.min(F.struct("k", "at")).alias("sample"),
         )
     )
-    variants = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("variants")).where("variants > 1")
+    variants = settled(contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("variants")).where("variants > 1"))
     wanted = F.struct(*CONTENT, "copies", "first", F.col("sample.at").alias("at"), (F.col("variants") > GROUP_ROWS).alias("hot"))
     want = contents.join(variants, "anchor").groupBy(F.col("sample.k").alias("k")).agg(F.collect_list(wanted).alias("want"))
     cut_types = f"anchor long, c1 long, c2 long, n int, lead int, copies long, first {doc_type}, content binary, i int, w1 long, w2 long"
@@ -208,7 +209,7 @@ def repeated_ranges(
     groups = cut.where("content is not null").drop("i", "w1", "w2").repartition("anchor").sortWithinPartitions("anchor", *order)
     compared = groups.mapInArrow(by_group(compare), f"anchor long, c1 long, c2 long, n int, lead int, ranges {RANGES}")
     single = cut.where("content is null").drop("content").dropDuplicates([*CONTENT, "i"])
-    seen = single.groupBy("w1", "w2").agg(hot_value.alias("seen"))
+    seen = settled(single.groupBy("w1", "w2").agg(hot_value.alias("seen")))
     dealt = (
         single.join(seen, ["w1", "w2"])
         .where(hot_windows)
@@ -216,7 +217,7 @@ def repeated_ranges(
         .agg(F.collect_list(F.struct(F.col("i").alias("a"), (F.col("i") + 1).alias("b"))).alias("ranges"))
     )
     parts = compared.unionByName(dealt)
-    found = contents.join(parts, CONTENT, "left").where(F.col("ranges").isNotNull() | (F.col("copies") > 1))
+    found = settled(contents.join(parts, CONTENT, "left").where(F.col("ranges").isNotNull() | (F.col("copies") > 1)))
     shifted = F.transform("ranges", lambda r: F.struct((F.col("at") + r["a"]).alias("a"), (F.col("at") + r["b"]).alias("b")))
     all_of = F.array(F.struct(F.col("at").alias("a"), (F.col("at") + F.col("n")).alias("b")))
     return (
