@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docledger.llm import byte_repeats, mixing, order_minhash, toxicity, word_repeats
+from docledger.llm import byte_repeats, decontamination, mixing, order_minhash, toxicity, word_repeats
 from docledger.llm.store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,8 @@ def op9_suffix_automaton_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes, _ = order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
     return classes.select("doc_id", "class_id", "class_hash", "kept")
+
+
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
