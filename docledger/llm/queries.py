@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docledger.llm import byte_repeats, decontamination, mixing, order_minhash, toxicity, word_repeats
+from docledger.llm import byte_repeats, decontamination, line_templates, mixing, order_minhash, toxicity, word_repeats
 from docledger.llm.store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,9 @@ def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op1_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_templates.drop_recurring_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", F.size("dropped").alias("n_dropped"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
