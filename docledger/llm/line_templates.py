@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from docledger.llm import buffers
 from docledger.llm.repeats import row_groups, symbol_values
-from docledger.llm.store import row_key, settled
+from docledger.llm.store import fresh, row_key, settled
 
 DEPTH, MIN_DOCUMENTS, FIXED, MOST = 3, 5, 0.5, 0.5
 CHUNK = 1 << 20
@@ -152,33 +152,38 @@ def recurring_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, depth:
 
 
 def drop_recurring_lines(
-    docs: DataFrame, min_documents: int = MIN_DOCUMENTS, depth: int = DEPTH, fixed: float = FIXED, most: float = MOST
+    docs: DataFrame,
+    min_documents: int = MIN_DOCUMENTS,
+    depth: int = DEPTH,
+    fixed: float = FIXED,
+    most: float = MOST,
+    names: tuple[str, str] = ("n_lines", "dropped"),
 ) -> DataFrame:
-    """The columns of ``docs`` with ``text`` replaced, and ``n_lines`` and ``dropped``, the numbers of the lines that went.
+    """The columns of ``docs`` with ``text`` replaced, then, by ``names``, the number of lines and the numbers of those that went.
 
-    Columns of ``docs`` named ``n_lines`` or ``dropped`` are replaced.
+    Columns of ``docs`` with these names are replaced.
     """
-    found = recurring_lines(docs, min_documents, depth, fixed).groupBy(F.col("k").alias("_line_key"))
-    found = found.agg(F.collect_set("line").alias("_lines"))
+    own = [c for c in docs.columns if c not in names]
+    key, marked = fresh(docs, "line_key"), fresh(docs, "recurring")
+    found = recurring_lines(docs, min_documents, depth, fixed).groupBy(F.col("k").alias(key))
+    found = found.agg(F.collect_set("line").alias(marked))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, counts, gone = [], [], []
-            for text, marked in zip(batch.column("text").to_pylist(), batch.column("_lines").to_pylist(), strict=True):
+            for text, numbers in zip(batch.column("text").to_pylist(), batch.column(marked).to_pylist(), strict=True):
                 lines = [] if text is None else text.split("\n")
-                drop = {x for x in marked or () if x < len(lines)}
+                drop = set(numbers or ())
                 if sum(len(lines[x]) for x in drop) > most * len(text or ""):
                     drop = set()
                 texts.append("\n".join(x for i, x in enumerate(lines) if i not in drop) if drop else text)
                 counts.append(len(lines))
                 gone.append(sorted(drop))
-            new = {"text": pa.array(texts, pa.string()), "n_lines": pa.array(counts, pa.int32()), "dropped": pa.array(gone, pa.list_(pa.int32()))}
-            own = [n for n in batch.schema.names if n not in ("text", "_lines")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in own), *new.values()], names=[*own, *new])
-
-    own = [c for c in docs.columns if c not in ("n_lines", "dropped")]
-    whole = docs.select(*own, row_key().alias("_line_key")).join(found, "_line_key", "left").drop("_line_key")
-    rest = [c for c in own if c != "text"]
-    types = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest)
-    done = whole.mapInArrow(run, f"{types}, text string, n_lines int, dropped array<int>")
-    return done.select(*own, "n_lines", "dropped")
+            new = [pa.array(texts, pa.string()), pa.array(counts, pa.int32()), pa.array(gone, pa.list_(pa.int32()))]
+            rest = [n for n in own if n != "text"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in rest), *new], names=[*rest, "text", *names])
+
+    whole = docs.select(*own, row_key().alias(key)).join(found, key, "left").drop(key)
+    types = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in own if c != "text")
+    done = whole.mapInArrow(run, f"{types}, text string, `{names[0]}` int, `{names[1]}` array<int>")
+    return done.select(*own, *names)

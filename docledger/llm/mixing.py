@@ -98,7 +98,8 @@ def mix(
         .where((F.col("before") < F.col("budget")) & (F.col("budget") <= F.col("before") + F.col("words")))
         .select("s", F.col("slice").alias("end"), "before")
     )
-    plan = targets.join(ends, F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumnRenamed("source", "t")
+    # One row per source, settled so that its size is known and Spark broadcasts it if it is small.
+    plan = settled(targets.join(ends, F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumnRenamed("source", "t"))
     plan = plan.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))  # a large source meets it in many tasks
     placed = sized.join(plan, F.col("source").eqNullSafe(F.col("t")) & (F.col("slice") % SALTS == F.col("salt"))).drop("t", "salt")
 

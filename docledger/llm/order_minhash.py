@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from docledger.llm import buffers
 from docledger.llm.components import components
 from docledger.llm.repeats import row_groups, symbol_values
-from docledger.llm.store import row_key, settled
+from docledger.llm.store import fresh, row_key, settled
 
 SHINGLE, SKETCHES, SIMILARITY = 5, 32, 0.8
 
@@ -229,3 +229,11 @@ def near_duplicates(
     found = found.select("k", F.col("root.id").alias("class_id"), F.col("root.a").alias("class_hash"), (F.col("is_root") & (F.col("k") == F.col("first"))).alias("kept"))
     alone = rows.where("n = 0").select("k", F.col("k.doc_id").alias("class_id"), F.col("k.h").alias("class_hash"), F.lit(True).alias("kept"))
     return found.unionByName(alone).select(F.col("k.doc_id").alias("doc_id"), "k", "class_id", "class_hash", "kept"), links
+
+
+def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs``, all columns, without those of which another text of their class, or the same row, stays."""
+    key = fresh(docs, "near_key")
+    classes, _ = near_duplicates(docs, similarity)
+    staying = settled(classes.where("kept").select(F.col("k").alias(key)).distinct())
+    return docs.withColumn(key, row_key()).join(staying, key, "left_semi").dropDuplicates([key]).drop(key)
