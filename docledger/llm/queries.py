@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docledger.llm import byte_repeats, decontamination, line_templates, mixing, order_minhash, toxicity, word_repeats
+from docledger.llm import (
+    byte_repeats,
+    decontamination,
+    line_templates,
+    mixing,
+    order_minhash,
+    secret_ownership,
+    toxicity,
+    word_repeats,
+)
 from docledger.llm.store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +82,20 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_templates.drop_recurring_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", F.size("dropped").alias("n_dropped"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op4_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_ownership.secrets_by_document(table(spark, sf_dir, "documents"))
+    text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("found", lambda s: s["kind"] != "opaque")
+    return found.select(
+        "doc_id",
+        "n_assign",
+        "n_access",
+        "n_hex",
+        F.sha2(text(base).cast("binary"), 256).alias("base_sha256"),
+        text(F.col("found")).alias("spans"),
+        "n_live",
+        "n_example",
+    )
