@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from docledger.llm import buffers
 from docledger.llm.repeats import Windows, removed_ranges, repeated_ranges
-from docledger.llm.store import row_key
+from docledger.llm.store import map_arrow, row_key
 
 WIDTH, GRAM = 400, 32
 OUTSIDE = 256
@@ -106,4 +106,4 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Dat
 
     whole = docs.select(row_key().alias("k"), "doc_id", "text").join(ranges, "k", "left").drop("k")
     doc_type = docs.schema["doc_id"].dataType.simpleString()
-    return whole.mapInArrow(apply, f"doc_id {doc_type}, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    return map_arrow(whole, apply, f"doc_id {doc_type}, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from docledger.llm import buffers
 from docledger.llm.repeats import row_groups
+from docledger.llm.store import map_arrow
 from docledger.llm.toxicity import _APART, lowered
 
 THRESHOLD, SLACK = 0.6, 0.3
@@ -223,7 +224,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, index_bytes: int = INDEX_B
                     names = ["doc_id", "item_id", "score", "question", "answer", "first_word"]
                     yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(rows), items, *values], names=names)
 
-        parts.append(docs.select("doc_id", "text").mapInArrow(run, types))
+        parts.append(map_arrow(docs.select("doc_id", "text"), run, types))
     if not parts:
         return docs.sparkSession.createDataFrame([], types)
     out = parts[0]
@@ -246,5 +247,5 @@ def drop_leaking(docs: DataFrame, benchmark: DataFrame, index_bytes: int = INDEX
                         clean[a + row] = False
                 yield batch.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = map_arrow(docs, run, docs.schema)
     return docs

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from docledger.llm import buffers
 from docledger.llm.repeats import row_groups, symbol_values
-from docledger.llm.store import fresh, row_key, settled
+from docledger.llm.store import fresh, map_arrow, row_key, settled
 
 DEPTH, MIN_DOCUMENTS, FIXED, MOST = 3, 5, 0.5, 0.5
 CHUNK = 1 << 20
@@ -117,7 +117,7 @@ def recurring_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, depth:
     """``k, line, t1, t2``: the lines, by document and number from 0, of recurring templates."""
     keyed = docs.select(row_key().alias("k"), "text")
     key_type = keyed.schema["k"].dataType.simpleString()
-    rows = settled(keyed.mapInArrow(_lines(depth), f"k {key_type}, leaf long, h1 long, h2 long, line int, n int, fixed int, once boolean"))
+    rows = settled(map_arrow(keyed, _lines(depth), f"k {key_type}, leaf long, h1 long, h2 long, line int, n int, fixed int, once boolean"))
     lines = settled(
         rows.groupBy(*LINE, "n", "fixed").agg(
             F.count_if("once").alias("docs"), F.min(F.struct("k", "line")).alias("sample")
@@ -133,7 +133,7 @@ def recurring_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, depth:
     want = F.struct(*LINE, "docs", "n", F.col("sample.line").alias("line"))
     want = lines.where("several > 1").groupBy(F.col("sample.k").alias("k")).agg(F.collect_list(want).alias("want"))
     types = "leaf long, h1 long, h2 long, docs long, n int, place int, token long"
-    tokens = settled(keyed.join(want, "k").dropDuplicates(["k"]).mapInArrow(_tokens, types))
+    tokens = settled(map_arrow(keyed.join(want, "k").dropDuplicates(["k"]), _tokens, types))
     places = settled(tokens.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("having")).where(F.col("having") >= min_documents))
     kept = tokens.join(places, ["leaf", "place", "token"]).groupBy(*LINE, "n", "docs")
     kept = kept.agg(
@@ -185,5 +185,5 @@ def drop_recurring_lines(
 
     whole = docs.select(*own, row_key().alias(key)).join(found, key, "left").drop(key)
     types = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in own if c != "text")
-    done = whole.mapInArrow(run, f"{types}, text string, `{names[0]}` int, `{names[1]}` array<int>")
+    done = map_arrow(whole, run, f"{types}, text string, `{names[0]}` int, `{names[1]}` array<int>")
     return done.select(*own, *names)

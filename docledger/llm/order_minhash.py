@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from docledger.llm import buffers
 from docledger.llm.components import components
 from docledger.llm.repeats import row_groups, symbol_values
-from docledger.llm.store import fresh, row_key, settled
+from docledger.llm.store import fresh, map_arrow, row_key, settled
 
 SHINGLE, SKETCHES, SIMILARITY = 5, 32, 0.8
 
@@ -181,7 +181,7 @@ def near_duplicates(
     spark = docs.sparkSession
     keyed = docs.select(row_key().alias("k"), "text")
     key_type = keyed.schema["k"].dataType.simpleString()
-    rows = settled(keyed.mapInArrow(_sketch(shingle, draws), f"k {key_type}, a long, b long, n long, draws array<long>"))
+    rows = settled(map_arrow(keyed, _sketch(shingle, draws), f"k {key_type}, a long, b long, n long, draws array<long>"))
     nodes = settled(
         rows.where("n > 0")
         .groupBy("a", "b")
@@ -195,7 +195,7 @@ def near_duplicates(
     members = shared.select("node").distinct()
     texts = keyed.join(nodes.join(members, "node").select("k", "node"), "k").dropDuplicates(["node"])
     node_type = nodes.schema["node"].dataType.simpleString()
-    words = settled(texts.select("node", "text").mapInArrow(_as_words, f"node {node_type}, words binary"))
+    words = settled(map_arrow(texts.select("node", "text"), _as_words, f"node {node_type}, words binary"))
 
     links = tried = roots = None
     turn = 0
@@ -214,7 +214,7 @@ def near_duplicates(
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         sides = pairs.join(words.withColumnRenamed("node", "a"), "a")
         sides = sides.join(words.select(F.col("node").alias("b"), F.col("words").alias("others")), "b")
-        judged = settled(sides.mapInArrow(_aligned(similarity), f"a {node_type}, b {node_type}, link boolean"))
+        judged = settled(map_arrow(sides, _aligned(similarity), f"a {node_type}, b {node_type}, link boolean"))
         new = judged.where("link").select("a", "b")
         now = judged.select("a", "b")
         tried = now if tried is None else tried.unionByName(now)

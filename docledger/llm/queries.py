@@ -13,6 +13,7 @@ from docledger.llm import (
     line_templates,
     mixing,
     order_minhash,
+    prefix_forest,
     secret_ownership,
     toxicity,
     word_repeats,
@@ -99,3 +100,8 @@ def op4_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_live",
         "n_example",
     )
+
+
+@query
+def op7_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)

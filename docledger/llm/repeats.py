@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docledger.llm import buffers
-from docledger.llm.store import row_key, settled
+from docledger.llm.store import map_arrow, row_key, settled
 
 CHUNK = 1 << 20
 GROUP_ROWS = 2048
@@ -186,7 +186,7 @@ def repeated_ranges(
     keyed = docs.select(row_key().alias("k"), "text")
     types = f"k {keyed.schema['k'].dataType.simpleString()}, anchor long, c1 long, c2 long, n int, lead int, at int"
     doc_type = docs.schema["doc_id"].dataType.simpleString()
-    runs = settled(keyed.mapInArrow(find_runs(windows), types))
+    runs = settled(map_arrow(keyed, find_runs(windows), types))
     # Small sides of joins on hot keys are settled first: then Spark can split the large side's partitions.
     again = settled(runs.groupBy("anchor").count().where("count > 1").select("anchor"))
     runs = settled(runs.join(again, "anchor", "left_semi"))
@@ -204,10 +204,10 @@ def repeated_ranges(
     cut_types = f"anchor long, c1 long, c2 long, n int, lead int, copies long, first {doc_type}, content binary, i int, w1 long, w2 long"
     # Rows equal in id and text have one key: the last one is as good as any.
     sources = keyed.join(want, "k")
-    cut = settled(sources.mapInArrow(cut_contents(windows), cut_types))
+    cut = settled(map_arrow(sources, cut_contents(windows), cut_types))
 
     groups = cut.where("content is not null").drop("i", "w1", "w2").repartition("anchor").sortWithinPartitions("anchor", *order)
-    compared = groups.mapInArrow(by_group(compare), f"anchor long, c1 long, c2 long, n int, lead int, ranges {RANGES}")
+    compared = map_arrow(groups, by_group(compare), f"anchor long, c1 long, c2 long, n int, lead int, ranges {RANGES}")
     single = cut.where("content is null").drop("content").dropDuplicates([*CONTENT, "i"])
     seen = settled(single.groupBy("w1", "w2").agg(hot_value.alias("seen")))
     dealt = (

@@ -5,9 +5,15 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+import docledger
 
 
 @functools.cache
@@ -59,3 +65,27 @@ def fresh(df: DataFrame, stem: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+@functools.cache
+def _package(application: str) -> str:
+    root = Path(docledger.__file__).parent
+    path = Path(_local_folder()) / f"{application}.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    return str(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the executors, once per application; they need not have it installed."""
+    context = spark.sparkContext
+    path = _package(context.applicationId)
+    if Path(path).name not in context._python_includes:
+        context.addPyFile(path)
+
+
+def map_arrow(df: DataFrame, fn: Callable, schema: str | T.StructType) -> DataFrame:
+    """``df.mapInArrow`` with a function of this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
