@@ -16,6 +16,7 @@ from docledger.llm import (
     prefix_forest,
     secret_ownership,
     toxicity,
+    url_templates,
     word_repeats,
 )
 from docledger.llm.store import table
@@ -105,3 +106,12 @@ def op4_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op6_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of pages are those given for their id: low quality or toxic is bad."""
+    labels = table(spark, sf_dir, "labels")
+    bad = (F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)
+    labels = labels.where("quality is not null or toxic is not null").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+    return url_templates.judge(table(spark, sf_dir, "pages"), labels)
