@@ -2,9 +2,9 @@
 
 A host's tree grows level by level. A segment with a digit is variable from the start; of the others, those that hold fewer
 than ``LITERAL_ROWS`` pages or less than ``LITERAL_SHARE`` of their node's are generalised to ``*``. Segments beyond ``DEPTH`` become
-``**``. Sibling branches whose shares of bad labels do not differ (two-proportion z-test against the other branches of their
-parent) are merged. A branch is rejected if its smoothed share of bad labels, drawn towards its host's and that towards
-all pages', reaches ``REJECT``.
+``**``. Sibling branches in order of their share of bad labels are merged with the one before unless the two differ (two-proportion
+z-test). A branch is rejected if its smoothed share of bad labels, drawn towards its host's, that towards all
+pages', and that towards none, reaches ``REJECT``.
 
 Pages are counted by host and shape (path with digits generalised) before the tree is built, so the levels work on that much
 smaller table; every level sums children with partial aggregation and joins them to their parents, no host is gathered.
@@ -19,7 +19,7 @@ from __future__ import annotations
 import string
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docledger.llm.store import settled
@@ -91,15 +91,18 @@ def branches(grown: DataFrame, different_z: float, smoothing: float) -> DataFram
     sums = [F.sum("bad").alias("bad"), F.sum("good").alias("good")]
     own = settled(grown.groupBy("host", "parent", "template").agg(*sums))
     total = own.agg(F.coalesce(F.sum("bad"), F.lit(0)).alias("b"), F.coalesce(F.sum("good"), F.lit(0)).alias("g")).first()
-    prior = (total["b"] / (total["b"] + total["g"])) if total["b"] + total["g"] else 0.0
+    prior = total["b"] / (total["b"] + total["g"] + smoothing)
     hosts = own.groupBy("host").agg(F.sum("bad").alias("host_bad"), F.sum(F.col("bad") + F.col("good")).alias("host_all"))
-    family = own.groupBy("host", "parent").agg(F.sum("bad").alias("all_bad"), F.sum(F.col("bad") + F.col("good")).alias("all"))
-    placed = own.join(family, ["host", "parent"])
-    n1, n2 = F.col("bad") + F.col("good") + 2, F.col("all") - F.col("bad") - F.col("good") + 2
-    x1, x2 = F.col("bad") + 1, F.col("all_bad") - F.col("bad") + 1
-    pooled = (x1 + x2) / (n1 + n2)
-    z = F.abs(x1 / n1 - x2 / n2) / F.sqrt(pooled * (1 - pooled) * (1 / n1 + 1 / n2))
-    placed = placed.withColumn("branch", F.when(z >= different_z, F.col("template")).otherwise(F.concat("parent", F.lit("/~"))))
+    # A node has at most 1 / share literal children, so these windows are small.
+    x, n = F.col("bad") + 1, F.col("bad") + F.col("good") + 2
+    by_share = Window.partitionBy("host", "parent").orderBy("share", "template")
+    x0, n0 = F.lag("x").over(by_share), F.lag("n").over(by_share)
+    pooled = (F.col("x") + F.col("x0")) / (F.col("n") + F.col("n0"))
+    z = F.abs(F.col("share") - F.col("x0") / F.col("n0")) / F.sqrt(pooled * (1 - pooled) * (1 / F.col("n") + 1 / F.col("n0")))
+    placed = own.withColumn("x", x).withColumn("n", n).withColumn("share", F.col("x") / F.col("n"))
+    placed = placed.withColumn("x0", x0).withColumn("n0", n0).withColumn("new", F.coalesce((z >= different_z).cast("int"), F.lit(0)))
+    branch = F.concat("parent", F.lit("/~"), F.sum("new").over(by_share).cast("string"))
+    placed = settled(placed.withColumn("branch", branch).select("host", "parent", "template", "branch", "bad", "good"))
     merged = placed.groupBy("host", "parent", "branch").agg(*sums).join(hosts, "host")
     host_share = (F.col("host_bad") + smoothing * prior) / (F.col("host_all") + smoothing)
     purity = (F.col("bad") + smoothing * host_share) / (F.col("bad") + F.col("good") + smoothing)
