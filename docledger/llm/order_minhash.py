@@ -5,7 +5,7 @@ takes the ``2`` shingles with the smallest hashes and keeps them in text order:
 order, which follows the edit similarity better than sets of shingles do.
 
 Documents that share a draw are candidates. A bucket is never expanded into pairs: its members are compared with one of
-them. Members of other classes than this one's are compared again with another in the next round, until a round finds no
+them. In the next round one member of each other class is compared with another one, and so on until a round finds no
 link. A candidate is a link if 1 - (word edits / words of the longer text) is at least ``SIMILARITY``; the alignment only
 visits cells that near the diagonal, which suffices to decide that. Classes are the connected components.
 
@@ -165,7 +165,9 @@ def _aligned(similarity: float):
         for batch in batches:
             pairs = zip(batch.column("words").to_pylist(), batch.column("others").to_pylist(), strict=True)
             links = [alike(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32), similarity) for x, y in pairs]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(links, pa.bool_())], names=["a", "b", "link"])
+            names = ["a", "b", "ra", "rb"]
+            linked = pa.RecordBatch.from_arrays([batch.column(c) for c in names], names=names)
+            yield linked.filter(pa.array(links, pa.bool_()))
 
     return run
 
@@ -197,32 +199,33 @@ def near_duplicates(
     node_type = nodes.schema["node"].dataType.simpleString()
     words = settled(map_arrow(texts.select("node", "text"), _as_words, f"node {node_type}, words binary"))
 
-    links = tried = roots = None
-    turn = 0
+    roots = members.withColumn("root", F.col("node"))  # of the classes as far as known, to leave out needless pairs
+    links, turn = None, 0
     while True:
-        inside = shared.select("draw", "node", F.col("node").alias("root"))
-        if roots is not None:
-            inside = shared.join(roots, "node", "left").select("draw", "node", F.coalesce("root", "node").alias("root"))
-            inside = inside.groupBy("draw", "root").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node")).alias("x"))
-            inside = inside.select("draw", "x.node", "root")
-        order = F.col("node") if roots is None else F.struct(F.xxhash64(F.lit(-turn), "node"), "node")
+        inside = shared.withColumn("root", F.col("node"))
+        if turn:
+            # Of each class in a draw one member, another one each time.
+            inside = shared.join(roots, "node").groupBy("draw", "root")
+            inside = inside.agg(F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node"))["node"].alias("node"))
+        order = F.struct(F.xxhash64(F.lit(-turn), "node"), "node") if turn else F.col("node")
         chosen = inside.groupBy("draw").agg(F.min_by(F.struct("node", "root"), order).alias("chosen"), F.count(F.lit(1)).alias("in_draw"))
         chosen = settled(chosen.where("in_draw > 1").select("draw", "chosen"))
         pairs = inside.join(chosen, "draw").where(F.col("root") != F.col("chosen.root"))
-        pairs = pairs.select(F.greatest("node", "chosen.node").alias("a"), F.least("node", "chosen.node").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        ordered = F.array_sort(F.array(F.struct("node", "root"), F.struct("chosen.node", "chosen.root")))
+        pairs = pairs.select(ordered.alias("p")).distinct().select(F.col("p")[1].alias("x"), F.col("p")[0].alias("y"))
+        pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.root").alias("ra"), F.col("y.root").alias("rb"))
         sides = pairs.join(words.withColumnRenamed("node", "a"), "a")
         sides = sides.join(words.select(F.col("node").alias("b"), F.col("words").alias("others")), "b")
-        judged = settled(map_arrow(sides, _aligned(similarity), f"a {node_type}, b {node_type}, link boolean"))
-        new = judged.where("link").select("a", "b")
-        now = judged.select("a", "b")
-        tried = now if tried is None else tried.unionByName(now)
-        if turn and new.isEmpty():
+        new = settled(map_arrow(sides, _aligned(similarity), ", ".join(f"{c} {node_type}" for c in ("a", "b", "ra", "rb"))))
+        links = new.select("a", "b") if links is None else links.unionByName(new.select("a", "b"))
+        if new.isEmpty():
             break
-        links = new if links is None else links.unionByName(new)
-        roots = components(links)
+        step = settled(new.groupBy(F.greatest("ra", "rb").alias("root")).agg(F.min(F.least("ra", "rb")).alias("to")))
+        again = step.select(F.col("root").alias("to"), F.col("to").alias("then"))
+        step = settled(step.join(again, "to", "left").select("root", F.coalesce("then", "to").alias("to")))
+        roots = settled(roots.join(step, "root", "left").select("node", F.coalesce("to", "root").alias("root")))
         turn += 1
+    roots = components(links)
     classes = nodes.select("a", "b", "node", F.col("k").alias("first")).join(roots, "node", "left")
     classes = classes.select("a", "b", F.coalesce("root", "node").alias("root"), (F.col("root").isNull()).alias("is_root"), "first")
     found = rows.where("n > 0").join(classes, ["a", "b"])
