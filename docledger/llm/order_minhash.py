@@ -31,6 +31,7 @@ from docledger.llm import buffers
 from docledger.llm.components import components
 from docledger.llm.repeats import row_groups, symbol_values
 from docledger.llm.store import fresh, map_arrow, row_key, settled
+from docledger.operators.lineage import write_once
 
 SHINGLE, SKETCHES, SIMILARITY = 5, 32, 0.8
 
@@ -195,9 +196,10 @@ def near_duplicates(
     several = settled(drawn.groupBy("draw").count().where("count > 1").select("draw"))
     shared = settled(drawn.join(several, "draw", "left_semi"))
     members = shared.select("node").distinct()
-    texts = keyed.join(nodes.join(members, "node").select("k", "node"), "k").dropDuplicates(["node"])
+    texts = keyed.join(nodes.join(members, "node").select("k", "node"), "k").select("node", "text")
     node_type = nodes.schema["node"].dataType.simpleString()
-    words = settled(map_arrow(texts.select("node", "text"), _as_words, f"node {node_type}, words binary"))
+    # Dealt by node once: the rounds' joins find it in place.
+    words = write_once(map_arrow(texts, _as_words, f"node {node_type}, words binary").dropDuplicates(["node"]))
 
     roots = members.withColumn("root", F.col("node"))  # of the classes as far as known, to leave out needless pairs
     links, turn = None, 0
@@ -210,6 +212,8 @@ def near_duplicates(
         order = F.struct(F.xxhash64(F.lit(-turn), "node"), "node") if turn else F.col("node")
         chosen = inside.groupBy("draw").agg(F.min_by(F.struct("node", "root"), order).alias("chosen"), F.count(F.lit(1)).alias("in_draw"))
         chosen = settled(chosen.where("in_draw > 1").select("draw", "chosen"))
+        if turn:  # classes only grow, so draws of one class are done with
+            shared = settled(shared.join(chosen.select("draw"), "draw", "left_semi"))
         pairs = inside.join(chosen, "draw").where(F.col("root") != F.col("chosen.root"))
         ordered = F.array_sort(F.array(F.struct("node", "root"), F.struct("chosen.node", "chosen.root")))
         pairs = pairs.select(ordered.alias("p")).distinct().select(F.col("p")[1].alias("x"), F.col("p")[0].alias("y"))
