@@ -13,7 +13,10 @@ MONEY = "decimal(18,2)"
 PERCENT = "decimal(9,4)"
 
 # The number grammars of the extraction rules.
-FLOAT_TEXT = r"(?U)^\s*([+-]?(?:\d(?:_?\d)*(?:\.(?:\d(?:_?\d)*)?)?|\.\d(?:_?\d)*)(?:[eE][+-]?\d(?:_?\d)*)?)\s*$"
+# Underscores stand between digits only. No group repeats: Java's matcher would recurse once for each of its turns.
+FLOAT_TEXT = (
+    r"(?Us)^(?!.*_(?!\d))\s*+([+-]?+(?:\d[\d_]*+(?:\.(?:\d[\d_]*+)?+)?+|\.\d[\d_]*+)(?:[eE][+-]?+\d[\d_]*+)?+)\s*+$"
+)
 NUMBER_ANY = r"[+-]?(?:\d{1,3}(?:[.,]\d{3})*(?:[.,]\d{2})|\d+(?:[.,]\d{2})|\d+)"
 MONEY_TOKEN = r"\$?\d{1,3}(?:,\d{3})*(?:\.\d{2})"
 PLAIN_NUMBER = r"\b\d+(?:\.\d+)?\b"

@@ -161,17 +161,34 @@ def _clean_items(items: DataFrame) -> DataFrame:
 
 
 def token_spans(tokens: Column, between: Column) -> Column:
-    """Matches with their start and end offsets, from the matches and the texts between them."""
+    """Matches with their start and end offsets, from the matches and the texts between them, in one pass."""
+    none = F.array().cast("array<struct<tok:string,s:int,e:int>>")
 
-    def total(array: Column, n: Column) -> Column:
-        return F.aggregate(F.slice(array, F.lit(1), n), F.lit(0), lambda acc, x: acc + F.length(x))
+    def place(acc: Column, x: Column) -> Column:
+        start = acc["at"] + F.length(x["between"])
+        end = start + F.length(x["tok"])
+        span = F.struct(x["tok"].alias("tok"), start.alias("s"), end.alias("e"))
+        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
-    starts = F.transform(
-        tokens, lambda tok, k: F.struct(tok.alias("tok"), (total(between, k + 1) + total(tokens, k)).alias("s"))
-    )
-    return F.transform(
-        starts, lambda x: F.struct(x["tok"].alias("tok"), x["s"].alias("s"), (x["s"] + F.length(x["tok"])).alias("e"))
-    )
+    # There is one more text between than there are matches.
+    pairs = F.arrays_zip(tokens.alias("tok"), F.slice(between, F.lit(1), F.size(tokens)).alias("between"))
+    begin = F.struct(F.lit(0).alias("at"), none.alias("spans"))
+    return F.aggregate(pairs, begin, place, lambda acc: acc["spans"])
+
+
+def outside(spans: Column, others: Column) -> Column:
+    """The spans that do not lie inside one of ``others``, whose spans do not overlap; one pass over both in order."""
+    tagged = lambda array, kind: F.transform(array, lambda x: F.struct(x["s"].alias("s"), F.lit(kind).alias("kind"), x["e"].alias("e"), x["tok"].alias("tok")))
+    none = F.array().cast("array<struct<tok:string,s:int,e:int>>")
+
+    def step(acc: Column, x: Column) -> Column:
+        other = x["kind"] == 0
+        span = F.struct(x["tok"].alias("tok"), x["s"].alias("s"), x["e"].alias("e"))
+        kept = F.when(other | (x["e"] <= acc["end"]), acc["spans"]).otherwise(F.concat(acc["spans"], F.array(span)))
+        return F.struct(F.when(other, x["e"]).otherwise(acc["end"]).alias("end"), kept.alias("spans"))
+
+    both = F.array_sort(F.concat(tagged(others, 0), tagged(spans, 1)))
+    return F.aggregate(both, F.struct(F.lit(-1).alias("end"), none.alias("spans")), step, lambda acc: acc["spans"])
 
 
 def same_line_numbers(df: DataFrame, text: str) -> DataFrame:
@@ -191,7 +208,6 @@ def same_line_numbers(df: DataFrame, text: str) -> DataFrame:
         df = df.withColumn(f"{name}_tokens", F.when(has_money, matches).otherwise(empty)).withColumn(
             f"{name}_between", F.when(has_money, F.split(t, pattern, -1)).otherwise(empty)
         )
-    inside = lambda n: F.exists(money, lambda m: (n["s"] >= m["s"]) & (n["e"] <= m["e"]))
     between = F.filter(nums, lambda n: (n["s"] >= first["e"]) & (n["e"] <= last["s"]))
     right = F.filter(nums, lambda n: n["s"] >= first["e"])
     chosen = F.coalesce(
@@ -201,7 +217,7 @@ def same_line_numbers(df: DataFrame, text: str) -> DataFrame:
     return (
         df.withColumn("_money", token_spans(F.col("_money_tokens"), F.col("_money_between")))
         .withColumn("_nums", token_spans(F.col("_nums_tokens"), F.col("_nums_between")))
-        .withColumn("_nums", F.filter(nums, lambda n: ~inside(n)))
+        .withColumn("_nums", outside(nums, money))
         .withColumn("unit_price", money_invoice(first["tok"]))
         .withColumn("quantity", to_number_or_null(chosen))
         .withColumn("line_total", F.when(two, money_invoice(last["tok"])))

@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame
 
 
 def write_once(df: DataFrame) -> DataFrame:
     """``df`` computed now and kept in the checkpoint folder, out of reach of lost executors.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; a temporary one only where none is named,
-    as in tests.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only in local mode, as in tests, where all tasks
+    share one host, a temporary folder stands in for it.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or _local_folder())
+        if not named and not context._jsc.sc().isLocal():
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
     return df.checkpoint()
-
-
-def _local_folder() -> str:
-    import tempfile
-
-    return tempfile.mkdtemp(prefix="checkpoint-")

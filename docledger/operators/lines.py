@@ -52,8 +52,12 @@ def concat_pages(df: DataFrame, key: str, page: str, text: str) -> DataFrame:
     The one operator whose result is a whole document in one value; Spark's 2 GB string limit bounds it, as it
     bounds every document text of the data model.
     """
-    joined = f"listagg(coalesce({text}, ''), '\\n') WITHIN GROUP (ORDER BY {page})"
-    return df.groupBy(key).agg(F.expr(joined).alias("text"))
+    return df.groupBy(key).agg(page_text(page, text).alias("text"))
+
+
+def page_text(page: str, text: str) -> Column:
+    """The aggregate behind :func:`concat_pages`."""
+    return F.expr(f"listagg(coalesce({text}, ''), '\\n') WITHIN GROUP (ORDER BY {page})")
 
 
 def dedup_lines_keep_first(df: DataFrame, keys: list[str], key: Column, order: list[str], line: str) -> DataFrame:

@@ -106,9 +106,16 @@ def ranked(df: DataFrame, order: Sequence[Column], out: str = "rank") -> DataFra
     """Number a whole result from 1 in global order, without one task seeing all rows.
 
     A range-partitioned sort splits the rows, ties of the first column included when ``order`` ends in a unique key.
-    The sorted rows are checkpointed, so that their partitions stay as they are; the offsets are one row a partition.
     """
-    tagged = write_once(df.orderBy(*order).withColumn("_tag", F.monotonically_increasing_id()))
+    return numbered(df.orderBy(*order), out)
+
+
+def numbered(df: DataFrame, out: str) -> DataFrame:
+    """Number all rows from 1 without gaps, in the order of their partitions and of the rows in them.
+
+    The rows are checkpointed, so that their partitions stay as they are; the offsets are one row a partition.
+    """
+    tagged = write_once(df.withColumn("_tag", F.monotonically_increasing_id()))
     part, at = F.shiftright("_tag", 33), F.col("_tag").bitwiseAND((1 << 33) - 1)
     before = F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
     offsets = (
@@ -118,7 +125,7 @@ def ranked(df: DataFrame, order: Sequence[Column], out: str = "rank") -> DataFra
     )
     return (
         tagged.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
+        .join(offsets, "_part")
         .withColumn(out, (F.col("_before") + at + 1).cast("bigint"))
         .drop("_part", "_before", "_tag")
     )

@@ -326,11 +326,15 @@ def derive_totals_from_items(df: DataFrame, sum_items: Column) -> DataFrame:
     )
 
 
-def items_sum(items: Column) -> Column:
-    """Rounded sum of the line totals of an item array, added up as decimals."""
+def exact_sum(items: Column) -> Column:
+    """Sum of the line totals of an item array, added up as decimals."""
     amounts = F.transform(items, lambda x: F.coalesce(x["line_total"], F.lit(0.0)).cast("decimal(28,8)"))
-    total = F.aggregate(amounts, F.lit(0).cast("decimal(28,8)"), lambda acc, x: (acc + x).cast("decimal(28,8)"))
-    return F.round(total, 2).cast("double")
+    return F.aggregate(amounts, F.lit(0).cast("decimal(28,8)"), lambda acc, x: (acc + x).cast("decimal(28,8)"))
+
+
+def items_sum(items: Column) -> Column:
+    """The sum of an item array, rounded."""
+    return F.round(exact_sum(items), 2).cast("double")
 
 
 def receipt_header(df: DataFrame, text: str = "text", lines: str = "lines") -> DataFrame:

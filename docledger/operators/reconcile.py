@@ -35,12 +35,41 @@ def fill_line_total_invoice(df: DataFrame) -> DataFrame:
     return df.withColumn("line_total", F.coalesce("line_total", F.col("unit_price") * F.col("quantity")))
 
 
-def fill_line_total_receipt(df: DataFrame) -> DataFrame:
+def receipt_line_total(quantity: Column, unit_price: Column, total: Column) -> Column:
     """A missing *or zero* total is unit price times quantity, unknown factors counting as zero."""
     zero = F.lit(0)
-    product = F.coalesce("unit_price", zero) * F.coalesce("quantity", zero)
-    total = F.col("line_total")
-    return df.withColumn("line_total", F.when(total.isNull() | (total == 0), product).otherwise(total))
+    product = F.coalesce(unit_price, zero) * F.coalesce(quantity, zero)
+    return F.when(total.isNull() | (total == 0), product).otherwise(total)
+
+
+def fill_line_total_receipt(df: DataFrame) -> DataFrame:
+    total = receipt_line_total(F.col("quantity"), F.col("unit_price"), F.col("line_total"))
+    return df.withColumn("line_total", total)
+
+
+def clean_receipt_array(items: Column) -> Column:
+    """:func:`clean_receipt_items` for the items in a document's row. Numbers are read first, so each is parsed once."""
+    parsed = F.transform(
+        items,
+        lambda x: F.struct(
+            x["item"].alias("item"),
+            x["description"].alias("description"),
+            quantity_or_zero(x["quantity"]).alias("quantity"),
+            money_silver(x["unit_price"]).alias("unit_price"),
+            money_silver(x["line_total"]).alias("line_total"),
+        ),
+    )
+    filled = lambda x: receipt_line_total(x["quantity"], x["unit_price"], x["line_total"])
+    return F.transform(
+        parsed,
+        lambda x: F.struct(
+            x["item"].alias("item"),
+            x["description"].alias("description"),
+            clamp_negative_to_zero(x["quantity"]).alias("quantity"),
+            clamp_negative_to_zero(x["unit_price"]).alias("unit_price"),
+            clamp_negative_to_zero(filled(x)).alias("line_total"),
+        ),
+    )
 
 
 def clean_receipt_items(df: DataFrame) -> DataFrame:

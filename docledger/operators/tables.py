@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docledger.functions.dates import load_timestamp
 from docledger.functions.text import blank_to_null
+from docledger.operators.positions import numbered
 from docledger.schemas import DOCUMENTS_TABLE, ITEMS_TABLE, columns
 
 
@@ -59,8 +60,8 @@ def item_rows(silver: DataFrame) -> DataFrame:
 
 
 def assign_line_id(items: DataFrame, offset: int = 0) -> DataFrame:
-    """Add a unique ``id`` above ``offset``, with gaps and without a shuffle."""
-    return items.select((F.monotonically_increasing_id() + F.lit(offset + 1)).alias("id"), "*")
+    """Add a unique ``id`` above ``offset``, without gaps, so that any number of loads fits."""
+    return numbered(items, "id").select((F.col("id") + F.lit(offset)).alias("id"), *items.columns)
 
 
 def distinct_keys(df: DataFrame, key: str = "document_id") -> DataFrame:

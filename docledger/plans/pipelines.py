@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docledger.functions.strings import invoice_document_id, text_sample
+from docledger.functions.strings import invoice_document_id, normalize_path, text_sample
+from docledger.functions.text import strip
 from docledger.operators.cell_tables import choose_items
 from docledger.operators.invoice_text import invoice_meta, invoice_parties
+from docledger.operators.lines import page_text
 from docledger.operators.ocr_passes import choose_ocr_variant, merge_ocr_passes
-from docledger.operators.receipt_text import explode_items, items_sum, receipt_bronze
+from docledger.operators.receipt_text import exact_sum, explode_items, receipt_bronze
 from docledger.operators.reconcile import (
     build_invoice_documents,
     clean_invoice_items,
-    clean_receipt_items,
+    clean_receipt_array,
     prepend_key,
     receipt_silver,
     silver_columns,
@@ -27,8 +29,10 @@ from docledger.operators.tables import (
     fk_violations,
     ingest_summary,
     item_rows,
+    key_membership,
     not_null_violations,
     replace_by_key,
+    split_failures,
 )
 from docledger.plans.gold import publish_gold
 from docledger.plans.reports import (
@@ -52,6 +56,7 @@ class Silver:
 
 def invoice_bronze(pages: DataFrame, run_ts: str) -> DataFrame:
     """Bronze metadata of invoices from texts ``(doc_id, text, source_path, extraction_flavor)``."""
+    pages = pages.withColumn("source_path", normalize_path(F.col("source_path")))
     return invoice_parties(invoice_meta(pages)).drop("text").withColumn("ingest_ts", F.lit(run_ts))
 
 
@@ -87,11 +92,11 @@ def receipt_meta(texts: DataFrame, run_ts: str) -> DataFrame:
 def receipt_batch(bronze: DataFrame, run_ts: str) -> Silver:
     """Silver of all receipts from bronze metadata with its item array.
 
-    Items stay in their document's row until everything that needs both is done, so nothing is shuffled.
+    Items are cleaned, and then added up, in their document's row, so nothing is shuffled.
     """
-    cleaned = bronze.withColumn("items_count", F.size("items")).withColumn("sum_line_total", items_sum(F.col("items")))
-    silver = receipt_silver(cleaned, "doc_id")
-    items = clean_receipt_items(explode_items(silver.select("document_id", "items")))
+    cleaned = bronze.withColumn("items", clean_receipt_array(F.col("items"))).withColumn("items_count", F.size("items"))
+    silver = receipt_silver(cleaned.withColumn("sum_line_total", exact_sum(F.col("items")).cast("double")), "doc_id")
+    items = explode_items(silver.select("document_id", "items"))
     return Silver(silver_columns(silver, run_ts), items.select(*names(SILVER_ITEMS)))
 
 
@@ -160,9 +165,15 @@ def ingest_invoices(
     threshold: float = INVOICE_THRESHOLD,
     top_n: int = TOP_N,
 ) -> dict:
-    """Invoices from extracted text and cells to tables, report sections and a summary."""
+    """Invoices from extracted text and cells to tables, report sections, a summary and the failed documents.
+
+    ``pages`` has one row per document, or one per page, numbered by ``page_no``.
+    """
+    if "page_no" in pages.columns:
+        pages = join_pages(pages)
+    processed, failed = split_failures(pages, text_error(F.col("text")))
     # Bronze is written once: two tables are derived from it, and extraction is the costly part.
-    write_bronze(choose_items(cells), invoice_bronze(pages, run_ts), f"{staging}/bronze")
+    write_bronze(choose_items(key_membership(cells, processed, "doc_id")), invoice_bronze(processed, run_ts), f"{staging}/bronze")
     meta, bronze_items = (spark.read.parquet(f"{staging}/bronze/{name}") for name in ("meta", "items"))
     batch = invoice_batch(meta, bronze_items, run_ts)
     documents, items = load_and_publish(spark, batch, root, staging, run_ts, replace)
@@ -170,7 +181,8 @@ def ingest_invoices(
         "documents": documents,
         "line_items": items,
         "report": invoice_report(documents, items, threshold, top_n),
-        "summary": ingest_summary(_results(pages), documents, items),
+        "summary": batch_summary(processed, failed, batch, documents, items),
+        "failed": failed.select("doc_id", "error"),
     }
 
 
@@ -185,7 +197,7 @@ def ingest_receipts(
     top_n: int = TOP_N,
     sources: DataFrame | None = None,
 ) -> dict:
-    """Receipts from OCR passes to tables, report sections and a summary.
+    """Receipts from OCR passes to tables, report sections, a summary and the failed documents.
 
     ``sources`` may name each document's file as ``(doc_id, source_path, file_hash)``, as :func:`scan_documents` lists
     it; without it the document's id stands for its path.
@@ -195,20 +207,33 @@ def ingest_receipts(
         texts = texts.withColumn("source_path", F.col("doc_id").cast("string"))
     else:
         texts = texts.join(sources.select("doc_id", "source_path", "file_hash"), "doc_id", "left")
-    texts = texts.withColumn("doc_id", F.col("doc_id").cast("string"))
-    receipt_meta(texts, run_ts).write.parquet(f"{staging}/bronze")
+    texts = texts.withColumn("doc_id", F.col("doc_id").cast("string")).withColumn("source_path", normalize_path(F.col("source_path")))
+    processed, failed = split_failures(texts, text_error(F.col("text")))
+    receipt_meta(processed, run_ts).write.parquet(f"{staging}/bronze")
     batch = receipt_batch(spark.read.parquet(f"{staging}/bronze"), run_ts)
     documents, items = load_and_publish(spark, batch, root, staging, run_ts, replace)
     return {
         "documents": documents,
         "line_items": items,
         "report": receipt_report(documents, items, threshold, top_n),
-        "summary": ingest_summary(_results(passes.select("doc_id", "text")), documents, items),
+        "summary": batch_summary(processed, failed, batch, documents, items),
+        "failed": failed.select("doc_id", "error"),
     }
 
 
-def _results(inputs: DataFrame) -> DataFrame:
-    """One row per input document; a document without any text counts as failed."""
-    has_text = F.max(F.length(F.coalesce("text", F.lit(""))) > 0)
-    error = F.when(~F.col("has_text"), F.lit("no text"))
-    return inputs.groupBy("doc_id").agg(has_text.alias("has_text")).select("doc_id", error.alias("error"))
+def join_pages(pages: DataFrame) -> DataFrame:
+    """One text per document from its pages; the first page's other columns hold for all."""
+    rest = [c for c in pages.columns if c not in ("doc_id", "page_no", "text")]
+    first = F.min(F.struct("page_no", *rest)).alias("_first")
+    return pages.groupBy("doc_id").agg(page_text("page_no", "text").alias("text"), first).select("doc_id", "text", *[f"_first.{c}" for c in rest])
+
+
+def text_error(text: Column) -> Column:
+    """Why a document cannot be processed, null if it can."""
+    return F.when(F.coalesce(strip(text), F.lit("")) == "", "no text")
+
+
+def batch_summary(processed: DataFrame, failed: DataFrame, batch: Silver, documents: DataFrame, items: DataFrame) -> DataFrame:
+    """Counts of the batch alone: its inputs, and what of it stands in the tables."""
+    results = processed.select(F.lit(None).cast("string").alias("error")).unionByName(failed.select("error"))
+    return ingest_summary(results, key_membership(documents, batch.documents), key_membership(items, batch.documents))

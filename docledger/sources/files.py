@@ -104,7 +104,7 @@ def read_silver_pair(spark: SparkSession, directory: str) -> tuple[DataFrame, Da
         pair = (first.items, first.documents)
     if None in pair:
         found = [r.n for r in names.orderBy("n").limit(20).collect()]
-        raise FileNotFoundError(f"no items and documents files in {directory}, found {found}")
+        raise FileNotFoundError(f"no items and documents files in {directory}; it has {names.count()} files, the first are {found}")
     items, documents = (f"{directory}/{n}" for n in pair)
     return (
         spark.read.schema(SILVER_ITEMS).csv(items, header=True),

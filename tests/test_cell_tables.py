@@ -178,3 +178,13 @@ def test_joins_keep_to_buckets(spark):
     plan = cell_tables.apply_header(rows)._jdf.queryExecution().executedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join [" in line]
     assert joins and all("_bucket" in line for line in joins)
+
+
+def test_many_tokens_in_a_row(spark):
+    import time
+
+    text = "7 $1,000.00 " * 4_000
+    start = time.time()
+    row = cell_tables.same_line_numbers(spark.createDataFrame([(text,)], "t string"), "t").first()
+    assert (row.unit_price, row.quantity, row.line_total) == (1000.0, 7.0, 1000.0)
+    assert time.time() - start < 60

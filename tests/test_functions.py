@@ -122,3 +122,14 @@ def test_supplier_order(spark):
         [("Invoice #: 1 ABC", "2 Foo", "C"), ("", "2 Foo", "C"), (None, "2", "C")], "b string, n string, c string"
     )
     assert [r[0] for r in df.select(fn.supplier_fallback(F.col("b"), F.col("n"), F.col("c"))).collect()] == ["ABC", "Foo", "C"]
+
+
+def test_long_digit_runs_are_read_in_linear_time(spark):
+    from docledger.functions.numbers import money_ocr, to_number_or_null
+
+    texts = ["1" * 1_000_000, "1_" * 300_000 + "1", "1_" * 300_000, "." + "5" * 500_000, " " * 300_000 + "7", "1__2", "_1", "1_.5", "1_000.5_0e1_0"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    found = {r.i: r.v for r in rows.select("i", to_number_or_null(rows.t).alias("v")).collect()}
+    assert found[0] == float("inf") and found[2] is None and found[4] == 7.0
+    assert [found[i] for i in (5, 6, 7)] == [None] * 3 and found[8] == 1000.5e10 and abs(found[3] - 5 / 9) < 1e-12
+    assert rows.select(money_ocr(rows.t)).count() == len(texts)

@@ -47,15 +47,14 @@ def test_invoice_run(spark, invoices, tmp_path):
     assert (a.total_meta, a.diff_sum_vs_subtotal, a.diff_sum_vs_total) == (Decimal("33231.00"), Decimal("0.00"), Decimal("-1881.00"))
     b = documents["in/b.pdf"]
     assert (b.total_meta, b.diff_sum_vs_subtotal, b.extraction_flavor) == (Decimal("41.00"), Decimal("-5.00"), "stream")
-    c = documents["in/c.pdf"]
-    assert (c.items_count, c.document_number, c.party_name) == (0, "Not Found", None)
-    assert c.document_id.startswith("UNKNOWN-")
+    assert set(documents) == {"in/a.pdf", "in/b.pdf"}
+    assert [tuple(r) for r in run["failed"].collect()] == [("c", "no text")]
     report = {name: [tuple(r) for r in df.collect()] for name, df in run["report"].items()}
-    assert report["overview"] == [(3, 3, "31,385.00")]
+    assert report["overview"] == [(2, 2, "31,385.00")]
     assert report["top_suppliers"] == [("ABC Supplies Ltd.", 2, "31,385.00")]
     assert report["top_items_by_frequency"] == [("Mix", Decimal("331.000")), ("Mesh", Decimal("2.000"))]
     assert report["discrepancies"] == [(b.document_id, "Edge Inc.", "35.00", "40.00", "", "-5.00", "41.00")]
-    assert tuple(run["summary"].first()) == (2, 1, 3, 3, "ok")
+    assert tuple(run["summary"].first()) == (2, 1, 2, 3, "ok")
     assert {r.document_id for r in spark.table("v_consistency_diffs").collect()} == {r.document_id for r in documents.values()}
 
 
@@ -65,13 +64,35 @@ def test_replacing_and_appending(spark, invoices, tmp_path):
     before = {r.id for r in first["line_items"].collect()}
     later = pages.where(F.col("doc_id") == "a"), cells.where(F.col("doc_id") == "a")
     second = pipelines.ingest_invoices(spark, *later, str(tmp_path / "v2"), "2024-02-01T00:00:00", root=str(tmp_path / "v1"))
-    assert second["documents"].count() == 3 and second["line_items"].count() == 3
+    assert second["documents"].count() == 2 and second["line_items"].count() == 3
+    assert tuple(second["summary"].first()) == (1, 0, 1, 1, "ok")
     assert second["documents"].select("updated_at").distinct().count() == 2
     new = {r.id for r in second["line_items"].collect()} - before
     assert len(new) == 1 and min(new) > max(before)
     with pytest.raises(pipelines.LoadRejected, match="duplicate"):
         pipelines.ingest_invoices(spark, *later, str(tmp_path / "v3"), STAMP, root=str(tmp_path / "v2"), replace=False)
-    assert files.read_tables(spark, str(tmp_path / "v2"))[0].count() == 3
+    assert files.read_tables(spark, str(tmp_path / "v2"))[0].count() == 2
+
+
+def test_pages_are_joined_and_paths_normalised(spark, invoices, tmp_path):
+    pages, cells = invoices
+    text = invoice_text(7, "ABC Supplies Ltd.", "Edge Inc.", "27/08/2025", "20.00", "", "20.00").split("\n")
+    rows = [("b", 2, "\n".join(text[4:]), "in\\b.pdf", "stream"), ("b", 1, "\n".join(text[:4]), "in\\b.pdf", "stream")]
+    numbered = spark.createDataFrame(rows, "doc_id string, page_no int, text string, source_path string, extraction_flavor string")
+    run = pipelines.ingest_invoices(spark, numbered, cells, str(tmp_path / "v1"), STAMP)
+    document = run["documents"].first()
+    assert (document.source_path, document.document_id, document.items_count) == ("in/b.pdf", "ABCSUPPL-7-20250827", 2)
+    assert run["line_items"].count() == 2  # cells of documents that are not in the batch are left out
+
+
+def test_receipt_sums_are_those_of_the_cleaned_items(spark):
+    text = "WAL*MART\nWIDGET\n2.00 @ 3.00 0.00\nBOLT 4.00\nSUBTOTAL 10.00\nTOTAL 10.00\n26/01/2015"
+    bronze = pipelines.receipt_meta(spark.createDataFrame([("00", text, "p", "f")], "doc_id string, text string, source_path string, extraction_flavor string"), STAMP)
+    silver = pipelines.receipt_batch(bronze, STAMP)
+    document, items = silver.documents.first(), silver.items.collect()
+    again = reconcile.build_receipt_documents(bronze, bronze.select("doc_id", F.inline("items")), "doc_id", STAMP).first()
+    assert document.sum_line_total == sum(r.line_total for r in items) == again.sum_line_total
+    assert (document.sum_line_total, document.diff_sum_vs_subtotal) == (10.0, 0.0) == (again.sum_line_total, again.diff_sum_vs_subtotal)
 
 
 def test_receipt_run(spark, tmp_path):

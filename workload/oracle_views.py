@@ -62,14 +62,14 @@ WHERE f.quantity IS NOT NULL AND f.line_total IS NOT NULL""",
     "fx_receipt_lines": """
 SELECT document_id, -2 AS a, 0 AS b, upper(supplier_name) AS line FROM fx_receipts WHERE supplier_name IS NOT NULL
  UNION ALL SELECT document_id, -1, 0, 'PH ' || phone FROM fx_receipts
- UNION ALL SELECT document_id, CAST(line_no AS INT), 0, CASE WHEN line_no % 2 = 0 THEN upper(item) || ' ' || CAST(line_total AS VARCHAR) ELSE upper(item) END FROM fx_receipt_items
- UNION ALL SELECT document_id, CAST(line_no AS INT), 1, CAST(CAST(quantity AS DECIMAL(14,2)) AS VARCHAR) || ' @ ' || CAST(unit_price AS VARCHAR) FROM fx_receipt_items WHERE line_no % 2 = 1
- UNION ALL SELECT document_id, 900, 0, 'SUBTOTAL $' || CAST(subtotal_meta AS VARCHAR) FROM fx_receipts WHERE subtotal_meta IS NOT NULL
- UNION ALL SELECT document_id, 901, 0, 'CASH TEND ' || CAST(CAST(sum_line_total + 5 AS DECIMAL(18,2)) AS VARCHAR) FROM fx_receipts
- UNION ALL SELECT document_id, 902, 0, 'CHANGE DUE 5.00' FROM fx_receipts
- UNION ALL SELECT document_id, 903, 0, '# ITEMS SOLD ' || CAST(items_count AS VARCHAR) FROM fx_receipts
- UNION ALL SELECT document_id, 904, 0, 'TC# ' || lpad(CAST(order_key AS VARCHAR), 12, '0') FROM fx_receipts
- UNION ALL SELECT document_id, 905, 0, stamp FROM fx_receipts""",
+ UNION ALL SELECT document_id, line_no, 0, CASE WHEN line_no % 2 = 0 THEN upper(item) || ' ' || CAST(line_total AS VARCHAR) ELSE upper(item) END FROM fx_receipt_items
+ UNION ALL SELECT document_id, line_no, 1, CAST(CAST(quantity AS DECIMAL(14,2)) AS VARCHAR) || ' @ ' || CAST(unit_price AS VARCHAR) FROM fx_receipt_items WHERE line_no % 2 = 1
+ UNION ALL SELECT document_id, (1::BIGINT << 50) + 0, 0, 'SUBTOTAL $' || CAST(subtotal_meta AS VARCHAR) FROM fx_receipts WHERE subtotal_meta IS NOT NULL
+ UNION ALL SELECT document_id, (1::BIGINT << 50) + 1, 0, 'CASH TEND ' || CAST(CAST(sum_line_total + 5 AS DECIMAL(18,2)) AS VARCHAR) FROM fx_receipts
+ UNION ALL SELECT document_id, (1::BIGINT << 50) + 2, 0, 'CHANGE DUE 5.00' FROM fx_receipts
+ UNION ALL SELECT document_id, (1::BIGINT << 50) + 3, 0, '# ITEMS SOLD ' || CAST(items_count AS VARCHAR) FROM fx_receipts
+ UNION ALL SELECT document_id, (1::BIGINT << 50) + 4, 0, 'TC# ' || lpad(CAST(order_key AS VARCHAR), 12, '0') FROM fx_receipts
+ UNION ALL SELECT document_id, (1::BIGINT << 50) + 5, 0, stamp FROM fx_receipts""",
     "fx_receipt_text": """
 SELECT document_id AS doc_id, string_agg(line, chr(10) ORDER BY a, b) AS text FROM fx_receipt_lines GROUP BY document_id""",
     "fx_table_cells": """

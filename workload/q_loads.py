@@ -291,9 +291,3 @@ def union_doc_types(spark, sf):
     documents = views.documents(spark, sf).select("document_id", "doc_type", "party_name", "items_count")
     receipts = documents.where(c("doc_type") == "receipt").drop("party_name")
     return files.union_doc_types(documents.where(c("doc_type") == "invoice"), receipts)
-
-
-@query()
-def scan_documents(spark, sf):
-    """The given files as document binaries, listed without being read."""
-    return files.sorted_inputs(files.scan_documents(spark, sf, "*.parquet")).select("stem", "length")

@@ -1,7 +1,7 @@
 """Invoices, receipts, table cells and OCR passes derived from the given tables.
 
-Every view covers whole tables. Views whose rows have an order are numbered so that an order holding a large part of
-all line items is split: see :func:`line_items`.
+Every view covers whole tables. Views whose rows have an order are numbered in buckets of line numbers, so that no
+window sees a whole order of many lines.
 """
 
 from __future__ import annotations
@@ -9,9 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docledger.operators.positions import BUCKET_ROWS, number_rows
+from docledger.operators.positions import bucket_of, number_rows
 
-HOT_ROWS = 100_000
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
 
 
@@ -20,17 +19,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def _numbered(lineitem: DataFrame) -> DataFrame:
-    """Line items with ``line_no`` in their order.
-
-    Only orders above ``HOT_ROWS`` lines are cut into buckets, by line number and ranges of part keys.
-    """
-    hot = (
-        lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_ROWS).select("l_orderkey")
-    )
-    cut = F.col("l_linenumber").cast("bigint") * (1 << 40) + F.floor(F.col("l_partkey") / 65536).cast("bigint")
-    marked = lineitem.join(hot.withColumn("_hot", F.lit(True)), "l_orderkey", "left")
-    bucket = F.when(F.col("_hot"), cut).otherwise(F.lit(0).cast("bigint"))
-    return number_rows(marked, ["l_orderkey"], LINE_ORDER, bucket, "_pos").withColumn(
+    """Line items with ``line_no`` in their order."""
+    return number_rows(lineitem, ["l_orderkey"], LINE_ORDER, bucket_of(F.col("l_linenumber")), "_pos").withColumn(
         "line_no", F.col("_pos") + 1
     )
 
@@ -142,10 +132,7 @@ def invoice_texts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def receipt_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Printed lines of each receipt as ``(document_id, part, at, line)``, ordered by ``part`` and ``at``.
-
-    A very long order prints as several receipts of at most ``BUCKET_ROWS`` items, so that no text grows without bound.
-    """
+    """Printed lines of each receipt as ``(document_id, at, line)``, ordered by ``at``."""
     heads = ledger(spark, sf).where((F.col("doc_type") == "receipt") & (F.col("items_count") > 0))
     k, name = F.col("order_key"), F.upper("item")
     line = lambda at, text: F.struct(F.lit(at).cast("bigint").alias("at"), text.alias("line"))
@@ -165,9 +152,7 @@ def receipt_lines(spark: SparkSession, sf: str) -> DataFrame:
         line(last + 4, F.concat(F.lit("TC# "), F.lpad(k.cast("string"), 12, "0"))),
         line(last + 5, stamp),
     )
-    framing = heads.select("document_id", F.lit(0).cast("bigint").alias("part"), F.inline(frame)).where(
-        F.col("line").isNotNull()
-    )
+    framing = heads.select("document_id", F.inline(frame)).where(F.col("line").isNotNull())
     items = line_items(spark, sf, numbered=True).where(
         (k % 3 == 0) & F.col("quantity").isNotNull() & F.col("line_total").isNotNull()
     )
@@ -177,19 +162,16 @@ def receipt_lines(spark: SparkSession, sf: str) -> DataFrame:
     ))
     at = lambda half, text: F.struct((2 * no + half).cast("bigint").alias("at"), text.alias("line"))
     printed = F.when(no % 2 == 0, F.array(at(0, total))).otherwise(F.array(at(0, name), at(1, counted)))
-    body = items.select("document_id", F.floor((no - 1) / BUCKET_ROWS).alias("part"), F.inline(printed))
+    body = items.select("document_id", F.inline(printed))
     return framing.unionByName(body)
 
 
 def receipt_texts(spark: SparkSession, sf: str) -> DataFrame:
-    """Recognised text of each receipt. A text holds at most ``2 * BUCKET_ROWS`` lines and its frame."""
-    part = F.col("part")
-    doc_id = F.concat("document_id", F.when(part > 0, F.concat(F.lit("-"), part)).otherwise(F.lit("")))
+    """Recognised text of each receipt."""
     return (
         receipt_lines(spark, sf)
-        .groupBy("document_id", "part")
+        .groupBy(F.col("document_id").alias("doc_id"))
         .agg(F.expr("listagg(line, '\\n') WITHIN GROUP (ORDER BY at)").alias("text"))
-        .select(doc_id.alias("doc_id"), "text")
     )
 
 
