@@ -130,10 +130,11 @@ def recurring_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, depth:
     alone = lines.where((F.col("several") == 1) & (F.col("fixed") >= enough) & (F.col("fixed") > 0))
     alone = alone.select(*LINE, F.col("h1").alias("t1"), F.col("h2").alias("t2"), "docs")
 
+    # What grows with the documents is never broadcast, however small it is here: hence the hints.
     want = F.struct(*LINE, "docs", "n", F.col("sample.line").alias("line"))
     want = lines.where("several > 1").groupBy(F.col("sample.k").alias("k")).agg(F.collect_list(want).alias("want"))
     types = "leaf long, h1 long, h2 long, docs long, n int, place int, token long"
-    tokens = settled(map_arrow(keyed.join(want, "k").dropDuplicates(["k"]), _tokens, types))
+    tokens = settled(map_arrow(keyed.join(want.hint("merge"), "k").dropDuplicates(["k"]), _tokens, types))
     places = settled(tokens.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("having")).where(F.col("having") >= min_documents))
     kept = tokens.join(places, ["leaf", "place", "token"]).groupBy(*LINE, "n", "docs")
     kept = kept.agg(
@@ -183,7 +184,7 @@ def drop_recurring_lines(
             rest = [n for n in own if n != "text"]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in rest), *new], names=[*rest, "text", *names])
 
-    whole = docs.select(*own, row_key().alias(key)).join(found, key, "left").drop(key)
+    whole = docs.select(*own, row_key().alias(key)).join(found.hint("merge"), key, "left").drop(key)
     types = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in own if c != "text")
     done = map_arrow(whole, run, f"{types}, text string, `{names[0]}` int, `{names[1]}` array<int>")
     return done.select(*own, *names)
