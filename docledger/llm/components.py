@@ -28,7 +28,7 @@ def components(links: DataFrame) -> DataFrame:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("at"), F.least("a", "m").alias("m"))
         large = both.join(least, both["a"] == least["at"]).where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        links = settled(_star(large.where(F.col("a") != F.col("b")).distinct(), "a", "b"))
+        links = settled(_star(large.where(F.col("a") != F.col("b")), "a", "b"))
         now = links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now == mark:
             return links.select(F.col("a").alias("node"), F.col("b").alias("root"))

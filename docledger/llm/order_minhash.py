@@ -5,8 +5,8 @@ takes the ``2`` shingles with the smallest hashes and keeps them in text order:
 order, which follows the edit similarity better than sets of shingles do.
 
 Documents that share a draw are candidates. A bucket is never expanded into pairs: its members are compared with one of
-them. In the next round one member of each other class is compared with another one, and so on until a round finds no
-link. A candidate is a link if 1 - (word edits / words of the longer text) is at least ``SIMILARITY``; the alignment only
+them, at first each text only with the one that it shares most draws with. In the next rounds one member of each class in a
+bucket is compared with another class's, until a round finds no link. A candidate is a link if 1 - (word edits / words of the longer text) is at least ``SIMILARITY``; the alignment only
 visits cells that near the diagonal, which suffices to decide that. Classes are the connected components.
 
 Exact copies are one node from the first aggregation on, so groups of them of any size cost nothing later.
@@ -194,9 +194,9 @@ def near_duplicates(
     drawn = nodes.select("node", F.explode("draws").alias("draw"))
     # Small sides of joins on hot keys are settled first: then Spark can split the large side's partitions.
     several = settled(drawn.groupBy("draw").count().where("count > 1").select("draw"))
-    shared = settled(drawn.join(several, "draw", "left_semi"))
+    shared = settled(drawn.join(several.hint("merge"), "draw", "left_semi"))
     members = shared.select("node").distinct()
-    texts = keyed.join(nodes.join(members, "node").select("k", "node"), "k").select("node", "text")
+    texts = keyed.join(nodes.join(members, "node").select("k", "node").hint("merge"), "k").select("node", "text")
     node_type = nodes.schema["node"].dataType.simpleString()
     # Dealt by node once: the rounds' joins find it in place.
     words = write_once(map_arrow(texts, _as_words, f"node {node_type}, words binary").dropDuplicates(["node"]))
@@ -212,21 +212,22 @@ def near_duplicates(
         order = F.struct(F.xxhash64(F.lit(-turn), "node"), "node") if turn else F.col("node")
         chosen = inside.groupBy("draw").agg(F.min_by(F.struct("node", "root"), order).alias("chosen"), F.count(F.lit(1)).alias("in_draw"))
         chosen = settled(chosen.where("in_draw > 1").select("draw", "chosen"))
-        if turn:  # classes only grow, so draws of one class are done with
+        if turn == 1:  # classes only grow, so draws of one class are done with
             shared = settled(shared.join(chosen.select("draw"), "draw", "left_semi"))
         pairs = inside.join(chosen, "draw").where(F.col("root") != F.col("chosen.root"))
-        ordered = F.array_sort(F.array(F.struct("node", "root"), F.struct("chosen.node", "chosen.root")))
-        pairs = pairs.select(ordered.alias("p")).distinct().select(F.col("p")[1].alias("x"), F.col("p")[0].alias("y"))
-        pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.root").alias("ra"), F.col("y.root").alias("rb"))
-        sides = pairs.join(words.withColumnRenamed("node", "a"), "a")
-        sides = sides.join(words.select(F.col("node").alias("b"), F.col("words").alias("others")), "b")
+        pairs = pairs.select(F.col("node").alias("a"), F.col("chosen.node").alias("b"), F.col("root").alias("ra"), F.col("chosen.root").alias("rb"))
+        pairs = pairs.groupBy("a", "b", "ra", "rb").count()
+        if not turn:  # at first each text meets only the one that it shares most draws with
+            best = F.struct("count", F.xxhash64("b").alias("h"), "b", "rb")
+            pairs = pairs.groupBy("a", "ra").agg(F.max(best).alias("best")).select("a", "best.b", "ra", "best.rb")
+        # What grows with the documents is never broadcast, however small it is here: hence the hints.
+        sides = pairs.join(words.withColumnRenamed("node", "a").hint("merge"), "a")
+        sides = sides.join(words.select(F.col("node").alias("b"), F.col("words").alias("others")).hint("merge"), "b")
         new = settled(map_arrow(sides, _aligned(similarity), ", ".join(f"{c} {node_type}" for c in ("a", "b", "ra", "rb"))))
         links = new.select("a", "b") if links is None else links.unionByName(new.select("a", "b"))
         if new.isEmpty():
             break
         step = settled(new.groupBy(F.greatest("ra", "rb").alias("root")).agg(F.min(F.least("ra", "rb")).alias("to")))
-        again = step.select(F.col("root").alias("to"), F.col("to").alias("then"))
-        step = settled(step.join(again, "to", "left").select("root", F.coalesce("then", "to").alias("to")))
         roots = settled(roots.join(step, "root", "left").select("node", F.coalesce("to", "root").alias("root")))
         turn += 1
     roots = components(links)
