@@ -19,10 +19,10 @@ from docledger.llm import (
     url_templates,
     word_repeats,
 )
+from docledger.llm.oracles import ORACLES  # noqa: F401
 from docledger.llm.store import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(fn):
