@@ -40,11 +40,9 @@ def _document_values(line_items: DataFrame) -> DataFrame:
 
 
 def _items_of(documents: DataFrame, line_items: DataFrame, doc_type: str, value: Column) -> DataFrame:
-    """``value`` per (document, item) for the documents of a type, with the number of lines."""
-    per_document = line_items.groupBy("document_id", "item").agg(
-        F.count(F.lit(1)).alias("lines"), value.alias("value")
-    )
-    return per_document.join(of_type(documents, doc_type).select("document_id"), "document_id")
+    """``value`` per item over the documents of a type, with the number of lines."""
+    rows = line_items.join(of_type(documents, doc_type).select("document_id"), "document_id", "left_semi")
+    return rows.groupBy("item").agg(F.count(F.lit(1)).alias("lines"), value.alias("value"))
 
 
 def _quantity() -> Column:
@@ -81,26 +79,19 @@ def invoice_top_suppliers(documents: DataFrame, line_items: DataFrame, n: int =
         _document_values(line_items)
         .join(invoices, "document_id")
         .groupBy("supplier_name")
-        .agg(F.countDistinct("document_id").alias("invoices"), _zero_sum("value").alias("total_value"))
+        .agg(F.count(F.lit(1)).alias("invoices"), _zero_sum("value").alias("total_value"))
     )
     return _top(totals, "total_value", "supplier_name", n)
 
 
 def invoice_top_items_by_value(documents: DataFrame, line_items: DataFrame, n: int = TOP_N) -> DataFrame:
-    totals = (
-        _items_of(documents, line_items, "invoice", _sum("line_total"))
-        .groupBy("item")
-        .agg(F.sum("lines").alias("lines"), _zero_sum("value").alias("total_value"))
-    )
+    totals = _items_of(documents, line_items, "invoice", _zero_sum("line_total"))
+    totals = totals.withColumnRenamed("value", "total_value")
     return _top(totals, "total_value", "item", n)
 
 
 def invoice_top_items_by_frequency(documents: DataFrame, line_items: DataFrame, n: int = TOP_N) -> DataFrame:
-    totals = (
-        _items_of(documents, line_items, "invoice", _quantity())
-        .groupBy("item")
-        .agg(F.sum("value").cast("decimal(28,3)").alias("quantity"))
-    )
+    totals = _items_of(documents, line_items, "invoice", _quantity()).select("item", F.col("value").alias("quantity"))
     return _top(totals, "quantity", "item", n)
 
 
@@ -145,20 +136,13 @@ def receipt_top_merchants(documents: DataFrame, n: int = TOP_N) -> DataFrame:
 
 
 def receipt_top_items_by_value(documents: DataFrame, line_items: DataFrame, n: int = TOP_N) -> DataFrame:
-    totals = (
-        _items_of(documents, line_items, "receipt", _sum("line_total"))
-        .groupBy("item")
-        .agg(F.sum("value").cast(MONEY).alias("total"))
-    )
+    totals = _items_of(documents, line_items, "receipt", F.sum("line_total").cast(MONEY))
+    totals = totals.select("item", F.col("value").alias("total"))
     return _top(totals, "total", "item", n)
 
 
 def receipt_top_items_by_frequency(documents: DataFrame, line_items: DataFrame, n: int = TOP_N) -> DataFrame:
-    totals = (
-        _items_of(documents, line_items, "receipt", _quantity())
-        .groupBy("item")
-        .agg(F.sum("value").cast("decimal(28,3)").alias("qty"))
-    )
+    totals = _items_of(documents, line_items, "receipt", _quantity()).select("item", F.col("value").alias("qty"))
     return _top(totals, "qty", "item", n)
 
 
