@@ -44,12 +44,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def text_hash(text: str | Column = "text") -> Column:
-    """128 bits of the text; null counts as empty."""
-    whole = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
-    return F.struct(F.xxhash64(whole).alias("a"), F.xxhash64(F.lit(7), whole, F.length(whole)).alias("b"))
-
-
 def row_key() -> Column:
     """Identifies a document by its id and whole text; rows equal in both are interchangeable for every operator here.
 

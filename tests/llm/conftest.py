@@ -1,21 +1,17 @@
 import os
-import random
 import sys
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from brute import prose  # noqa: E402
+
 DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that the operators use inside, as extra columns of the input.
 EXTRA = "k string, score string, size string, toxic string, anchor string, draw string, weight string, value string, n string, slice string, taken string, dropped string, threshold string"
 
 
-def prose(seed: int, n: int, words: int = 400) -> str:
-    draw = random.Random(seed)
-    return " ".join(f"w{draw.randrange(words)}" for _ in range(n))
-
-
 @pytest.fixture(scope="session")
 def make(spark):
     """Documents from (doc_id, text) or longer rows, with extra columns of clashing names."""

@@ -2,7 +2,7 @@ import random
 import re
 
 import brute
-from conftest import prose
+from brute import prose
 
 from docledger.llm import decontamination
 

@@ -1,7 +1,7 @@
 import random
 
 import brute
-from conftest import prose
+from brute import prose
 
 from docledger.llm import mixing
 

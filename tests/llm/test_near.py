@@ -2,7 +2,7 @@ import random
 
 import brute
 import numpy as np
-from conftest import prose
+from brute import prose
 
 from docledger.llm import components, order_minhash
 

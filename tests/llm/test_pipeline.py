@@ -2,7 +2,7 @@ import random
 
 import corpus_pipeline
 import pytest
-from conftest import prose
+from brute import prose
 
 import __spark_entry__ as contract
 from docledger.llm import queries

@@ -3,7 +3,7 @@ import random
 import brute
 import numpy as np
 import pytest
-from conftest import prose
+from brute import prose
 from pyspark.sql import functions as F
 
 from docledger.llm import buffers, byte_repeats, repeats, word_repeats
