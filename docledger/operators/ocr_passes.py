@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docledger.functions.strings import keyword_score, line_key
-from docledger.operators.lines import dedup_lines_keep_first, explode_lines
+from docledger.functions.text import filled_lines
 
 VARIANT = ["doc_id", "variant_no", "variant"]
 
@@ -21,16 +21,33 @@ def rank_ocr_pass(passes: DataFrame) -> DataFrame:
 def merge_ocr_passes(passes: DataFrame) -> DataFrame:
     """Text of each variant with the lines of all its passes, each line once, and the best configuration.
 
-    Repeated lines collapse by key before anything is gathered; only the merged text itself is built per variant.
+    The passes of a variant meet once, in one row: what is gathered is no more than the few readings of one image, which the
+    merged text bounds. Lines are then sorted by key, of equal ones the first stays, and the rest go back to their order.
     """
-    lines = explode_lines(passes.select(*VARIANT, "pass_no", "text"))
-    distinct = dedup_lines_keep_first(lines, VARIANT, line_key(F.col("line")), ["pass_no", "line_no"], "line")
-    texts = distinct.groupBy(*VARIANT).agg(
-        F.expr("listagg(line, '\\n') WITHIN GROUP (ORDER BY pass_no, line_no)").alias("text")
+    read = F.struct("pass_no", "cfg", keyword_score(F.col("text")).alias("score"), F.col("text"))
+    best = F.array_min(F.transform("_passes", lambda p: F.struct(-p["score"], p["pass_no"], p["cfg"].alias("cfg"))))["cfg"]
+    lines = F.flatten(
+        F.transform(
+            "_passes",
+            lambda p: F.transform(
+                filled_lines(F.coalesce(p["text"], F.lit(""))),
+                lambda line, no: F.struct(
+                    line_key(line).alias("key"), p["pass_no"].alias("pass_no"), no.alias("line_no"), line.alias("line")
+                ),
+            ),
+        )
+    )
+    by_key = F.col("_lines")
+    is_first = lambda x, i: (i == 0) | (F.get(by_key, i - 1)["key"] != x["key"])
+    placed = F.transform(F.filter(by_key, is_first), lambda x: F.struct(x["pass_no"], x["line_no"], x["line"].alias("line")))
+    text = F.array_join(F.transform(F.array_sort(placed), lambda x: x["line"]), "\n")
+    return (
+        passes.groupBy(*VARIANT)
+        .agg(F.collect_list(read).alias("_passes"))
+        .select(*VARIANT, best.alias("cfg"), F.array_sort(lines).alias("_lines"))
+        .select(*VARIANT, "cfg", text.alias("text"))
+        .withColumn("score", keyword_score(F.col("text")))
     )
-    merged = rank_ocr_pass(passes).select(*VARIANT, "cfg").join(texts, VARIANT, "left")
-    text = F.coalesce("text", F.lit(""))
-    return merged.select(*VARIANT, "cfg", text.alias("text"), keyword_score(text).alias("score"))
 
 
 def rank_ocr_variant(merged: DataFrame) -> DataFrame:
