@@ -134,7 +134,7 @@ def map_columns(df: DataFrame) -> DataFrame:
 
 def header_table_to_items(rows: DataFrame) -> DataFrame:
     """Typed items of the tables with a header; noise dropped, missing totals filled."""
-    return _header_items(rows).drop("last_bucket")
+    return _header_items(write_once(rows)).drop("last_bucket")
 
 
 def _header_items(rows: DataFrame) -> DataFrame:
@@ -342,7 +342,8 @@ def best_candidate(scores: DataFrame) -> DataFrame:
 
 def choose_items(cells: DataFrame) -> DataFrame:
     """Items of the best parse of the best table of each document."""
-    candidates = union_candidates(table_rows(cells))
+    # The header search, the header's rows and the pairs all read the rows: they are numbered once, and stay dealt by bucket.
+    candidates = union_candidates(write_once(table_rows(cells)))
     per_bucket = candidates.groupBy(*PART, "path").agg(
         F.sum(numeric_cells()).alias("numeric_cells"), F.count(F.lit(1)).alias("rows")
     )
