@@ -5,8 +5,8 @@ takes the ``2`` shingles with the smallest hashes and keeps them in text order:
 order, which follows the edit similarity better than sets of shingles do.
 
 Documents that share a draw are candidates. A bucket is never expanded into pairs: its members are compared with one of
-them, at first each text only with the one that it shares most draws with. In the next rounds one member of each class in a
-bucket is compared with another class's, until a round finds no link. A candidate is a link if 1 - (word edits / words of the longer text) is at least ``SIMILARITY``; the alignment only
+them, at first each text with the ``FIRST_CANDIDATES`` such members that it shares most draws with. In the next rounds one
+member of each class in a bucket is compared with another class's, until a round finds no link. A candidate is a link if 1 - (word edits / words of the longer text) is at least ``SIMILARITY``; the alignment only
 visits cells that near the diagonal, which suffices to decide that. Classes are the connected components.
 
 Exact copies are one node from the first aggregation on, so groups of them of any size cost nothing later.
@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docledger.llm import buffers
@@ -34,6 +34,7 @@ from docledger.llm.store import fresh, map_arrow, row_key, settled
 from docledger.operators.lineage import write_once
 
 SHINGLE, SKETCHES, SIMILARITY = 5, 32, 0.8
+FIRST_CANDIDATES = 8  # of a text in the first round; later rounds have no such bound
 
 _DRAW = np.random.default_rng(20190714)
 _SALTS = _DRAW.integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -217,9 +218,10 @@ def near_duplicates(
         pairs = inside.join(chosen, "draw").where(F.col("root") != F.col("chosen.root"))
         pairs = pairs.select(F.col("node").alias("a"), F.col("chosen.node").alias("b"), F.col("root").alias("ra"), F.col("chosen.root").alias("rb"))
         pairs = pairs.groupBy("a", "b", "ra", "rb").count()
-        if not turn:  # at first each text meets only the one that it shares most draws with
-            best = F.struct("count", F.xxhash64("b").alias("h"), "b", "rb")
-            pairs = pairs.groupBy("a", "ra").agg(F.max(best).alias("best")).select("a", "best.b", "ra", "best.rb")
+        if not turn:  # the most promising first: the others seldom have to be aligned any more
+            best = Window.partitionBy("a").orderBy(F.desc("count"), F.xxhash64("b"), "b")
+            pairs = pairs.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= FIRST_CANDIDATES)
+        pairs = pairs.select("a", "b", "ra", "rb")
         # What grows with the documents is never broadcast, however small it is here: hence the hints.
         sides = pairs.join(words.withColumnRenamed("node", "a").hint("merge"), "a")
         sides = sides.join(words.select(F.col("node").alias("b"), F.col("words").alias("others")).hint("merge"), "b")
