@@ -55,3 +55,26 @@ def test_reports_read_only_their_type(spark, tmp_path):
     views.documents(spark, "/root/testdata/sf0.001").write.partitionBy("doc_type").parquet(path)
     plan = reports.receipt_top_merchants(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(doc_type" in plan and "ReadSchema: struct<supplier_name:string,total_meta:decimal(18,2)>" in plan
+
+
+def test_a_long_order_is_one_receipt_in_both_engines(spark, sf, tmp_path):
+    """An order of several buckets of lines prints as one text, with the same lines in the same places."""
+    import shutil
+
+    import pandas as pd
+
+    for name in check.TABLES:
+        shutil.copy(f"{sf}/{name}.parquet", tmp_path)
+    lines = pd.read_parquet(f"{sf}/lineitem.parquet")
+    key = next(k for k in sorted(lines.l_orderkey.unique()) if k % 3 == 0 and k % 13 != 5 and k % 7 != 3)
+    own = lines[lines.l_orderkey == key]
+    many = pd.concat([own] * (9_000 // len(own) + 1), ignore_index=True)
+    many["l_linenumber"] = range(1, len(many) + 1)
+    many = many.astype(lines.dtypes.to_dict())
+    pd.concat([lines[lines.l_orderkey != key], many], ignore_index=True).to_parquet(tmp_path / "lineitem.parquet")
+    from workload import views
+    from workload.oracle_views import with_views
+
+    texts = views.receipt_texts(spark, str(tmp_path))
+    assert texts.where(f"doc_id = 'ORD-{key}'").count() == 1
+    assert check.compare(texts, check.connect(str(tmp_path)), with_views("SELECT doc_id, text FROM fx_receipt_text")) is None
