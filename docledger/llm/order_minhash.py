@@ -5,8 +5,9 @@ takes the ``2`` shingles with the smallest hashes and keeps them in text order:
 order, which follows the edit similarity better than sets of shingles do.
 
 Documents that share a draw are candidates. A bucket is never expanded into pairs: its members are compared with one of
-them, at first each text with the ``FIRST_CANDIDATES`` such members that it shares most draws with. In the next rounds one
-member of each class in a bucket is compared with another class's, until a round finds no link. A candidate is a link if 1 - (word edits / words of the longer text) is at least ``SIMILARITY``; the alignment only
+them: at first each text with the ``FIRST_CANDIDATES`` such members that it shares most draws with, then with all others that
+are not in its class yet. After that, one member of each class in a bucket is compared with another class's, until a
+round finds no link. A candidate is a link if 1 - (word edits / words of the longer text) is at least ``SIMILARITY``; the alignment only
 visits cells that near the diagonal, which suffices to decide that. Classes are the connected components.
 
 Exact copies are one node from the first aggregation on, so groups of them of any size cost nothing later.
@@ -34,7 +35,7 @@ from docledger.llm.store import fresh, map_arrow, row_key, settled
 from docledger.operators.lineage import write_once
 
 SHINGLE, SKETCHES, SIMILARITY = 5, 32, 0.8
-FIRST_CANDIDATES = 8  # of a text in the first round; later rounds have no such bound
+FIRST_CANDIDATES = 8  # of a text in the first round; the second compares the others
 
 _DRAW = np.random.default_rng(20190714)
 _SALTS = _DRAW.integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -202,15 +203,14 @@ def near_duplicates(
     # Dealt by node once: the rounds' joins find it in place.
     words = write_once(map_arrow(texts, _as_words, f"node {node_type}, words binary").dropDuplicates(["node"]))
 
-    roots = members.withColumn("root", F.col("node"))  # of the classes as far as known, to leave out needless pairs
+    roots = members.withColumn("root", F.col("node"))
     links, turn = None, 0
     while True:
-        inside = shared.withColumn("root", F.col("node"))
-        if turn:
+        inside = shared.join(roots, "node") if turn else shared.withColumn("root", F.col("node"))
+        if turn > 1:
             # Of each class in a draw one member, another one each time.
-            inside = shared.join(roots, "node").groupBy("draw", "root")
-            inside = inside.agg(F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node"))["node"].alias("node"))
-        order = F.struct(F.xxhash64(F.lit(-turn), "node"), "node") if turn else F.col("node")
+            inside = inside.groupBy("draw", "root").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node"))["node"].alias("node"))
+        order = F.struct(F.xxhash64(F.lit(-turn), "node"), "node") if turn > 1 else F.col("node")
         chosen = inside.groupBy("draw").agg(F.min_by(F.struct("node", "root"), order).alias("chosen"), F.count(F.lit(1)).alias("in_draw"))
         chosen = settled(chosen.where("in_draw > 1").select("draw", "chosen"))
         if turn == 1:  # classes only grow, so draws of one class are done with
@@ -227,12 +227,13 @@ def near_duplicates(
         sides = sides.join(words.select(F.col("node").alias("b"), F.col("words").alias("others")).hint("merge"), "b")
         new = settled(map_arrow(sides, _aligned(similarity), ", ".join(f"{c} {node_type}" for c in ("a", "b", "ra", "rb"))))
         links = new.select("a", "b") if links is None else links.unionByName(new.select("a", "b"))
-        if new.isEmpty():
+        if new.isEmpty() and turn:
             break
-        step = settled(new.groupBy(F.greatest("ra", "rb").alias("root")).agg(F.min(F.least("ra", "rb")).alias("to")))
-        roots = settled(roots.join(step, "root", "left").select("node", F.coalesce("to", "root").alias("root")))
+        # Only classes that were linked in this round are joined, so their graph is small.
+        joined = components(new.select(F.col("ra").alias("a"), F.col("rb").alias("b"))).select(F.col("node").alias("root"), F.col("root").alias("to"))
+        roots = settled(roots.join(joined, "root", "left").select("node", F.coalesce("to", "root").alias("root")))
         turn += 1
-    roots = components(links)
+    roots = roots.where(F.col("root") != F.col("node"))
     classes = nodes.select("a", "b", "node", F.col("k").alias("first")).join(roots, "node", "left")
     classes = classes.select("a", "b", F.coalesce("root", "node").alias("root"), (F.col("root").isNull()).alias("is_root"), "first")
     found = rows.where("n > 0").join(classes, ["a", "b"])
