@@ -4,11 +4,12 @@ A document's shingles of ``SHINGLE`` words are labelled with their occurrence, s
 takes the ``2`` shingles with the smallest hashes and keeps them in text order: equal draws need equal shingles in equal
 order, which follows the edit similarity better than sets of shingles do.
 
-Documents that share a draw are candidates. A bucket is never expanded into pairs: its members are compared with one of
-them: at first each text with the ``FIRST_CANDIDATES`` such members that it shares most draws with, then with all others that
-are not in its class yet. After that, one member of each class in a bucket is compared with another class's, until a
-round finds no link. A candidate is a link if 1 - (word edits / words of the longer text) is at least ``SIMILARITY``; the alignment only
-visits cells that near the diagonal, which suffices to decide that. Classes are the connected components.
+Documents that share a draw are candidates. A bucket's members are compared with one of them: at first each text with the
+``FIRST_CANDIDATES`` such members that it shares most draws with, then with all others that are not in its class yet. After
+that, members outside a bucket's largest class are chosen, 16 times as many each round, and compared with all others of the
+bucket, until every pair of texts in a bucket was compared or is in one class. Pairs whose lengths alone rule a link out need
+no alignment. A candidate is a link if 1 - (word edits / words of the longer text) is at least ``SIMILARITY``; the alignment
+only visits cells that near the diagonal, which suffices to decide that. Classes are the connected components.
 
 Exact copies are one node from the first aggregation on, so groups of them of any size cost nothing later.
 
@@ -175,6 +176,23 @@ def _aligned(similarity: float):
     return run
 
 
+def _next_chosen(inside: DataFrame, about: int, turn: int) -> tuple[DataFrame, DataFrame | None]:
+    """Members of the draws that still have pairs to compare, and the next to be compared with all of their draw.
+
+    Every pair of two classes has a member outside the draw's largest class. Of such members that are not done yet about
+    ``about`` are chosen, all if they are fewer; None if no draw has any.
+    """
+    held = inside.groupBy("draw", "root").agg(F.count(F.lit(1)).alias("size"), F.count_if(~F.col("done")).alias("open"))
+    largest = held.groupBy("draw").agg(F.max(F.struct("size", "root"))["root"].alias("largest"), F.sum("open").alias("all_open"), F.max(F.struct("size", "root", "open"))["open"].alias("inner"))
+    left = settled(largest.withColumn("waiting", F.col("all_open") - F.col("inner")).where("waiting > 0").select("draw", "largest", "waiting"))
+    if left.isEmpty():
+        return inside, None
+    inside = settled(inside.join(left, "draw"))
+    rate = F.ceil(F.col("waiting") / F.lit(about))
+    picked = inside.where(~F.col("done") & (F.col("root") != F.col("largest")) & (F.pmod(F.xxhash64(F.lit(turn), "node"), rate) == 0))
+    return inside.drop("largest", "waiting"), settled(picked.select("draw", F.struct("node", "n", "root").alias("chosen")))
+
+
 def near_duplicates(
     docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE, draws: int = SKETCHES
 ) -> tuple[DataFrame, DataFrame]:
@@ -203,20 +221,32 @@ def near_duplicates(
     # Dealt by node once: the rounds' joins find it in place.
     words = write_once(map_arrow(texts, _as_words, f"node {node_type}, words binary").dropDuplicates(["node"]))
 
-    roots = members.withColumn("root", F.col("node"))
+    roots = nodes.join(members, "node").select("node", "n", F.col("node").alias("root"))
     links, turn = None, 0
+    shared = shared.withColumn("done", F.lit(False))  # compared with all of its draw
     while True:
-        inside = shared.join(roots, "node") if turn else shared.withColumn("root", F.col("node"))
-        if turn > 1:
-            # Of each class in a draw one member, another one each time.
-            inside = inside.groupBy("draw", "root").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node"))["node"].alias("node"))
-        order = F.struct(F.xxhash64(F.lit(-turn), "node"), "node") if turn > 1 else F.col("node")
-        chosen = inside.groupBy("draw").agg(F.min_by(F.struct("node", "root"), order).alias("chosen"), F.count(F.lit(1)).alias("in_draw"))
-        chosen = settled(chosen.where("in_draw > 1").select("draw", "chosen"))
-        if turn == 1:  # classes only grow, so draws of one class are done with
-            shared = settled(shared.join(chosen.select("draw"), "draw", "left_semi"))
-        pairs = inside.join(chosen, "draw").where(F.col("root") != F.col("chosen.root"))
-        pairs = pairs.select(F.col("node").alias("a"), F.col("chosen.node").alias("b"), F.col("root").alias("ra"), F.col("chosen.root").alias("rb"))
+        inside = shared.join(roots, "node")
+        if turn < 2:
+            chosen = inside.groupBy("draw").agg(F.min(F.struct("node", "n", "root")).alias("chosen"), F.min("root").alias("low"), F.max("root").alias("high"))
+            chosen = settled(chosen.where("low != high").select("draw", "chosen"))
+        else:
+            inside, chosen = _next_chosen(inside, FIRST_CANDIDATES * 16 ** (turn - 2), turn)
+            if chosen is None:
+                break
+        if turn:  # classes only grow, so draws of one class are done with
+            marks = chosen.select("draw", F.col("chosen.node").alias("node"), F.lit(True).alias("now"))
+            still = shared.join(inside.select("draw").distinct() if turn > 1 else chosen.select("draw"), "draw", "left_semi")
+            still = still.join(marks.hint("merge"), ["draw", "node"], "left")
+            following = settled(still.select("draw", "node", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done")))
+        pairs = inside.join(chosen, "draw").where(~F.col("done") & (F.col("root") != F.col("chosen.root")))
+        longer = F.greatest("n", "chosen.n")
+        pairs = pairs.where(F.abs(F.col("n") - F.col("chosen.n")) <= F.floor(F.lit(1 - similarity) * longer + F.lit(1e-9)))
+        one, other = F.struct("node", "root"), F.struct(F.col("chosen.node").alias("node"), F.col("chosen.root").alias("root"))
+        if turn > 1:  # both may be chosen
+            one, other = F.greatest(one, other), F.least(one, other)
+        pairs = pairs.select(one.alias("x"), other.alias("y")).select(
+            F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.root").alias("ra"), F.col("y.root").alias("rb")
+        )
         pairs = pairs.groupBy("a", "b", "ra", "rb").count()
         if not turn:  # the most promising first: the others seldom have to be aligned any more
             best = Window.partitionBy("a").orderBy(F.desc("count"), F.xxhash64("b"), "b")
@@ -227,11 +257,12 @@ def near_duplicates(
         sides = sides.join(words.select(F.col("node").alias("b"), F.col("words").alias("others")).hint("merge"), "b")
         new = settled(map_arrow(sides, _aligned(similarity), ", ".join(f"{c} {node_type}" for c in ("a", "b", "ra", "rb"))))
         links = new.select("a", "b") if links is None else links.unionByName(new.select("a", "b"))
-        if new.isEmpty() and turn:
-            break
-        # Only classes that were linked in this round are joined, so their graph is small.
-        joined = components(new.select(F.col("ra").alias("a"), F.col("rb").alias("b"))).select(F.col("node").alias("root"), F.col("root").alias("to"))
-        roots = settled(roots.join(joined, "root", "left").select("node", F.coalesce("to", "root").alias("root")))
+        if not new.isEmpty():
+            # Only classes that were linked in this round are joined, so their graph is small.
+            joined = components(new.select(F.col("ra").alias("a"), F.col("rb").alias("b"))).select(F.col("node").alias("root"), F.col("root").alias("to"))
+            roots = settled(roots.join(joined, "root", "left").select("node", "n", F.coalesce("to", "root").alias("root")))
+        if turn:
+            shared = following
         turn += 1
     roots = roots.where(F.col("root") != F.col("node"))
     classes = nodes.select("a", "b", "node", F.col("k").alias("first")).join(roots, "node", "left")

@@ -76,3 +76,17 @@ def test_components(spark):
     found = components.components(spark.createDataFrame(chain, "a long, b long"))
     expected = {(i, 0) for i in range(1, 41)} | {(100, 0), (201, 200), (202, 200)}
     assert {tuple(r) for r in found.collect()} == expected
+
+
+def test_pairs_behind_a_common_passage(make):
+    """Pairs that only meet in buckets whose chosen member is like neither."""
+    passage, rows, pairs = prose(1, 100, 5000), [], {}
+    for i in range(30):
+        rows.append((i, f"{passage} {prose(100 + i, 60, 5000)}"))
+    for i in range(1000, 1020, 2):
+        own = prose(i, 64, 5000).split()
+        other = [f"new{i}{at}" if at % 2 else w for at, w in enumerate(own)]
+        rows += [(i, f"{passage} {' '.join(own)}"), (i + 1, f"{passage} {' '.join(other)}")]
+        pairs[i + 1] = i
+    found, _ = order_minhash.near_duplicates(make(rows))
+    assert {r["doc_id"]: r["class_id"] for r in found.collect()} == {i: pairs.get(i, i) for i, _ in rows}
