@@ -90,3 +90,19 @@ def test_pairs_behind_a_common_passage(make):
         pairs[i + 1] = i
     found, _ = order_minhash.near_duplicates(make(rows))
     assert {r["doc_id"]: r["class_id"] for r in found.collect()} == {i: pairs.get(i, i) for i, _ in rows}
+
+
+def test_scattered_edits_at_the_threshold(make):
+    """Pairs whose words are replaced at random places, at similarities of the threshold and just above."""
+    draw = random.Random(11)
+    for similarity in (0.80, 0.82, 0.85):
+        rows = []
+        for i in range(150):
+            words = prose(1000 + i, 200, 20000).split()
+            copy = list(words)
+            for at in draw.sample(range(200), round(200 * (1 - similarity))):
+                copy[at] = f"new{at}"
+            rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(copy))]
+        found, _ = order_minhash.near_duplicates(make(rows))
+        joined = sum(r["doc_id"] % 2 == 1 and r["class_id"] == r["doc_id"] - 1 for r in found.collect())
+        assert joined >= 147, (similarity, joined)
