@@ -21,7 +21,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines of recurring templates."""
     names = (fresh(docs, "n_lines"), fresh(docs, "dropped"))
-    return line_templates.drop_recurring_lines(docs, names=names).drop(*names)
+    return line_templates.drop_recurring_lines(docs, most=None, names=names).drop(*names)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

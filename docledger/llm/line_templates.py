@@ -6,8 +6,10 @@ its place; at all other places the leaf's lines vary, and the field is generalis
 least ``FIXED`` of its tokens, and recurs if ``MIN_DOCUMENTS`` documents have a line of it. Lines of recurring templates
 are dropped.
 
-A document most of whose characters would go (over ``MOST``) is a copy of others rather than a text with recurring lines;
-it keeps all its lines, and whether it stays is a matter for near-duplicate detection.
+Copies of one text must not lose their lines to each other. With ``most=None``, as in the registered query and the pipeline, a
+template's documents are counted over the classes of near-duplicates among the documents with recurring lines, so that copies
+alone make no line recur, and recurring lines go whatever their share of a document. With a number, documents count singly and
+one that would lose more than this share of its characters keeps all its lines, copy or not.
 
 Equal lines are counted with partial aggregation before anything else; only lines of leaves that have several different
 ones and enough documents are looked at token by token, and a leaf's tokens are spread over tasks by place and token.
@@ -27,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docledger.llm import buffers
+from docledger.llm.order_minhash import near_duplicates
 from docledger.llm.repeats import row_groups, symbol_values
 from docledger.llm.store import fresh, map_arrow, row_key, settled
 
@@ -113,8 +116,13 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def recurring_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, depth: int = DEPTH, fixed: float = FIXED) -> DataFrame:
-    """``k, line, t1, t2``: the lines, by document and number from 0, of recurring templates."""
+def recurring_lines(
+    docs: DataFrame, min_documents: int = MIN_DOCUMENTS, depth: int = DEPTH, fixed: float = FIXED, by_class: bool = False
+) -> DataFrame:
+    """``k, line, t1, t2``: the lines, by document and number from 0, of recurring templates.
+
+    With ``by_class`` near-duplicates count as one document.
+    """
     keyed = docs.select(row_key().alias("k"), "text")
     key_type = keyed.schema["k"].dataType.simpleString()
     rows = settled(map_arrow(keyed, _lines(depth), f"k {key_type}, leaf long, h1 long, h2 long, line int, n int, fixed int, once boolean"))
@@ -149,7 +157,17 @@ def recurring_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, depth:
     found = settled(rows.join(placed, LINE).select("k", "line", "leaf", "t1", "t2"))
     documents = found.select("leaf", "t1", "t2", "k").distinct().groupBy("leaf", "t1", "t2").count()
     recurring = settled(documents.where(F.col("count") >= min_documents))
-    return found.join(recurring, ["leaf", "t1", "t2"], "left_semi").select("k", "line", "t1", "t2")
+    found = found.join(recurring, ["leaf", "t1", "t2"], "left_semi")
+    if by_class:
+        found = settled(found)
+        some = settled(found.select("k").distinct())
+        chosen = docs.select("doc_id", "text", row_key().alias("k")).join(some.hint("merge"), "k", "left_semi").dropDuplicates(["k"])
+        classes, _ = near_duplicates(chosen.select("doc_id", "text"))
+        classes = settled(classes.select("k", F.struct("class_id", "class_hash").alias("class")))
+        counted = found.select("leaf", "t1", "t2", "k").distinct().join(classes.hint("merge"), "k").select("leaf", "t1", "t2", "class").distinct()
+        recurring = settled(counted.groupBy("leaf", "t1", "t2").count().where(F.col("count") >= min_documents))
+        found = found.join(recurring, ["leaf", "t1", "t2"], "left_semi")
+    return found.select("k", "line", "t1", "t2")
 
 
 def drop_recurring_lines(
@@ -157,7 +175,7 @@ def drop_recurring_lines(
     min_documents: int = MIN_DOCUMENTS,
     depth: int = DEPTH,
     fixed: float = FIXED,
-    most: float = MOST,
+    most: float | None = MOST,
     names: tuple[str, str] = ("n_lines", "dropped"),
 ) -> DataFrame:
     """The columns of ``docs`` with ``text`` replaced, then, by ``names``, the number of lines and the numbers of those that went.
@@ -166,7 +184,7 @@ def drop_recurring_lines(
     """
     own = [c for c in docs.columns if c not in names]
     key, marked = fresh(docs, "line_key"), fresh(docs, "recurring")
-    found = recurring_lines(docs, min_documents, depth, fixed).groupBy(F.col("k").alias(key))
+    found = recurring_lines(docs, min_documents, depth, fixed, by_class=most is None).groupBy(F.col("k").alias(key))
     found = found.agg(F.collect_set("line").alias(marked))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,7 +193,7 @@ def drop_recurring_lines(
             for text, numbers in zip(batch.column("text").to_pylist(), batch.column(marked).to_pylist(), strict=True):
                 lines = [] if text is None else text.split("\n")
                 drop = set(numbers or ())
-                if sum(len(lines[x]) for x in drop) > most * len(text or ""):
+                if most is not None and sum(len(lines[x]) for x in drop) > most * len(text or ""):
                     drop = set()
                 texts.append("\n".join(x for i, x in enumerate(lines) if i not in drop) if drop else text)
                 counts.append(len(lines))

@@ -82,7 +82,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op1_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_templates.drop_recurring_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = line_templates.drop_recurring_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), most=None)
     return kept.select("doc_id", "n_lines", F.size("dropped").alias("n_dropped"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 

@@ -1,8 +1,9 @@
 import random
 
 import brute
+import corpus_pipeline
 
-from docledger.llm import line_templates
+from docledger.llm import line_templates, queries
 
 
 def results(df):
@@ -41,3 +42,19 @@ def test_copies_keep_their_lines(make):
 def test_columns_stay(make):
     docs = make([(1, "a b c d")])
     assert line_templates.drop_recurring_lines(docs, names=("lines", "gone")).columns == [*docs.columns, "lines", "gone"]
+
+
+def test_lines_go_whatever_their_share(spark, tmp_path, make):
+    """Short pages that are mostly shared lines lose them; copies, changed ones too, do not lose their text to each other."""
+    shared = [f"All {x} rights are reserved by the owner of these pages and nobody else may copy them" for x in ("first", "second", "third", "fourth")]
+    own = [" ".join(f"{chr(97 + i)}{chr(97 + n)}z" for n in range(20)) for i in range(12)]
+    rows = [(i, "\n".join([*shared, own[i]])) for i in range(12)]
+    text = [" ".join(f"word{chr(97 + i)}{chr(97 + n)}" for n in range(15)) for i in range(8)]
+    rows += [(100 + i, "\n".join([*text[:i], text[i] + " changed", *text[i + 1 :]])) for i in range(8)]
+    rows += [(200 + i, "\n".join(text)) for i in range(6)]
+    make(rows, extra=False).write.parquet(f"{tmp_path}/documents.parquet")
+    stage = corpus_pipeline.STAGES[1][1](spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    kept = {r["doc_id"]: r["text"] for r in stage.collect()}
+    assert kept == {i: own[i] if i < 100 else t for i, t in rows}
+    counts = {r["doc_id"]: r["n_dropped"] for r in queries.op1_line_templates(spark, str(tmp_path)).collect()}
+    assert counts == {i: 4 if i < 100 else 0 for i, _ in rows}
