@@ -1,10 +1,12 @@
 """Line deduplication by a tree of line templates.
 
 A line's place in the tree is fixed by its number of tokens and its first ``DEPTH`` tokens; tokens with a digit are variable
-fields from the start. In a leaf, a token stays part of the template if at least ``MIN_DOCUMENTS`` documents have it at
-its place; at all other places the leaf's lines vary, and the field is generalised. A template is used if it still has at
-least ``FIXED`` of its tokens, and recurs if ``MIN_DOCUMENTS`` documents have a line of it. Lines of recurring templates
-are dropped.
+fields from the start. In a leaf, a token stays part of the template if a share of the leaf's documents, and at least
+``MIN_DOCUMENTS`` of them, have it at its place; at all other places the leaf's lines vary, and the field is generalised. There
+is a template of the line for each of ``SHARES``: for half, so that names and cities are fields however many documents have
+each, for a tenth, so that a leaf may hold several kinds of lines, and for none, so that lines which just repeat recur however
+small their part of the leaf. A template is used if it still has at least ``FIXED`` of its tokens, and recurs if
+``MIN_DOCUMENTS`` documents have a line of it. Lines with a recurring template are dropped.
 
 Copies of one text must not lose their lines to each other. With ``most=None``, as in the registered query and the pipeline, a
 template's documents are counted over the classes of near-duplicates among the documents with recurring lines, so that copies
@@ -34,6 +36,7 @@ from docledger.llm.repeats import row_groups, symbol_values
 from docledger.llm.store import fresh, map_arrow, row_key, settled
 
 DEPTH, MIN_DOCUMENTS, FIXED, MOST = 3, 5, 0.5, 0.5
+SHARES = (0.0, 0.1, 0.5)  # of a leaf's documents that have a token which stays
 CHUNK = 1 << 20
 VARIABLE = np.uint64(0x2A)
 _DIGIT = np.zeros(256, np.int32)
@@ -119,7 +122,7 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def recurring_lines(
     docs: DataFrame, min_documents: int = MIN_DOCUMENTS, depth: int = DEPTH, fixed: float = FIXED, by_class: bool = False
 ) -> DataFrame:
-    """``k, line, t1, t2``: the lines, by document and number from 0, of recurring templates.
+    """``k, line, t1, t2``: the lines, by document and number from 0, and their recurring templates, one or more.
 
     With ``by_class`` near-duplicates count as one document.
     """
@@ -143,13 +146,16 @@ def recurring_lines(
     want = lines.where("several > 1").groupBy(F.col("sample.k").alias("k")).agg(F.collect_list(want).alias("want"))
     types = "leaf long, h1 long, h2 long, docs long, n int, place int, token long"
     tokens = settled(map_arrow(keyed.join(want.hint("merge"), "k").dropDuplicates(["k"]), _tokens, types))
-    places = settled(tokens.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("having")).where(F.col("having") >= min_documents))
+    places = tokens.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("having")).where(F.col("having") >= min_documents)
+    places = settled(places.join(leaves.select("leaf", "in_leaf").hint("merge"), "leaf").withColumn("share", F.col("having") / F.col("in_leaf")).drop("in_leaf", "having"))
     kept = tokens.join(places, ["leaf", "place", "token"]).groupBy(*LINE, "n", "docs")
-    kept = kept.agg(
-        F.count(F.lit(1)).alias("fixed"),
-        F.bit_xor(F.xxhash64("place", "token")).alias("t1"),
-        F.bit_xor(F.xxhash64("token", "place", F.lit(1))).alias("t2"),
+    template = lambda share: F.struct(
+        F.count_if(F.col("share") >= share).alias("fixed"),
+        F.bit_xor(F.when(F.col("share") >= share, F.xxhash64("place", "token"))).alias("t1"),
+        F.bit_xor(F.when(F.col("share") >= share, F.xxhash64("token", "place", F.lit(1)))).alias("t2"),
     )
+    kept = kept.agg(F.array(*map(template, SHARES)).alias("templates"))
+    kept = kept.select(*LINE, "n", "docs", F.inline(F.array_distinct("templates")))
     general = kept.where(F.col("fixed") >= enough).select(*LINE, "t1", "t2", "docs")
     placed = alone.unionByName(general)
     common = placed.groupBy("leaf", "t1", "t2").agg(F.sum("docs").alias("d")).where(F.col("d") >= min_documents)

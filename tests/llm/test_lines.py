@@ -58,3 +58,18 @@ def test_lines_go_whatever_their_share(spark, tmp_path, make):
     assert kept == {i: own[i] if i < 100 else t for i, t in rows}
     counts = {r["doc_id"]: r["n_dropped"] for r in queries.op1_line_templates(spark, str(tmp_path)).collect()}
     assert counts == {i: 4 if i < 100 else 0 for i, _ in rows}
+
+
+def test_fields_are_general_at_every_size(make):
+    """Lines with names from one vocabulary recur in a small corpus and in one of a hundred times the rows."""
+    letters = "abcdefghijklmnopqrst"
+    firsts, lasts, cities = ([f"{kind}{x}" for x in letters] for kind in ("first", "last", "city"))
+    for n in (30, 3000):
+        draw = random.Random(n)
+        name = lambda i: "".join(chr(97 + int(d)) for d in str(i))
+        rows = []
+        for i in range(n):
+            line = f"Report filed by {draw.choice(firsts)} {draw.choice(lasts)} in {draw.choice(cities)} yesterday evening"
+            rows.append((i, f"{line}\n{' '.join(f'own{x}{name(i)}' for x in letters)}"))
+        found = line_templates.drop_recurring_lines(make(rows)).collect()
+        assert sum(r["dropped"] == [0] for r in found) == n
