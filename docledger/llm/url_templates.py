@@ -1,8 +1,8 @@
 """URL filter: rules first, then a tree of path templates for each host.
 
-A host's tree grows level by level. A segment with a digit is variable from the start; of the others, those that hold fewer
-than ``LITERAL_ROWS`` pages or less than ``LITERAL_SHARE`` of their node's are generalised to ``*``. Segments beyond ``DEPTH`` become
-``**``. Sibling branches in order of their share of bad labels are merged with the one before unless the two differ (two-proportion
+A host's tree grows level by level, as deep as its paths. A segment with a digit is variable from the start; of the others, those
+that hold fewer than ``LITERAL_ROWS`` pages of their node are generalised to ``*``, whatever their share. A node of fewer pages, or
+of a single shape, is settled at once, so there are as many levels as two frequent paths of a host have in common. Sibling branches in order of their share of bad labels are merged with the one before unless the two differ (two-proportion
 z-test). A branch is rejected if its smoothed share of bad labels, drawn towards its host's, that towards all
 pages', and that towards none, reaches ``REJECT``.
 
@@ -32,7 +32,7 @@ RULES = (
     ("block", "net/es/"),
     ("block", "net/fr/"),
 )
-DEPTH, LITERAL_ROWS, LITERAL_SHARE = 4, 3, 0.02
+LITERAL_ROWS = 3
 DIFFERENT_Z, SMOOTHING, REJECT = 1.96, 10.0, 0.6
 
 
@@ -53,36 +53,36 @@ def by_rules(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RULE
     return rule, verdict
 
 
-def shape_of(path: Column, depth: int = DEPTH) -> Column:
-    """The segments of a path, those with a digit as ``*``, at most ``depth`` of them and then ``**``."""
-    parts = F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), lambda s: F.when(s.rlike("[0-9]"), "*").otherwise(s))
-    return F.transform(F.array(parts), lambda p: F.when(F.size(p) > depth, F.concat(F.slice(p, 1, depth), F.array(F.lit("**")))).otherwise(p))[0]
+def shape_of(path: Column) -> Column:
+    """The segments of a path, those with a digit as ``*``."""
+    return F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), lambda s: F.when(s.rlike("[0-9]"), "*").otherwise(s))
 
 
-def templates(shapes: DataFrame, depth: int, rows: int, share: float) -> DataFrame:
+def templates(shapes: DataFrame, rows: int) -> DataFrame:
     """``host, shape, parent, template`` and counts, from ``host, shape, n, bad, good``."""
-    grown = shapes.withColumn("template", F.lit(""))
-    for level in range(depth + 1):
-        grown = grown.withColumn("segment", F.get("shape", F.lit(level)))
-        children = grown.where("segment is not null").groupBy("host", "template", "segment").agg(F.sum("n").alias("in_child"))
+    own = ["host", "shape", "n", "bad", "good", "template"]
+    open_, grown, level = shapes.withColumn("template", F.lit("")).select(*own), None, 0
+    while True:
+        ended = open_.where(F.size("shape") <= level).select(*own)
+        grown = ended if grown is None else grown.unionByName(ended)
+        open_ = open_.where(F.size("shape") > level).withColumn("segment", F.get("shape", F.lit(level)))
+        children = open_.groupBy("host", "template", "segment")
+        children = children.agg(F.sum("n").alias("in_child"), (F.min("shape") == F.max("shape")).alias("single"))
         nodes = children.groupBy("host", "template").agg(F.sum("in_child").alias("in_node"))
-        literal = children.join(nodes, ["host", "template"])
-        literal = literal.where((F.col("in_child") >= rows) & (F.col("in_child") >= F.col("in_node") * share))
-        literal = settled(literal.select("host", "template", "segment", F.col("segment").alias("kept")))
-        grown = grown.join(literal, ["host", "template", "segment"], "left")
-        more = F.col("segment").isNotNull()
-        grown = settled(
-            grown.select(
-                "host",
-                "shape",
-                "n",
-                "bad",
-                "good",
-                F.when(more, F.concat("template", F.lit("/"), F.coalesce("kept", F.lit("*")))).otherwise(F.col("template")).alias("template"),
-            )
-        )
+        children = settled(children.join(nodes.hint("merge"), ["host", "template"]))
+        if children.isEmpty():
+            break
+        found = open_.join(children.hint("merge"), ["host", "template", "segment"])
+        few, literal = F.col("in_node") < rows, F.col("in_child") >= rows
+        rest = F.when(few, F.repeat(F.lit("/*"), F.size("shape") - level))
+        rest = rest.when(literal & F.col("single"), F.concat(F.lit("/"), F.array_join(F.slice("shape", level + 1, F.size("shape")), "/")))
+        rest = rest.otherwise(F.concat(F.lit("/"), F.when(literal, F.col("segment")).otherwise("*")))
+        found = found.withColumn("template", F.concat("template", rest)).withColumn("closed", few | (literal & F.col("single")))
+        found = settled(found.select(*own, "closed"))
+        grown = grown.unionByName(found.where("closed").select(*own))
+        open_, level = found.where(~F.col("closed")).select(*own), level + 1
     # The parent of /a/b/*/* is /a: wildcards at the end are the inside of the branch.
-    parent = F.regexp_replace(F.regexp_replace("template", r"(/\*\*?)+$", ""), r"/[^/]*$", "")
+    parent = F.regexp_replace(F.regexp_replace("template", r"(/\*)+$", ""), r"/[^/]*$", "")
     return grown.withColumn("parent", parent)
 
 
@@ -93,7 +93,6 @@ def branches(grown: DataFrame, different_z: float, smoothing: float) -> DataFram
     total = own.agg(F.coalesce(F.sum("bad"), F.lit(0)).alias("b"), F.coalesce(F.sum("good"), F.lit(0)).alias("g")).first()
     prior = total["b"] / (total["b"] + total["g"] + smoothing)
     hosts = own.groupBy("host").agg(F.sum("bad").alias("host_bad"), F.sum(F.col("bad") + F.col("good")).alias("host_all"))
-    # A node has at most 1 / share literal children, so these windows are small.
     x, n = F.col("bad") + 1, F.col("bad") + F.col("good") + 2
     by_share = Window.partitionBy("host", "parent").orderBy("share", "template")
     x0, n0 = F.lag("x").over(by_share), F.lag("n").over(by_share)
@@ -114,9 +113,7 @@ def judge(
     pages: DataFrame,
     labels: DataFrame,
     rules: Sequence[tuple[str, str]] = RULES,
-    depth: int = DEPTH,
     literal_rows: int = LITERAL_ROWS,
-    literal_share: float = LITERAL_SHARE,
     different_z: float = DIFFERENT_Z,
     smoothing: float = SMOOTHING,
     reject: float = REJECT,
@@ -128,9 +125,9 @@ def judge(
     known = labels.where(F.col("page_id").isNotNull() & F.col("bad").isNotNull()).groupBy("page_id").agg(F.max("bad").alias("bad"))
     host, path = host_and_path(F.col("url"))
     judged = pages.select("page_id", host.alias("host"), path.alias("path")).join(known, "page_id", "left")
-    rows = settled(judged.withColumn("shape", shape_of(F.col("path"), depth)))
+    rows = settled(judged.withColumn("shape", shape_of(F.col("path"))))
     counts = [F.count(F.lit(1)).alias("n"), F.count_if("bad").alias("bad"), F.count_if(~F.col("bad")).alias("good")]
-    grown = settled(templates(settled(rows.groupBy("host", "shape").agg(*counts)), depth, literal_rows, literal_share))
+    grown = settled(templates(settled(rows.groupBy("host", "shape").agg(*counts)), literal_rows))
     decided = branches(grown, different_z, smoothing)
     by_shape = settled(grown.select("host", "shape", "parent", "template").join(decided, ["host", "parent", "template"]).drop("parent"))
     rule, verdict = by_rules(F.col("host"), F.col("path"), rules)

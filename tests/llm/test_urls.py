@@ -59,3 +59,13 @@ def test_few_labels_do_not_reject(judged):
 
 def test_empty_table(judged):
     assert judged([]) == {}
+
+
+def test_sections_of_a_large_host_stay(judged):
+    """Many small sections of one host, and branches that part at the fifth level, are judged by their own labels."""
+    names = [f"{a}{b}" for a in "abcdefgh" for b in "klmnopqrs"]
+    urls = [f"http://h.org/{x}/{i}" for x in names for i in range(20)]
+    urls += [f"http://deep.org/one/two/three/four/{x}/{i}" for x in ("fine", "foul") for i in range(30)]
+    bad = {i for i, u in enumerate(urls) if "/ak/" in u or "/foul/" in u}
+    found = judged(urls, [(i, i in bad) for i in range(len(urls))])
+    assert found[0]["template"] == "/ak/*" and {i for i in found if found[i]["verdict"] == "block"} == bad
