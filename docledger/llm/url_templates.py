@@ -2,8 +2,9 @@
 
 A host's tree grows level by level, as deep as its paths. A segment with a digit is variable from the start; of the others, those
 that hold fewer than ``LITERAL_ROWS`` pages of their node are generalised to ``*``, whatever their share. A node of fewer pages, or
-of a single shape, is settled at once, so there are as many levels as two frequent paths of a host have in common. Sibling branches in order of their share of bad labels are merged with the one before unless the two differ (two-proportion
-z-test). A branch is rejected if its smoothed share of bad labels, drawn towards its host's, that towards all
+of a single shape, is settled at once, so there are as many levels as two frequent paths of a host have in common. Sibling branches in order of their share of bad labels join the branch before
+unless they differ from all labels that it has so far (two-proportion z-test); siblings of equal counts go together, those without
+labels are a branch of their own. A branch is rejected if its smoothed share of bad labels, drawn towards its host's, that towards all
 pages', and that towards none, reaches ``REJECT``.
 
 Pages are counted by host and shape (path with digits generalised) before the tree is built, so the levels work on that much
@@ -19,7 +20,7 @@ from __future__ import annotations
 import string
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docledger.llm.store import settled
@@ -93,20 +94,35 @@ def branches(grown: DataFrame, different_z: float, smoothing: float) -> DataFram
     total = own.agg(F.coalesce(F.sum("bad"), F.lit(0)).alias("b"), F.coalesce(F.sum("good"), F.lit(0)).alias("g")).first()
     prior = total["b"] / (total["b"] + total["g"] + smoothing)
     hosts = own.groupBy("host").agg(F.sum("bad").alias("host_bad"), F.sum(F.col("bad") + F.col("good")).alias("host_all"))
-    x, n = F.col("bad") + 1, F.col("bad") + F.col("good") + 2
-    by_share = Window.partitionBy("host", "parent").orderBy("share", "template")
-    x0, n0 = F.lag("x").over(by_share), F.lag("n").over(by_share)
-    pooled = (F.col("x") + F.col("x0")) / (F.col("n") + F.col("n0"))
-    z = F.abs(F.col("share") - F.col("x0") / F.col("n0")) / F.sqrt(pooled * (1 - pooled) * (1 / F.col("n") + 1 / F.col("n0")))
-    placed = own.withColumn("x", x).withColumn("n", n).withColumn("share", F.col("x") / F.col("n"))
-    placed = placed.withColumn("x0", x0).withColumn("n0", n0).withColumn("new", F.coalesce((z >= different_z).cast("int"), F.lit(0)))
-    branch = F.concat("parent", F.lit("/~"), F.sum("new").over(by_share).cast("string"))
-    placed = settled(placed.withColumn("branch", branch).select("host", "parent", "template", "branch", "bad", "good"))
-    merged = placed.groupBy("host", "parent", "branch").agg(*sums).join(hosts, "host")
     host_share = (F.col("host_bad") + smoothing * prior) / (F.col("host_all") + smoothing)
-    purity = (F.col("bad") + smoothing * host_share) / (F.col("bad") + F.col("good") + smoothing)
-    merged = merged.select("host", "parent", "branch", purity.alias("purity"))
-    return placed.select("host", "parent", "template", "branch").join(merged, ["host", "parent", "branch"])
+    hosts = settled(hosts.select("host", host_share.alias("host_share")))
+    # Siblings of equal counts are one step, so a node's steps are far fewer than its children.
+    labelled = F.col("bad") + F.col("good") > 0
+    steps = own.where(labelled).groupBy("host", "parent", "bad", "good").agg(F.count(F.lit(1)).alias("m"))
+    steps = steps.groupBy("host", "parent").agg(F.array_sort(F.collect_list(F.struct(((F.col("bad") + 1) / (F.col("bad") + F.col("good") + 2)).alias("share"), "bad", "good", "m"))).alias("steps"))
+
+    def add(state: Column, step: Column) -> Column:
+        x, n = step["bad"] + 1, step["bad"] + step["good"] + 2
+        x0, n0 = state["bad"] + 1, state["bad"] + state["good"] + 2
+        pooled = (x + x0) / (n + n0)
+        z = F.abs(x / n - x0 / n0) / F.sqrt(pooled * (1 - pooled) * (1 / n + 1 / n0))
+        new = (state["bad"] + state["good"] > 0) & (z >= different_z)
+        no = state["no"] + F.when(new, 1).otherwise(0)
+        sums = [(F.when(new, F.lit(0).cast("long")).otherwise(state[c]) + step[c] * step["m"]).alias(c) for c in ("bad", "good")]
+        placed = F.struct(step["bad"].alias("bad"), step["good"].alias("good"), step["m"].alias("m"), no.alias("no"))
+        return F.struct(no.alias("no"), *sums, F.concat(state["placed"], F.array(placed)).alias("placed"))
+
+    start = "named_struct('no', 0, 'bad', 0L, 'good', 0L, 'placed', cast(array() as array<struct<bad:bigint,good:bigint,m:bigint,no:int>>))"
+    steps = steps.select("host", "parent", F.inline(F.aggregate("steps", F.expr(start), add)["placed"]))
+    steps = settled(steps.withColumn("branch", F.concat("parent", F.lit("/~"), F.col("no").cast("string"))).drop("no"))
+    merged = steps.groupBy("host", "parent", "branch").agg(F.sum(F.col("bad") * F.col("m")).alias("b"), F.sum(F.col("good") * F.col("m")).alias("g"))
+    purity = (F.col("b") + smoothing * F.col("host_share")) / (F.col("b") + F.col("g") + smoothing)
+    merged = merged.join(hosts, "host").select("host", "parent", "branch", purity.alias("purity"))
+    decided = settled(steps.drop("m").join(merged, ["host", "parent", "branch"]))
+    known = own.where(labelled).join(decided.hint("merge"), ["host", "parent", "bad", "good"])
+    unknown = own.where(~labelled).join(hosts.hint("merge"), "host").withColumn("branch", F.concat("parent", F.lit("/~"))).withColumn("purity", F.col("host_share"))
+    columns = ["host", "parent", "template", "branch", "purity"]
+    return known.select(*columns).unionByName(unknown.select(*columns))
 
 
 def judge(

@@ -69,3 +69,12 @@ def test_sections_of_a_large_host_stay(judged):
     bad = {i for i, u in enumerate(urls) if "/ak/" in u or "/foul/" in u}
     found = judged(urls, [(i, i in bad) for i in range(len(urls))])
     assert found[0]["template"] == "/ak/*" and {i for i in found if found[i]["verdict"] == "block"} == bad
+
+
+def test_similar_steps_do_not_chain(judged):
+    """Eleven siblings of 10 labels each, 0 to 10 of them bad: the worst are rejected, the cleanest not, one without labels is apart."""
+    urls = [f"http://h.org/{x}/{i}" for x in "abcdefghijk" for i in range(10)] + [f"http://h.org/new/{i}" for i in range(10)]
+    found = judged(urls, [(10 * s + i, i < s) for s in range(11) for i in range(10)])
+    verdicts = [found[10 * s]["verdict"] for s in range(12)]
+    assert verdicts[10] == "block" and {*verdicts[:4], verdicts[11]} == {"allow"}
+    assert found[110]["branch"] not in {found[10 * s]["branch"] for s in range(11)}
