@@ -13,8 +13,9 @@ partial limit cuts each task's list to ``k``. Recall was measured against brute
 Equal vectors are one entry of the index, with the ``k + 1`` smallest of their ids, which are all that a query can return.
 
 Defined cases. Vectors that are null, all zero, or hold null or non-finite numbers take no part, neither as queries nor as
-candidates, nor do rows without an id. Of rows with one id and different vectors each is a candidate; a query's own id is
-never returned to it. Equal scores go to the smaller id. Vectors whose length differs from the most common one's take no part.
+candidates, nor do rows without an id. Repeated rows count once, as queries and as candidates. Of rows with one
+id and different vectors each is a candidate and, if the id asks, a query with ranks of its own; a query's own id is never
+returned to it. Equal scores go to the smaller id. Vectors whose length differs from the most common one's take no part.
 Other columns are not read.
 """
 
@@ -76,23 +77,24 @@ class Forest:
 
 
 def _search(k: int, trees: int, bits: int, least: int, seed: int):
-    columns = ["query_id", "vec_id", "score"]
+    types = {"query_id": np.int64, "qa": np.int64, "qb": np.int64, "vec_id": np.int64, "score": float}
 
     def run(key, queries: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(index):
-            return pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
+            return pd.DataFrame({c: np.zeros(0, t) for c, t in types.items()})
         points, asked = np.stack(index["v"].to_numpy()), np.stack(queries["v"].to_numpy())
         forest = Forest(points, float(index["top"].iloc[0]), trees, bits, seed)
         lists, out = index["ids"].to_list(), []
-        for own, query, near in zip(queries["vec_id"].to_list(), asked, forest.candidates(asked, least), strict=True):
+        keys = zip(*(queries[c].to_list() for c in ("vec_id", "qa", "qb")), strict=True)
+        for (own, qa, qb), query, near in zip(keys, asked, forest.candidates(asked, least), strict=True):
             scores = points[near] @ query
             first = near[np.argsort(-scores, kind="stable")[: k + 1]] if len(near) > k + 1 else near
             worst = (points[first] @ query).min()
             # Entries as near as the last one stay, so that ties are settled by id.
             tied = np.flatnonzero(scores >= worst)
             found = [(i, float(scores[t])) for t in tied for i in lists[near[t]] if i != own]
-            out += [(own, i, s) for i, s in sorted(found, key=lambda x: (-x[1], x[0]))[:k]]
-        return pd.DataFrame(out, columns=columns).astype({"query_id": np.int64, "vec_id": np.int64, "score": float})
+            out += [(own, qa, qb, i, s) for i, s in sorted(found, key=lambda x: (-x[1], x[0]))[:k]]
+        return pd.DataFrame(out, columns=list(types)).astype(types)
 
     return run
 
@@ -115,23 +117,23 @@ def nearest(
     points = settled(points.where(F.size("v") == width))
     content = F.struct(F.xxhash64("v").alias("a"), F.xxhash64("v", F.lit(1)).alias("b"))
     first = Window.partitionBy("content").orderBy("vec_id")
-    ids = points.select(content.alias("content"), "vec_id", "v").withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= k + 1)
+    ids = points.select(content.alias("content"), "vec_id", "v").dropDuplicates(["content", "vec_id"]).withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= k + 1)
     entries = settled(ids.groupBy("content").agg(F.first("v").alias("v"), F.sort_array(F.collect_list("vec_id")).alias("ids")))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     size = entries.agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("top")).first()
-    asked = points.where(is_query)
+    asked = settled(points.where(is_query).withColumn("content", content).dropDuplicates(["vec_id", "content"]))
     shards = max(1, -(-size["n"] // shard_rows))
     blocks = max(1, -(-asked.count() // QUERY_ROWS))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    queries = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")).withColumn("shard", every(shards))
+    queries = asked.withColumn("block", F.pmod(F.xxhash64("vec_id", "content"), F.lit(blocks)).cast("int")).withColumn("shard", every(shards))
     index = entries.withColumn("shard", F.pmod(F.col("content.a"), F.lit(shards)).cast("int")).withColumn("block", every(blocks))
     index = index.select("shard", "block", "v", "ids", F.lit(size["top"] or 0.0).alias("top"))
     found = (
-        queries.select("shard", "block", "vec_id", "v")
+        queries.select("shard", "block", "vec_id", F.col("content.a").alias("qa"), F.col("content.b").alias("qb"), "v")
         .groupBy("shard", "block")
         .cogroup(index.groupBy("shard", "block"))
-        .applyInPandas(_search(k, trees, bits, candidates, seed), "query_id long, vec_id long, score double")
+        .applyInPandas(_search(k, trees, bits, candidates, seed), "query_id long, qa long, qb long, vec_id long, score double")
     )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query_id", "qa", "qb").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

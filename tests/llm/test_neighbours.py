@@ -54,3 +54,15 @@ def test_odd_vectors(search):
     rows += [(40, None, "", ""), (60, [0.0, 0.0], "", ""), (3, [nan, 1.0], "", ""), (4, [inf, 1.0], "", ""), (5, [None, 1.0], "", ""), (6, [], "", ""), (7, [1.0], "", ""), (None, [1.0, 1.0], "", "")]
     assert search(rows) == {20: [(1, 1, 4.0), (2, 2, -1.0)]}
     assert search([]) == {} and search(rows_of([[1, 1]], ids=[20])) == {}
+
+
+def test_repeated_rows_count_once(search):
+    draw = np.random.default_rng(3)
+    rows = rows_of(draw.normal(size=(100, 8)).astype(np.float32)) + rows_of([[9] * 8] * 30, ids=[20, *range(200, 229)])
+    rows = [r for i, r in enumerate(rows) if i != 20]
+    assert search(rows + [r for r in rows if r[0] in (0, 20, 205)] * 30, k=10) == search(rows, k=10)
+
+
+def test_each_vector_of_an_id_asks(search):
+    rows = rows_of([[1, 0], [0, 1], [2, 0], [0, 2]], ids=[20, 20, 1, 2])
+    assert sorted(search(rows, k=1)[20]) == [(1, 1, 2.0), (1, 2, 2.0)]
