@@ -13,7 +13,8 @@ the same for all items and every passage-item pair above it is found:
 A retrieved pair is a leak if the passage also has the item's question and answer: shares of their word ``GRAM``-grams.
 
 The index is broadcast in shards of at most ``INDEX_BYTES`` of item text, each passed over all documents (one shard, unless
-the benchmark is large). Word statistics are the shard's own. Documents are not shuffled.
+the benchmark is large). Documents are not shuffled. Document frequencies of words, number and mean length of items and the
+length of passages are those of the whole benchmark, so scores do not depend on the shards.
 
 Defined cases. Null and empty texts: no passages. Items without words are left out; an item whose text has no end of a sentence
 before its last words has its last quarter as answer. Repeated items each count; rows with equal ids are judged singly; ids
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 
 from docledger.llm import buffers
 from docledger.llm.repeats import row_groups
-from docledger.llm.store import map_arrow
+from docledger.llm.store import map_arrow, settled
 from docledger.llm.toxicity import _APART, lowered
 
 THRESHOLD, SLACK = 0.6, 0.3
@@ -90,7 +91,19 @@ class Index:
     stride: int
 
 
-def build(rows: list[tuple[object, str]]) -> Index | None:
+@dataclass
+class Statistics:
+    """Of the whole benchmark; ``having`` may be limited to the words of a shard."""
+
+    having: dict[int, int]
+    items: int
+    mean: float
+    longest: int
+
+
+def build(rows: list[tuple[object, str]], whole: Statistics | None = None) -> Index | None:
+    """An index of the items; without ``whole`` they are the whole benchmark."""
+
     def hashes(text: str) -> list[int]:
         return words_of(*buffers.text_bytes(pa.array([text])))[0].tolist()
 
@@ -98,12 +111,14 @@ def build(rows: list[tuple[object, str]]) -> Index | None:
     if not kept:
         return None
     counts = [Counter(words) for _, _, words in kept]
-    having = Counter(w for c in counts for w in c)
-    mean = sum(len(words) for _, _, words in kept) / len(kept)
+    if whole is None:
+        lengths = [len(words) for _, _, words in kept]
+        whole = Statistics(Counter(w for c in counts for w in c), len(kept), sum(lengths) / len(kept), max(lengths))
+    having = whole.having
     items, lists, needed = [], {}, np.full(-(-len(kept) // BLOCK_ITEMS), np.inf)
     for i, (_, _, words) in enumerate(kept):
-        norm = K1 * (1 - B + B * len(words) / mean)
-        own = {w: math.log(1 + (len(kept) - having[w] + 0.5) / (having[w] + 0.5)) * n * (K1 + 1) / (n + norm) for w, n in counts[i].items()}
+        norm = K1 * (1 - B + B * len(words) / whole.mean)
+        own = {w: math.log(1 + (whole.items - having[w] + 0.5) / (having[w] + 0.5)) * n * (K1 + 1) / (n + norm) for w, n in counts[i].items()}
         total = sum(own.values())
         own = {w: x / total for w, x in own.items()}
         items.append(own)
@@ -132,7 +147,7 @@ def build(rows: list[tuple[object, str]]) -> Index | None:
         [grams(hashes(q)) for q, _ in parts],
         [grams(hashes(a)) for _, a in parts],
         seen,
-        max(LEAST_STRIDE, max(len(words) for _, _, words in kept)),
+        max(LEAST_STRIDE, whole.longest),
     )
 
 
@@ -191,14 +206,37 @@ def leaks(index: Index, data: np.ndarray, offsets: np.ndarray) -> dict[tuple[int
     return found
 
 
+def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct words of every item; its number of words stands at the first of them, 0 at the others."""
+    for batch in batches:
+        words, at = words_of(*buffers.text_bytes(batch.column("text")))
+        for shard, a, b in zip(batch.column("shard").to_pylist(), at, at[1:], strict=False):
+            own = np.unique(words[a:b])
+            lengths = np.zeros(len(own), np.int64)
+            lengths[:1] = b - a
+            columns = [pa.array([shard] * len(own), pa.int64()), pa.array(own.view(np.int64)), pa.array(lengths)]
+            yield pa.RecordBatch.from_arrays(columns, names=["shard", "word", "n"])
+
+
 def index_shards(benchmark: DataFrame, index_bytes: int = INDEX_BYTES) -> Iterator[Index]:
     """Indexes of the items (item_id, text), each of at most about ``index_bytes`` of text."""
     items = benchmark.select("item_id", "text").where(F.length("text") > 0)
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = -(-2 * total // index_bytes) if total > index_bytes else 1
+    if shards == 1:
+        index = build([tuple(r) for r in items.orderBy("item_id", "text").collect()])
+        if index:
+            yield index
+        return
+    items = items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)).cast("long"))
+    words = settled(map_arrow(items.select("shard", "text"), _item_words, "shard long, word long, n long"))
+    having = settled(words.groupBy("word").agg(F.count(F.lit(1)).alias("having")))
+    n, total_words, longest = words.where("n > 0").agg(F.count(F.lit(1)), F.sum("n"), F.max("n")).first()
     for shard in range(shards):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard)
-        index = build([tuple(r) for r in part.orderBy("item_id", "text").collect()])
+        own = words.where(F.col("shard") == shard).select("word").distinct().join(having, "word").collect()
+        whole = Statistics({r["word"] & (1 << 64) - 1: r["having"] for r in own}, n, total_words / n if n else 0.0, longest or 0)
+        part = items.where(F.col("shard") == shard).select("item_id", "text")
+        index = build([tuple(r) for r in part.orderBy("item_id", "text").collect()], whole)
         if index:
             yield index
 

@@ -76,3 +76,20 @@ def test_odd_rows_and_items(spark, make, odd_rows):
 def test_question_and_answer():
     assert decontamination.question_and_answer("What is it? A cat.") == ("What is it? ", "A cat.")
     assert decontamination.question_and_answer("one two three four") == ("one two three", "four")
+
+
+def test_scores_do_not_depend_on_shards(spark, make):
+    draw, tests, rows = random.Random(8), items(), []
+    tests += [(100 + i, "Every common word w1 w2 w3 stands here. " + prose(300 + i, 60, 30).capitalize() + ".") for i in range(4)]
+    for i in range(60):
+        leak = draw.choice(tests)[1].split()
+        for _ in range(draw.randrange(0, 14)):
+            leak[draw.randrange(len(leak))] = "other"
+        rows.append((i, f"{prose(i, 70, 90)} {' '.join(leak)} {prose(i + 50, 90, 90)}"))
+    table = benchmark(spark, [(*t, "x") for t in tests])
+    found = [
+        {(r["doc_id"], r["item_id"]): tuple(r)[2:] for r in decontamination.find_leaks(make(rows), table, size).collect()}
+        for size in (decontamination.INDEX_BYTES, 1500)
+    ]
+    assert found[0].keys() == found[1].keys() and len(found[0]) > 20
+    assert all(abs(a - b) < 1e-9 for k in found[0] for a, b in zip(found[0][k], found[1][k]))
