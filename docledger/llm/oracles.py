@@ -96,8 +96,35 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM documents d LEFT JOIN listed l ON l.doc_id = d.doc_id
 """
 
+FILL_IN_MIDDLE = r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+drawn AS (
+  SELECT *, CAST(len(u) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(u) + 1) AS x, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(u) + 1) AS y,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+              WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM units),
+parts AS (
+  SELECT *, coalesce(array_to_string(u[1:least(x, y)], ''), '') AS p, coalesce(array_to_string(u[least(x, y) + 1:greatest(x, y)], ''), '') AS m,
+         coalesce(array_to_string(u[greatest(x, y) + 1:], ''), '') AS s
+  FROM drawn),
+put AS (
+  SELECT *, CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END AS o
+  FROM parts),
+marked AS (SELECT *, instr(o, '<P>') AS at_p, instr(o, '<S>') AS at_s, instr(o, '<M>') AS at_m FROM put)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(o) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN o
+                WHEN 'psm' THEN substr(o, 4, at_s - 4) || substr(o, at_m + 3) || substr(o, at_s + 3, at_m - at_s - 3)
+                ELSE substr(o, at_p + 3, at_m - at_p - 3) || substr(o, at_m + 3) || substr(o, 4, at_p - 4) END) AS restored_sha256
+FROM marked
+"""
+
 ORACLES = {
     "op4_secret_ownership": SECRETS,
     "op9_suffix_automaton_dedup": WORD_REPEATS,
     "op10_mix_sources": MIXING,
+    "op11_fill_in_middle": FILL_IN_MIDDLE,
 }

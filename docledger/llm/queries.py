@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docledger.llm import (
     byte_repeats,
     decontamination,
+    fill_in_middle,
     line_templates,
     mixing,
     order_minhash,
@@ -115,3 +116,18 @@ def op6_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad = (F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)
     labels = labels.where("quality is not null or toxic is not null").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
     return url_templates.judge(table(spark, sf_dir, "pages"), labels)
+
+
+@query
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_in_middle.transform(table(spark, sf_dir, "documents"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return cut.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        digest(F.col("output")).alias("output_sha256"),
+        digest(fill_in_middle.restored(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
