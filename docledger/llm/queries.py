@@ -11,6 +11,7 @@ from docledger.llm import (
     byte_repeats,
     decontamination,
     fill_in_middle,
+    license_scan,
     line_templates,
     mixing,
     order_minhash,
@@ -131,3 +132,8 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
         digest(F.col("output")).alias("output_sha256"),
         digest(fill_in_middle.restored(F.col("output"), F.col("form"))).alias("restored_sha256"),
     )
+
+
+@query
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents")).drop("spans")
