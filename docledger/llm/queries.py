@@ -17,6 +17,7 @@ from docledger.llm import (
     order_minhash,
     prefix_forest,
     secret_ownership,
+    token_alignment,
     toxicity,
     url_templates,
     word_repeats,
@@ -137,3 +138,8 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"))
