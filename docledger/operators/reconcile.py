@@ -144,6 +144,16 @@ def validate_documents(df: DataFrame, tolerance: float = 0.02) -> DataFrame:
     )
 
 
+def validation_summary(checks: DataFrame) -> DataFrame:
+    """One row: the number of documents, of those that pass each check of :func:`validate_documents`, and of those that pass all."""
+    rules = [c for c in checks.columns if c != "document_id"]
+    passed = [F.count_if(F.col(c)).alias(c) for c in rules]
+    everything = F.lit(True)
+    for c in rules:
+        everything = everything & F.col(c)
+    return checks.agg(F.count(F.lit(1)).alias("documents"), *passed, F.count_if(everything).alias("all_passed"))
+
+
 def _with_rollup(meta: DataFrame, items: DataFrame, key: str) -> DataFrame:
     """Metadata with item count and sum; a document without items keeps its row."""
     return (

@@ -112,6 +112,10 @@ def split_failures(df: DataFrame, error: Column) -> tuple[DataFrame, DataFrame]:
     return marked.where(F.col("error").isNull()).drop("error"), marked.where(F.col("error").isNotNull())
 
 
+def load_status(loaded_docs: int, loaded_items: int) -> str:
+    return "ok" if loaded_docs > 0 and loaded_items > 0 else "empty"
+
+
 def ingest_summary(results: DataFrame, documents: DataFrame, items: DataFrame) -> DataFrame:
     """One row: processed and failed inputs, loaded documents and items, and whether there was anything to load."""
     counters = ("processed_count", "failed_count", "loaded_docs", "loaded_items")

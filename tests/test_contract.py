@@ -64,7 +64,7 @@ def test_a_long_order_is_one_receipt_in_both_engines(spark, sf, tmp_path):
     import pandas as pd
 
     for name in check.TABLES:
-        shutil.copy(f"{sf}/{name}.parquet", tmp_path)
+        shutil.copyfile(f"{sf}/{name}.parquet", tmp_path / f"{name}.parquet")  # not the mode: the tables are read-only
     lines = pd.read_parquet(f"{sf}/lineitem.parquet")
     key = next(k for k in sorted(lines.l_orderkey.unique()) if k % 3 == 0 and k % 13 != 5 and k % 7 != 3)
     own = lines[lines.l_orderkey == key]

@@ -4,12 +4,14 @@ import json
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from docledger import schemas
 from docledger.operators import reconcile, tables
 from docledger.plans import gold, pipelines, reports
 from docledger.sources import files
+from docledger.sources.ledger import Ledger
 
 STAMP = "2024-01-01T00:00:00"
 
@@ -39,7 +41,7 @@ def invoices(spark):
 
 def test_invoice_run(spark, invoices, tmp_path):
     pages, cells = invoices
-    run = pipelines.ingest_invoices(spark, pages, cells, str(tmp_path / "v1"), STAMP)
+    run = pipelines.ingest_invoices(spark, pages, cells, str(tmp_path / "ledger"), STAMP)
     documents = {r.source_path: r for r in run["documents"].collect()}
     a = documents["in/a.pdf"]
     assert (a.document_id, a.document_number, a.party_name, a.supplier_name) == ("ABCSUPPL-1-20250827", "1", "Edge Inc.", "ABC Supplies Ltd.")
@@ -56,22 +58,25 @@ def test_invoice_run(spark, invoices, tmp_path):
     assert report["discrepancies"] == [(b.document_id, "Edge Inc.", "35.00", "40.00", "", "-5.00", "41.00")]
     assert tuple(run["summary"].first()) == (2, 1, 2, 3, "ok")
     assert {r.document_id for r in spark.table("v_consistency_diffs").collect()} == {r.document_id for r in documents.values()}
+    assert sorted((r.doc_id, r.line_items_rows) for r in run["meta"].collect()) == [("a", 1), ("b", 2)]
+    assert [r.invoices_total_value for r in spark.read.csv(run["overview_csv"], header=True).collect()] == ["31385.00"]
 
 
 def test_replacing_and_appending(spark, invoices, tmp_path):
     pages, cells = invoices
-    first = pipelines.ingest_invoices(spark, pages, cells, str(tmp_path / "v1"), STAMP)
+    root = str(tmp_path / "ledger")
+    first = pipelines.ingest_invoices(spark, pages, cells, root, STAMP)
     before = {r.id for r in first["line_items"].collect()}
     later = pages.where(F.col("doc_id") == "a"), cells.where(F.col("doc_id") == "a")
-    second = pipelines.ingest_invoices(spark, *later, str(tmp_path / "v2"), "2024-02-01T00:00:00", root=str(tmp_path / "v1"))
+    second = pipelines.ingest_invoices(spark, *later, root, "2024-02-01T00:00:00")
     assert second["documents"].count() == 2 and second["line_items"].count() == 3
     assert tuple(second["summary"].first()) == (1, 0, 1, 1, "ok")
     assert second["documents"].select("updated_at").distinct().count() == 2
     new = {r.id for r in second["line_items"].collect()} - before
     assert len(new) == 1 and min(new) > max(before)
     with pytest.raises(pipelines.LoadRejected, match="duplicate"):
-        pipelines.ingest_invoices(spark, *later, str(tmp_path / "v3"), STAMP, root=str(tmp_path / "v2"), replace=False)
-    assert files.read_tables(spark, str(tmp_path / "v2"))[0].count() == 2
+        pipelines.ingest_invoices(spark, *later, root, "2024-03-01T00:00:00", replace=False)
+    assert Ledger(spark, root).tables()[0].count() == 2
 
 
 def test_pages_are_joined_and_paths_normalised(spark, invoices, tmp_path):
@@ -79,7 +84,7 @@ def test_pages_are_joined_and_paths_normalised(spark, invoices, tmp_path):
     text = invoice_text(7, "ABC Supplies Ltd.", "Edge Inc.", "27/08/2025", "20.00", "", "20.00").split("\n")
     rows = [("b", 2, "\n".join(text[4:]), "in\\b.pdf", "stream"), ("b", 1, "\n".join(text[:4]), "in\\b.pdf", "stream")]
     numbered = spark.createDataFrame(rows, "doc_id string, page_no int, text string, source_path string, extraction_flavor string")
-    run = pipelines.ingest_invoices(spark, numbered, cells, str(tmp_path / "v1"), STAMP)
+    run = pipelines.ingest_invoices(spark, numbered, cells, str(tmp_path / "ledger"), STAMP)
     document = run["documents"].first()
     assert (document.source_path, document.document_id, document.items_count) == ("in/b.pdf", "ABCSUPPL-7-20250827", 2)
     assert run["line_items"].count() == 2  # cells of documents that are not in the batch are left out
@@ -101,8 +106,8 @@ def test_receipt_run(spark, tmp_path):
     rows = [(d, 0, "gray", p, f"psm{p}", t) for d, t in (("00", text), ("06", cafe)) for p in (4, 6)]
     passes = spark.createDataFrame(rows, "doc_id string, variant_no int, variant string, pass_no int, cfg string, text string")
     sources = spark.createDataFrame([("00", "in/00.jpg", "abc")], "doc_id string, source_path string, file_hash string")
-    run = pipelines.ingest_receipts(spark, passes, str(tmp_path / "v1"), STAMP, sources=sources)
-    bronze = {r.doc_id: r for r in spark.read.parquet(str(tmp_path / "v1" / "bronze")).collect()}
+    run = pipelines.ingest_receipts(spark, passes, str(tmp_path / "ledger"), STAMP, sources=sources)
+    bronze = {r.doc_id: r for r in spark.read.parquet(run["bronze"]).collect()}
     assert (bronze["00"].file_hash, bronze["00"].ocr_input_variant, bronze["00"].items_detected) == ("abc", "gray", 2)
     found = {r.document_id: r for r in run["documents"].collect()}
     walmart = found["WALMART-00-20150126"]
@@ -115,6 +120,9 @@ def test_receipt_run(spark, tmp_path):
     assert (empty.subtotal_meta, empty.diff_sum_vs_subtotal) == (Decimal("0.00"), Decimal("0.00"))
     overview = run["report"]["overview"].first()
     assert tuple(overview) == (2, Decimal("180.11"), Decimal("90.06"))
+    checks = {r.document_id: tuple(r)[1:] for r in run["validation"].collect()}
+    assert checks == {"WALMART-00-20150126": (False, True, True, False), "MOMITOYS-06-NA": (False, True, True, True)}
+    assert tuple(run["validation_summary"].first()) == (2, 0, 2, 2, 1, 0)
 
 
 def test_silver_receipts_follow_the_stated_rules(spark):
@@ -205,6 +213,8 @@ def test_bronze_and_silver_files(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "silver" / "documents")).where("doc_type = 'invoice'").count() == 2
     files.write_bronze(items, meta, str(tmp_path / "again"))
     assert spark.read.parquet(str(tmp_path / "again" / "items")).count() == 1
+    with pytest.raises(AnalysisException, match="ALREADY_EXISTS"):
+        files.write_bronze(items, meta, str(tmp_path / "again"))
 
 
 def test_silver_pair_priority(spark, tmp_path):
