@@ -3,8 +3,20 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """An unused path in the folder that the cluster names in ``spark.checkpoint.dir``; in local mode, as in tests, where all
+    tasks share one host, a temporary folder stands in for it if none is named."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not spark.sparkContext._jsc.sc().isLocal():
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="docledger-")
+    return f"{named.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def write_once(df: DataFrame) -> DataFrame:
