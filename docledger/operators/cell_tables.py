@@ -160,35 +160,57 @@ def _clean_items(items: DataFrame) -> DataFrame:
     )
 
 
-def token_spans(tokens: Column, between: Column) -> Column:
-    """Matches with their start and end offsets, from the matches and the texts between them, in one pass."""
-    none = F.array().cast("array<struct<tok:string,s:int,e:int>>")
+def _let(value: Column, use) -> Column:
+    """``use(value)``, with the value worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-    def place(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["between"])
-        end = start + F.length(x["tok"])
-        span = F.struct(x["tok"].alias("tok"), start.alias("s"), end.alias("e"))
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
-    # There is one more text between than there are matches.
+def _gaps(tokens: Column, between: Column) -> Column:
+    """Matches with their lengths and those of the texts before them; there is one more text between than there are matches."""
     pairs = F.arrays_zip(tokens.alias("tok"), F.slice(between, F.lit(1), F.size(tokens)).alias("between"))
-    begin = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-    return F.aggregate(pairs, begin, place, lambda acc: acc["spans"])
+    return F.transform(pairs, lambda x: F.struct(x["tok"].alias("tok"), F.length(x["between"]).alias("gap"), F.length(x["tok"]).alias("size")))
 
 
-def outside(spans: Column, others: Column) -> Column:
-    """The spans that do not lie inside one of ``others``, whose spans do not overlap; one pass over both in order."""
-    tagged = lambda array, kind: F.transform(array, lambda x: F.struct(x["s"].alias("s"), F.lit(kind).alias("kind"), x["e"].alias("e"), x["tok"].alias("tok")))
-    none = F.array().cast("array<struct<tok:string,s:int,e:int>>")
+def number_beside_money(numbers: Column, money: Column, first_end: Column, last_start: Column) -> Column:
+    """Of the ``numbers`` that do not lie inside a match of ``money``, the first between ``first_end`` and ``last_start``, else
+    the first from ``first_end`` on, else the first. Both are arrays of :func:`_gaps`.
 
-    def step(acc: Column, x: Column) -> Column:
-        other = x["kind"] == 0
-        span = F.struct(x["tok"].alias("tok"), x["s"].alias("s"), x["e"].alias("e"))
-        kept = F.when(other | (x["e"] <= acc["end"]), acc["spans"]).otherwise(F.concat(acc["spans"], F.array(span)))
-        return F.struct(F.when(other, x["e"]).otherwise(acc["end"]).alias("end"), kept.alias("spans"))
+    One walk along both in text order: each step goes past a number or past a money match that ends before it. The state is a
+    few offsets and the three candidates, which Spark copies at each step; the arrays stay columns of the row. So the work is
+    linear in the matches.
+    """
+    none, zero = F.lit(None).cast("string"), F.lit(0)
+    begin = F.struct(
+        zero.alias("i"), zero.alias("j"), zero.alias("n_at"), zero.alias("m_at"), none.alias("between"), none.alias("right"), none.alias("any")
+    )
 
-    both = F.array_sort(F.concat(tagged(others, 0), tagged(spans, 1)))
-    return F.aggregate(both, F.struct(F.lit(-1).alias("end"), none.alias("spans")), step, lambda acc: acc["spans"])
+    def step(acc: Column, _: Column) -> Column:
+        number, match = F.get(numbers, acc["i"]), F.get(money, acc["j"])
+        start, m_start = acc["n_at"] + number["gap"], acc["m_at"] + match["gap"]
+        here = F.struct(
+            number["tok"].alias("tok"), start.alias("s"), (start + number["size"]).alias("e"),
+            m_start.alias("ms"), (m_start + match["size"]).alias("me"),
+        )
+
+        def move(x: Column) -> Column:
+            past_money = F.coalesce(x["me"] < x["e"], F.lit(False))
+            free = ~past_money & ~F.coalesce(x["ms"] <= x["s"], F.lit(False))
+            right = free & (x["s"] >= first_end)
+            take = lambda name, cond: F.when(acc[name].isNull() & cond, x["tok"]).otherwise(acc[name]).alias(name)
+            return F.struct(
+                F.when(past_money, acc["i"]).otherwise(acc["i"] + 1).alias("i"),
+                F.when(past_money, acc["j"] + 1).otherwise(acc["j"]).alias("j"),
+                F.when(past_money, acc["n_at"]).otherwise(F.coalesce(x["e"], acc["n_at"])).alias("n_at"),
+                F.when(past_money, x["me"]).otherwise(acc["m_at"]).alias("m_at"),
+                take("between", right & (x["e"] <= last_start)),
+                take("right", right),
+                take("any", free),
+            )
+
+        return _let(here, move)
+
+    steps = F.when(F.size(numbers) > 0, F.sequence(F.lit(1), F.size(numbers) + F.size(money)))
+    return F.aggregate(steps, begin, step, lambda acc: F.coalesce(acc["between"], acc["right"], acc["any"]))
 
 
 def same_line_numbers(df: DataFrame, text: str) -> DataFrame:
@@ -198,9 +220,9 @@ def same_line_numbers(df: DataFrame, text: str) -> DataFrame:
     else right of the first, else any. Matches and the texts between them are columns, worked out once a row.
     """
     t = F.col(text)
-    money, nums = F.col("_money"), F.col("_nums")
-    first, last = F.get(money, F.lit(0)), F.get(money, F.size(money) - 1)
-    two = F.size(money) >= 2
+    tokens, gaps = F.col("_money_tokens"), F.col("_money_between")
+    two = F.size(tokens) >= 2
+    first, last = F.get(tokens, F.lit(0)), F.get(tokens, F.size(tokens) - 1)
     empty = F.array().cast("array<string>")
     has_money = t.rlike(MONEY_TOKEN)
     for name, pattern in (("_money", MONEY_TOKEN), ("_nums", PLAIN_NUMBER)):
@@ -208,20 +230,19 @@ def same_line_numbers(df: DataFrame, text: str) -> DataFrame:
         df = df.withColumn(f"{name}_tokens", F.when(has_money, matches).otherwise(empty)).withColumn(
             f"{name}_between", F.when(has_money, F.split(t, pattern, -1)).otherwise(empty)
         )
-    between = F.filter(nums, lambda n: (n["s"] >= first["e"]) & (n["e"] <= last["s"]))
-    right = F.filter(nums, lambda n: n["s"] >= first["e"])
-    chosen = F.coalesce(
-        F.when(two, F.get(between, F.lit(0))["tok"]), F.get(right, F.lit(0))["tok"], F.get(nums, F.lit(0))["tok"]
-    )
+    first_end = F.length(F.get(gaps, F.lit(0))) + F.length(first)
+    last_start = F.when(two, F.length(t) - F.length(F.get(gaps, F.size(tokens))) - F.length(last))
     parts = [f"{name}_{part}" for name in ("_money", "_nums") for part in ("tokens", "between")]
     return (
-        df.withColumn("_money", token_spans(F.col("_money_tokens"), F.col("_money_between")))
-        .withColumn("_nums", token_spans(F.col("_nums_tokens"), F.col("_nums_between")))
-        .withColumn("_nums", outside(nums, money))
-        .withColumn("unit_price", money_invoice(first["tok"]))
-        .withColumn("quantity", to_number_or_null(chosen))
-        .withColumn("line_total", F.when(two, money_invoice(last["tok"])))
-        .drop("_money", "_nums", *parts)
+        df.withColumn("_money", _gaps(tokens, gaps))
+        .withColumn("_nums", _gaps(F.col("_nums_tokens"), F.col("_nums_between")))
+        .withColumn("_first_end", first_end)
+        .withColumn("_last_start", last_start)
+        .withColumn("_chosen", number_beside_money(F.col("_nums"), F.col("_money"), F.col("_first_end"), F.col("_last_start")))
+        .withColumn("unit_price", money_invoice(first))
+        .withColumn("quantity", to_number_or_null(F.col("_chosen")))
+        .withColumn("line_total", F.when(two, money_invoice(last)))
+        .drop("_money", "_nums", "_first_end", "_last_start", "_chosen", *parts)
     )
 
 
