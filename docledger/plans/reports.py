@@ -206,18 +206,76 @@ def receipt_report(
     }
 
 
-def _section(df: DataFrame, name: str, order: list[Column], label: Column, value: Column, bounded: bool) -> DataFrame:
-    """A section as rows ``(section, rank, label, value)``.
+SORT = "decimal(38,3)"
 
-    Sections with a row limit are ranked by a plain window; an unlimited one by :func:`ranked`.
+
+def _entry(section: str, value: Column, key: Column, written: Column, when: Column) -> Column:
+    """One line of the long form, null where the section has no such line; lines are ranked by value, then by key."""
+    line = F.struct(F.lit(section).alias("section"), value.cast(SORT).alias("sort"), key.alias("label"), written.alias("value"))
+    return F.when(when, line)
+
+
+def _document_entries(documents: DataFrame, line_items: DataFrame) -> DataFrame:
+    """Lines of the overviews and of the rankings by party, supplier and merchant.
+
+    Documents meet the sums of their items once; one aggregate with grouping sets then makes all of these groups.
     """
-    rows = df.select(*[c.alias(f"_o{i}") for i, c in enumerate(order)], label.alias("label"), value.alias("value"))
-    keys = [F.desc_nulls_last("_o0"), *[F.asc_nulls_last(f"_o{i}") for i in range(1, len(order))]]
-    if bounded:
-        rows = rows.withColumn("rank", F.row_number().over(Window.orderBy(*keys)).cast("bigint"))
-    else:
-        rows = ranked(rows, keys)
-    return rows.select(F.lit(name).alias("section"), "rank", "label", "value")
+    col, lit = F.col, F.lit
+    kept = ["document_id", "doc_type", "party_name", "sum_line_total", "total_meta"]
+    sums = line_items.groupBy("document_id").agg(_sum("line_total").alias("items_value"), lit(1).alias("has_items"))
+    # The type is there twice: a column of the grouping sets is null in those that leave it out.
+    rows = documents.select(*kept, col("doc_type").alias("of_type"), F.coalesce("supplier_name", lit("Unknown")).alias("supplier"), lit(1).alias("n")).join(sums, "document_id", "left")
+    # A row that counts for nothing, so that the overviews of no documents are zeros and not missing.
+    none = documents.sparkSession.range(1).select(lit(0).alias("n"))
+    rows = rows.unionByName(none, allowMissingColumns=True)
+    invoice, receipt = col("doc_type") == "invoice", col("doc_type") == "receipt"
+    groups = rows.groupingSets([[], ["doc_type", "party_name"], ["doc_type", "supplier"]], "doc_type", "party_name", "supplier").agg(
+        F.grouping_id().alias("level"),
+        F.sum("n").cast("bigint").alias("docs"),
+        F.count_if(col("of_type") == "invoice").alias("invoices"),
+        F.count_if(col("of_type") == "receipt").alias("receipts"),
+        F.sum(F.when(col("of_type") == "invoice", col("sum_line_total"))).cast(WIDE).alias("invoiced"),
+        F.sum(F.when(col("of_type") == "receipt", col("total_meta"))).alias("spent"),
+        F.avg(F.when(col("of_type") == "receipt", col("total_meta"))).cast(MONEY).alias("ticket"),
+        F.sum("has_items").alias("with_items"),
+        _zero_sum("items_value").alias("items_value"),
+    )
+    # Bits of the level: which of the three columns are not grouped by.
+    overall, by_party, by_supplier = (col("level") == level for level in (7, 1, 2))
+    zero = lit(0).cast(WIDE)
+    written = [
+        ("invoice_overview", 1, "total_documents", col("docs").cast("string")),
+        ("invoice_overview", 2, "total_invoices", col("invoices").cast("string")),
+        ("invoice_overview", 3, "invoices_total_value", fmt_money(F.coalesce("invoiced", zero))),
+        ("receipt_overview", 1, "docs", col("receipts").cast("string")),
+        ("receipt_overview", 2, "total_spent", F.coalesce("spent", lit(0)).cast(MONEY).cast("string")),
+        ("receipt_overview", 3, "avg_ticket", col("ticket").cast("string")),
+    ]
+    lines = [_entry(section, lit(-place), lit(label), text, overall) for section, place, label, text in written]
+    money, merchant = fmt_money(col("items_value")), col("spent").cast(MONEY)
+    lines += [
+        _entry("invoice_top_parties", col("items_value"), col("party_name"), money, by_party & invoice & (col("with_items") > 0)),
+        _entry("invoice_top_suppliers", col("items_value"), col("supplier"), money, by_supplier & invoice & (col("with_items") > 0)),
+        _entry("receipt_top_merchants", merchant, col("supplier"), merchant.cast("string"), by_supplier & receipt),
+    ]
+    return groups.select(F.inline(F.filter(F.array(*lines), lambda x: x.isNotNull())))
+
+
+def _item_entries(documents: DataFrame, line_items: DataFrame) -> DataFrame:
+    """Lines of the item rankings of both types, by value and by quantity, from one aggregate."""
+    col = F.col
+    rows = line_items.join(documents.select("document_id", "doc_type").where(col("doc_type").isin("invoice", "receipt")), "document_id")
+    groups = rows.groupBy("doc_type", "item").agg(_sum("line_total").alias("total"), _quantity().alias("quantity"))
+    invoice, receipt = col("doc_type") == "invoice", col("doc_type") == "receipt"
+    value, spent = F.coalesce("total", F.lit(0).cast(WIDE)), col("total").cast(MONEY)
+    count = col("quantity").cast("string")
+    lines = [
+        _entry("invoice_top_items_by_value", value, col("item"), fmt_money(value), invoice),
+        _entry("invoice_top_items_by_frequency", col("quantity"), col("item"), count, invoice),
+        _entry("receipt_top_items_by_value", spent, col("item"), spent.cast("string"), receipt),
+        _entry("receipt_top_items_by_frequency", col("quantity"), col("item"), count, receipt),
+    ]
+    return groups.select(F.inline(F.filter(F.array(*lines), lambda x: x.isNotNull())))
 
 
 def report_table(
@@ -227,60 +285,26 @@ def report_table(
     receipt_threshold: float = RECEIPT_THRESHOLD,
     top_n: int = TOP_N,
 ) -> DataFrame:
-    """Both reports as one long table, values as text."""
-    col, text = F.col, lambda name: F.col(name).cast("string")
-
-    def top(df: DataFrame, name: str, key: str, value: str, written: Column) -> DataFrame:
-        return _section(df, name, [col(value), col(key)], col(key), written, bounded=True)
-
-    def single(df: DataFrame, prefix: str, **values: Column) -> DataFrame:
-        pairs = [
-            F.struct(F.lit(i + 1).cast("bigint").alias("rank"), F.lit(k).alias("label"), v.alias("value"))
-            for i, (k, v) in enumerate(values.items())
-        ]
-        return df.select(F.lit(prefix).alias("section"), F.inline(F.array(*pairs)))
-
-    money = lambda name: fmt_money(F.col(name))
-    sections = [
-        single(
-            invoice_overview(documents),
-            "invoice_overview",
-            total_documents=text("total_documents"),
-            total_invoices=text("total_invoices"),
-            invoices_total_value=money("invoices_total_value"),
-        ),
-        top(invoice_top_parties(documents, line_items, top_n), "invoice_top_parties", "party_name", "total_value", money("total_value")),
-        top(invoice_top_suppliers(documents, line_items, top_n), "invoice_top_suppliers", "supplier_name", "total_value", money("total_value")),
-        top(invoice_top_items_by_value(documents, line_items, top_n), "invoice_top_items_by_value", "item", "total_value", money("total_value")),
-        top(invoice_top_items_by_frequency(documents, line_items, top_n), "invoice_top_items_by_frequency", "item", "quantity", text("quantity")),
-        _section(
-            invoice_discrepancies(documents, invoice_threshold),
-            "invoice_discrepancies",
-            [F.abs("diff_sum_vs_subtotal"), col("document_id")],
-            col("document_id"),
-            money("diff_sum_vs_subtotal"),
-            bounded=False,
-        ),
-        single(
-            receipt_overview(documents),
-            "receipt_overview",
-            docs=text("docs"),
-            total_spent=text("total_spent"),
-            avg_ticket=text("avg_ticket"),
-        ),
-        top(receipt_top_merchants(documents, top_n), "receipt_top_merchants", "merchant", "total", text("total")),
-        top(receipt_top_items_by_value(documents, line_items, top_n), "receipt_top_items_by_value", "item", "total", text("total")),
-        top(receipt_top_items_by_frequency(documents, line_items, top_n), "receipt_top_items_by_frequency", "item", "qty", text("qty")),
-        _section(
-            receipt_discrepancies(documents, receipt_threshold),
-            "receipt_discrepancies",
-            [F.abs("diff_sum_vs_subtotal"), col("document_id")],
-            col("document_id"),
-            text("diff_sum_vs_subtotal"),
-            bounded=True,
-        ),
-    ]
-    result = sections[0]
-    for section in sections[1:]:
-        result = result.unionByName(section)
-    return result
+    """Both reports as one long table ``(section, rank, label, value)``, values as text.
+
+    Items are read twice: once for the sums of documents, once for the sums of items. All bounded sections are ranked by one
+    window, which Spark limits before its exchange; the invoice discrepancies, of any number, by :func:`ranked`.
+    """
+    col = F.col
+    off = receipt_discrepancies(documents, receipt_threshold, max(AUDIT_ROWS, top_n)).select(
+        F.lit("receipt_discrepancies").alias("section"),
+        F.abs("diff_sum_vs_subtotal").cast(SORT).alias("sort"),
+        col("document_id").alias("label"),
+        col("diff_sum_vs_subtotal").cast("string").alias("value"),
+    )
+    lines = _document_entries(documents, line_items).unionByName(_item_entries(documents, line_items)).unionByName(off)
+    order = [F.desc_nulls_last("sort"), F.asc_nulls_last("label")]
+    placed = lines.withColumn("rank", F.row_number().over(Window.partitionBy("section").orderBy(*order)))
+    long = col("section").isin("invoice_overview", "receipt_overview", "receipt_discrepancies")
+    placed = placed.where(col("rank") <= max(AUDIT_ROWS, top_n)).where(long | (col("rank") <= top_n))
+    bounded = placed.select("section", col("rank").cast("bigint").alias("rank"), "label", "value")
+    found = invoice_discrepancies(documents, invoice_threshold).select(
+        F.abs("diff_sum_vs_subtotal").alias("sort"), col("document_id").alias("label"), fmt_money(col("diff_sum_vs_subtotal")).alias("value")
+    )
+    audited = ranked(found, [F.desc_nulls_last("sort"), F.asc_nulls_last("label")])
+    return bounded.unionByName(audited.select(F.lit("invoice_discrepancies").alias("section"), "rank", "label", "value"))
