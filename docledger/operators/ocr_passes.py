@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docledger.functions.strings import keyword_score, line_key
-from docledger.functions.text import filled_lines
+from docledger.functions.text import blank_to_null, strip, text_lines
 
 VARIANT = ["doc_id", "variant_no", "variant"]
 
@@ -21,33 +21,25 @@ def rank_ocr_pass(passes: DataFrame) -> DataFrame:
 def merge_ocr_passes(passes: DataFrame) -> DataFrame:
     """Text of each variant with the lines of all its passes, each line once, and the best configuration.
 
-    The passes of a variant meet once, in one row: what is gathered is no more than the few readings of one image, which the
-    merged text bounds. Lines are then sorted by key, of equal ones the first stays, and the rest go back to their order.
+    Passes are dealt by document once. All that follows groups by the document and more, so it needs no other exchange, nor
+    does :func:`choose_ocr_variant`: lines are rows, of equal ones the first stays (a grouped minimum), and the rest are
+    joined in their order. A blank line stands for nothing, but keeps its pass and the pass's score.
     """
-    read = F.struct("pass_no", "cfg", keyword_score(F.col("text")).alias("score"), F.col("text"))
-    best = F.array_min(F.transform("_passes", lambda p: F.struct(-p["score"], p["pass_no"], p["cfg"].alias("cfg"))))["cfg"]
-    lines = F.flatten(
-        F.transform(
-            "_passes",
-            lambda p: F.transform(
-                filled_lines(F.coalesce(p["text"], F.lit(""))),
-                lambda line, no: F.struct(
-                    line_key(line).alias("key"), p["pass_no"].alias("pass_no"), no.alias("line_no"), line.alias("line")
-                ),
-            ),
-        )
+    score = F.struct((-keyword_score(F.col("text"))).alias("score"), "pass_no", "cfg").alias("_pass")
+    # The score is a column before lines are: beside the generator it would be worked out again for every line.
+    scored = passes.repartition("doc_id").select(*VARIANT, "pass_no", score, "text")
+    lines = (
+        scored.select(*VARIANT, "pass_no", "_pass", F.posexplode_outer(text_lines(F.col("text"))).alias("line_no", "line"))
+        .withColumn("line", blank_to_null(strip(F.col("line"))))
+        .withColumn("_key", line_key(F.col("line")))
     )
-    by_key = F.col("_lines")
-    is_first = lambda x, i: (i == 0) | (F.get(by_key, i - 1)["key"] != x["key"])
-    placed = F.transform(F.filter(by_key, is_first), lambda x: F.struct(x["pass_no"], x["line_no"], x["line"].alias("line")))
-    text = F.array_join(F.transform(F.array_sort(placed), lambda x: x["line"]), "\n")
-    return (
-        passes.groupBy(*VARIANT)
-        .agg(F.collect_list(read).alias("_passes"))
-        .select(*VARIANT, best.alias("cfg"), F.array_sort(lines).alias("_lines"))
-        .select(*VARIANT, "cfg", text.alias("text"))
-        .withColumn("score", keyword_score(F.col("text")))
+    firsts = lines.groupBy(*VARIANT, "_key").agg(
+        F.min(F.struct("pass_no", "line_no", "line")).alias("_first"), F.min("_pass").alias("_pass")
     )
+    kept = firsts.select(*VARIANT, "_pass", F.struct("_first.pass_no", "_first.line_no").alias("_at"), F.col("_first.line").alias("line"))
+    text = F.expr("coalesce(listagg(line, '\n') WITHIN GROUP (ORDER BY _at), '')")
+    merged = kept.groupBy(*VARIANT).agg(F.min("_pass")["cfg"].alias("cfg"), text.alias("text"))
+    return merged.withColumn("score", keyword_score(F.col("text")))
 
 
 def rank_ocr_variant(merged: DataFrame) -> DataFrame:

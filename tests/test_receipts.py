@@ -175,3 +175,11 @@ def test_head_and_tail_lines(spark):
     assert [(r.line, r.name) for r in rt.name_lookback(spark.createDataFrame([("d", "MILK\n2\n@ 1.00")], "doc_id string, text string")).collect()] == [
         ("MILK", None), ("2", "MILK"), ("@ 1.00", "MILK"),
     ]
+
+
+def test_merging_passes_takes_one_exchange(spark, sf):
+    from workload import views
+
+    chosen = ocr_passes.choose_ocr_variant(ocr_passes.merge_ocr_passes(views.ocr_passes(spark, sf)))
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1
