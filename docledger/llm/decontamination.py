@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from docledger.llm import buffers
 from docledger.llm.repeats import row_groups
@@ -245,7 +246,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, index_bytes: int = INDEX_B
     """``doc_id, item_id, score, question, answer, first_word`` for every document and item it leaks."""
     types = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id {benchmark.schema['item_id'].dataType.simpleString()}"
     types += ", score double, question double, answer double, first_word long"
-    id_type = pa.string() if benchmark.schema["item_id"].dataType.typeName() == "string" else pa.int64()
+    id_type = to_arrow_type(benchmark.schema["item_id"].dataType)
     parts = []
     for index in index_shards(benchmark, index_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(index)

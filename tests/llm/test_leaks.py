@@ -93,3 +93,11 @@ def test_scores_do_not_depend_on_shards(spark, make):
     ]
     assert found[0].keys() == found[1].keys() and len(found[0]) > 20
     assert all(abs(a - b) < 1e-9 for k in found[0] for a, b in zip(found[0][k], found[1][k]))
+
+
+def test_ids_of_any_type(spark, make):
+    text = items()[3][1]
+    for kind, value in (("int", 7), ("short", 7), ("long", 7), ("string", "x7")):
+        table = spark.createDataFrame([(value, text)], f"item_id {kind}, text string")
+        (row,) = decontamination.find_leaks(make([(1, f"{prose(1, 40)} {text}")]), table).collect()
+        assert row["item_id"] == value
