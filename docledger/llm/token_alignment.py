@@ -44,7 +44,7 @@ from docledger.llm.store import map_arrow, settled
 
 VOCABULARIES = "/opt/tokenizers"
 BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
-BLOCK, CHUNK, KEPT = 1 << 18, 1 << 22, 1 << 23
+BLOCK, CHUNK, KEPT = 1 << 18, 1 << 22, 1 << 22
 JOINED = 1 << 14  # segments that are encoded at once
 BROADCAST_PAIRS = 1 << 20
 
@@ -87,7 +87,7 @@ class Segments:
 
     def __init__(self) -> None:
         self.number: dict[str, int] = {}  # -1: the bytes differ
-        self.groups: list[bytes] = []
+        self.groups: list[bytes] = []  # written out, a semicolon after each
         self.counts = np.zeros((0, 3), np.int64)  # tokens of A, of B, groups
         self.links = np.zeros(0, np.int64)
         self.first = np.zeros(1, np.int64)  # where a segment's links begin
@@ -125,7 +125,10 @@ class Pair:
         ]
         self.sizes = [np.array([len(x) for x in table]) for table in (self.a_bytes, self.b_bytes)]
         self.cuts = self._cuts(piece_bpe)
-        self.names = [[str(i) for i in range(len(table))] for table in (self.a_bytes, self.b_bytes)]
+        self.names = [
+            np.array([[b"%d%s" % (i, mark) for i in range(len(table))] for mark in (b",", end)], object)
+            for table, end in ((self.a_bytes, b"|"), (self.b_bytes, b";"))
+        ]
         self.known = Segments()
 
     def _cuts(self, piece_bpe: bytes) -> bool:
@@ -178,24 +181,24 @@ class Pair:
         a_ends = refined(starts[a_spans[:, 0]], starts[a_spans[:, 1]], self.sizes[0][a])
         b_ends = refined(b_spans[:, 0], b_spans[:, 1], self.sizes[1][b[:, 0]])
         # Every stretch between neighbouring ends is one overlap of a token of A with one of B.
-        ends = np.union1d(a_ends, b_ends)
-        common = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        ends = np.sort(np.concatenate([a_ends, b_ends]), kind="stable")  # merges two sorted runs
+        twice = ends[1:] == ends[:-1]
+        common, ends = ends[1:][twice], ends[np.append(True, ~twice)]
         links = a[np.searchsorted(a_ends, ends)] * len(self.b_bytes) + b[np.searchsorted(b_ends, ends), 0]
         stops = starts[np.cumsum([len(t) + 1 for t in texts])]
         within = [np.searchsorted(x, stops, side="right") for x in (a_ends, b_ends, common, ends)]
         known.links = np.concatenate([known.links, links])
         known.first = np.concatenate([known.first, known.first[-1] + within[3]])
         known.counts = np.concatenate([known.counts, np.column_stack([np.diff(x, prepend=0) for x in within[:3]])])
-        a_names, b_names = (list(map(names.__getitem__, ids)) for names, ids in zip(self.names, (a_ids, b_ids), strict=True))
-        i = j = 0
-        written = []
-        for x, y in zip((np.searchsorted(a_ends, common) + 1).tolist(), (np.searchsorted(b_ends, common) + 1).tolist(), strict=True):
-            written.append(f"{a_names[i] if x == i + 1 else ','.join(a_names[i:x])}|{b_names[j] if y == j + 1 else ','.join(b_names[j:y])}")
-            i, j = x, y
+        # Written out in order of groups, A's ids before B's; the last of its kind in a group has another mark behind it.
+        groups = [np.searchsorted(common, x) for x in (a_ends, b_ends)]
+        last = [(common[g] == x).astype(np.int64) for g, x in zip(groups, (a_ends, b_ends), strict=True)]
+        order = np.argsort(np.concatenate([2 * groups[0], 2 * groups[1] + 1]), kind="stable")
+        written = np.concatenate([self.names[0][last[0], a], self.names[1][last[1], b[:, 0]]])[order].tolist()
         first = 0
-        for text, last in zip(texts, within[2].tolist(), strict=True):
+        for text, last in zip(texts, (within[0] + within[1]).tolist(), strict=True):
             known.number[text] = len(known.groups)
-            known.groups.append(";".join(written[first:last]).encode())
+            known.groups.append(b"".join(written[first:last]))
             first = last
         return True
 
@@ -219,7 +222,7 @@ class Pair:
             which = [self.known.number[t] for t in texts]
             if -1 in which:
                 return [0] * 4, "", nothing, nothing
-            digest.update(b";" * bool(number) + b";".join([self.known.groups[i] for i in which]))
+            digest.update(b";" * bool(number) + b"".join([self.known.groups[i] for i in which])[:-1])
             which = np.array(which)
             sums += self.known.counts[which].sum(axis=0)
             more, times = self.known.linked(which)
