@@ -36,12 +36,13 @@ def drop_leaking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix with ``size, source_size, target, taken``; ``taken`` is the number of words to take of each,
-    repeats counted. Extra columns with these names are replaced."""
+    repeats counted. Extra columns with these names, in any case, are replaced."""
     added = ["size", "source_size", "target", "taken"]
-    rest = [c for c in docs.columns if c not in ("doc_id", "source", *added)]
+    own = [c for c in docs.columns if c.lower() not in added]
+    rest = [c for c in own if c not in ("doc_id", "source")]
     nested = docs.select("doc_id", "source", "text", F.struct(*rest).alias("rest"))
     mixed = mixing.mix(nested, mixing.quality_weights(table(spark, sf_dir, "labels")), carry=["rest"]).where(F.col("taken") > 0)
-    return mixed.select(*(c if c in ("doc_id", "source") else F.col(f"rest.`{c}`").alias(c) for c in docs.columns if c not in added), *added)
+    return mixed.select(*(c if c in ("doc_id", "source") else F.col(f"rest.`{c}`").alias(c) for c in own), *added)
 
 
 STAGES = [
