@@ -20,6 +20,13 @@ def test_stages_keep_the_columns(spark, make, odd_rows, sf):
         assert mixed.count() <= len(rows)
 
 
+def test_mixing_replaces_columns_of_its_names_in_any_case(spark, make, sf, tmp_path):
+    docs = make([(i, prose(i, 30)) for i in range(8)], extra=False).selectExpr("*", "'x' AS Size", "'x' AS TAKEN")
+    mixed = corpus_pipeline.mix_sources(spark, docs, sf)
+    assert mixed.columns == ["doc_id", "text", "lang", "source", "n_chars", "size", "source_size", "target", "taken"]
+    mixed.write.parquet(str(tmp_path / "mixed"))
+
+
 def test_decisions_take_effect(spark, make, sf):
     draw = random.Random(5)
     item = spark.read.parquet(f"{sf}/benchmark.parquet").where("length(text) > 100").orderBy("item_id").first()["text"]
@@ -42,7 +49,7 @@ def test_run(spark, sf):
     assert 0 < len(rows) == len({r["doc_id"] for r in rows}) and all(0 < r["taken"] <= 2 * r["size"] for r in rows)
 
 
-@pytest.mark.parametrize("n", range(1, 11))
+@pytest.mark.parametrize("n", range(1, 14))
 def test_one_query_for_each_operator(n):
     assert len([q for q in contract.queries() if q.startswith(f"op{n}_")]) == 1
     assert set(queries.ORACLES) <= set(queries.QUERIES)
