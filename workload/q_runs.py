@@ -21,7 +21,7 @@ LATER = "2024-02-01T00:00:00"
 
 def _two_loads(spark, sf) -> Ledger:
     """All documents, then the later batch of :func:`workload.q_loads._batch` with its items, described as changed."""
-    ledger = Ledger(spark, fresh_folder(spark, "ledger"))
+    ledger = Ledger(spark, fresh_folder(spark, "ledger"), buckets=16)
     documents = tables.document_rows(views.documents(spark, sf), STAMP)
     items = tables.item_rows(views.line_items(spark, sf))
     loads.load_batch(ledger, documents, items, "first")
