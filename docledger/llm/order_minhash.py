@@ -23,8 +23,9 @@ not read.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +35,13 @@ from pyspark.sql import functions as F
 from docledger.llm import buffers
 from docledger.llm.components import components
 from docledger.llm.repeats import row_groups, symbol_values
-from docledger.llm.store import fresh, map_arrow, row_key, settled
+from docledger.llm.store import fresh, map_arrow, row_key, settled, spent
 from docledger.operators.lineage import write_once
 
 SHINGLE, SKETCHES, SIMILARITY = 5, 32, 0.8
+PROFILE = 256  # counts of words that bound the edits of a pair
+FIRST_BAND = 64
+PLACES_BYTES = 1 << 25  # for the places of words while two texts are aligned
 FIRST_CANDIDATES = 8  # of a text in the first round; the second compares the others
 
 _DRAW = np.random.default_rng(20190714)
@@ -86,6 +90,27 @@ def sketches(values: np.ndarray, offsets: np.ndarray, shingle: int, draws: int)
     return out
 
 
+def _places(words: list[int]) -> tuple[dict[int, int], dict[int, list[int]]]:
+    """Where each word stands: for the most frequent ones, in ``PLACES_BYTES``, as bits of one integer, else as a list."""
+    found: dict[int, list[int]] = {}
+    for i, word in enumerate(words):
+        found.setdefault(word, []).append(i)
+    size = len(words) // 8 + 1
+    often = sorted(found, key=lambda w: len(found[w]), reverse=True)[: PLACES_BYTES // size]
+    return {w: _near(found.pop(w), 0, len(words)) for w in often}, found
+
+
+def _near(places: Sequence[int], start: int, width: int) -> int:
+    """Places as bits, counted from ``start``; those outside ``width`` do not appear."""
+    here = places[bisect_left(places, start) : bisect_left(places, start + width)]
+    if len(here) < 2:
+        return 1 << (here[0] - start) if here else 0
+    bits = bytearray(width // 8 + 1)
+    for at in here:
+        bits[(at - start) >> 3] |= 1 << ((at - start) & 7)
+    return int.from_bytes(bits, "little")
+
+
 def word_edits(a: np.ndarray, b: np.ndarray, most: int) -> int:
     """Insertions, deletions and replacements between two sequences, or more than ``most``.
 
@@ -106,16 +131,17 @@ def word_edits(a: np.ndarray, b: np.ndarray, most: int) -> int:
     shared = Counter(rows) & Counter(columns)
     if max(len(rows), len(columns)) - shared.total() > most:
         return most + 1
-    places: dict[int, int] = {}
-    for i, word in enumerate(rows):
-        places[word] = places.get(word, 0) | 1 << i
+    whole, apart = _places(rows)
     mask = (1 << (2 * most + 1)) - 1
     up, down = mask & ~((1 << most) - 1), 0
     watch = 1 << (most + shift)
     distance = abs(shift)
     for j, word in enumerate(columns):
-        match = places.get(word, 0)
-        match = (match >> (j - most) if j >= most else match << (most - j)) & mask
+        if word in whole:
+            match = whole[word]
+            match = (match >> (j - most) if j >= most else match << (most - j)) & mask
+        else:
+            match = _near(apart.get(word, ()), j - most, 2 * most + 1)
         flat = ((((match & up) + up) ^ up) | match | down) & mask
         rise = down | (mask & ~(flat | up))
         fall = flat & up
@@ -132,9 +158,32 @@ def word_edits(a: np.ndarray, b: np.ndarray, most: int) -> int:
 def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     longer = max(len(a), len(b))
     most = int((1 - similarity) * longer + 1e-9)
+    band = FIRST_BAND  # near copies are told in a narrow one, whatever their length
+    while band < most:
+        if word_edits(a, b, band) <= band:
+            return True
+        band *= 4
     return word_edits(a, b, most) <= most
 
 
+def edits_at_least(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A lower bound of the word edits between texts, from a row of :func:`profiles` for each.
+
+    Words that one text has more often than the other have to be deleted or replaced. Putting words together and cutting
+    counts can only make their number smaller.
+    """
+    more = a.astype(np.int16) - b.astype(np.int16)
+    return np.maximum(np.maximum(more, 0).sum(axis=1), np.maximum(-more, 0).sum(axis=1))
+
+
+def profiles(words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """For each text how many of its words have each value modulo ``PROFILE``, 255 at most."""
+    out = np.zeros((len(offsets) - 1, PROFILE), np.uint8)
+    for i, (x, y) in enumerate(zip(offsets, offsets[1:], strict=False)):
+        out[i] = np.minimum(np.bincount(words[x:y] % PROFILE, minlength=PROFILE), 255)
+    return out
+
+
 def _sketch(shingle: int, draws: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,28 +207,69 @@ def _sketch(shingle: int, draws: int):
 
 
 def _as_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts as 32-bit word hashes."""
+    """Texts as 32-bit word hashes, and their profiles."""
     for batch in batches:
         data, offsets = buffers.text_bytes(batch.column("text"))
         for a, b in row_groups(offsets, 1 << 21):
             values, at = symbol_values(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], words=True)
             short = (values[0] >> np.uint64(32)).astype(np.uint32)
             words = [short[x:y].tobytes() for x, y in zip(at, at[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([batch.column("node").slice(a, b - a), pa.array(words, pa.binary())], names=["node", "words"])
+            counts = [x.tobytes() for x in profiles(short, at)]
+            columns = [batch.column("node").slice(a, b - a), pa.array(words, pa.binary()), pa.array(counts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "words", "profile"])
+
+
+PAIR = ["a", "b", "ra", "rb"]
+
+
+def _kept_pairs(batch: pa.RecordBatch, which: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([batch.column(c) for c in PAIR], names=PAIR).filter(pa.array(which, pa.bool_()))
+
+
+def _may_link(similarity: float):
+    """Pairs whose profiles do not rule a link out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            one, other = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, PROFILE) for c in ("profile", "others"))
+            longer = np.maximum(batch.column("n").to_numpy(), batch.column("m").to_numpy())
+            yield _kept_pairs(batch, edits_at_least(one, other) <= np.floor((1 - similarity) * longer + 1e-9))
+
+    return run
 
 
 def _aligned(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs = zip(batch.column("words").to_pylist(), batch.column("others").to_pylist(), strict=True)
-            links = [alike(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32), similarity) for x, y in pairs]
-            names = ["a", "b", "ra", "rb"]
-            linked = pa.RecordBatch.from_arrays([batch.column(c) for c in names], names=names)
-            yield linked.filter(pa.array(links, pa.bool_()))
+            pairs = zip(batch.column("words"), batch.column("others"), strict=True)
+            links = [alike(np.frombuffer(x.as_py(), np.uint32), np.frombuffer(y.as_py(), np.uint32), similarity) for x, y in pairs]
+            yield _kept_pairs(batch, np.array(links, bool))
 
     return run
 
 
+def _with_both(pairs: DataFrame, texts: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Pairs with columns of both their texts, the second's under the names given."""
+    # What grows with the documents is never broadcast, however small it is here: hence the hints.
+    first = texts.select(F.col("node").alias("a"), *names)
+    second = texts.select(F.col("node").alias("b"), *(F.col(c).alias(name) for c, name in names.items()))
+    return pairs.join(first.hint("merge"), "a").join(second.hint("merge"), "b")
+
+
+def _distinct_buckets(shared: DataFrame) -> DataFrame:
+    """``draw, weight, node``: one draw for all that have the same members, and how many those are.
+
+    Copies share many draws and nothing else does, so most buckets say the same. Buckets are told apart by size, least
+    and largest member and 128 bits of all.
+    """
+    marks = [F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")]
+    by_draw = shared.groupBy("draw").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("low"), F.max("node").alias("high"), *marks)
+    one = by_draw.groupBy("size", "low", "high", "x", "y").agg(F.min("draw").alias("draw"), F.count(F.lit(1)).alias("weight"))
+    return settled(shared.join(settled(one.select("draw", "weight")).hint("merge"), "draw").select("draw", "weight", "node"))
+
+
 def _next_chosen(inside: DataFrame, about: int, turn: int) -> tuple[DataFrame, DataFrame | None]:
     """Members of the draws that still have pairs to compare, and the next to be compared with all of their draw.
 
@@ -194,7 +284,7 @@ def _next_chosen(inside: DataFrame, about: int, turn: int) -> tuple[DataFrame, D
     inside = settled(inside.join(left, "draw"))
     rate = F.ceil(F.col("waiting") / F.lit(about))
     picked = inside.where(~F.col("done") & (F.col("root") != F.col("largest")) & (F.pmod(F.xxhash64(F.lit(turn), "node"), rate) == 0))
-    return inside.drop("largest", "waiting"), settled(picked.select("draw", F.struct("node", "n", "root").alias("chosen")))
+    return inside, settled(picked.select("draw", F.struct("node", "n", "root").alias("chosen")))
 
 
 def near_duplicates(
@@ -209,30 +299,30 @@ def near_duplicates(
     keyed = docs.select(row_key().alias("k"), "text")
     key_type = keyed.schema["k"].dataType.simpleString()
     rows = settled(map_arrow(keyed, _sketch(shingle, draws), f"k {key_type}, a long, b long, n long, draws array<long>"))
-    nodes = settled(
-        rows.where("n > 0")
-        .groupBy("a", "b")
-        .agg(F.min("k").alias("k"), F.first("n").alias("n"), F.first("draws").alias("draws"))
-        .withColumn("node", F.struct(F.col("k.doc_id").alias("id"), F.col("a")))
-    )
+    nodes = rows.where("n > 0").groupBy("a", "b").agg(F.min("k").alias("k"), F.first("n").alias("n"), F.first("draws").alias("draws"))
+    nodes = settled(nodes.withColumn("node", F.monotonically_increasing_id()))  # numbers, fixed by being written
     drawn = nodes.select("node", F.explode("draws").alias("draw"))
     # Small sides of joins on hot keys are settled first: then Spark can split the large side's partitions.
     several = settled(drawn.groupBy("draw").count().where("count > 1").select("draw"))
-    shared = settled(drawn.join(several.hint("merge"), "draw", "left_semi"))
+    met = settled(drawn.join(several.hint("merge"), "draw", "left_semi"))
+    shared = _distinct_buckets(met)
+    spent(several, met)
     members = shared.select("node").distinct()
     texts = keyed.join(nodes.join(members, "node").select("k", "node").hint("merge"), "k").select("node", "text")
-    node_type = nodes.schema["node"].dataType.simpleString()
     # Dealt by node once: the rounds' joins find it in place.
-    words = write_once(map_arrow(texts, _as_words, f"node {node_type}, words binary").dropDuplicates(["node"]))
+    words = write_once(map_arrow(texts, _as_words, "node long, words binary, profile binary").dropDuplicates(["node"]))
+    counts = words.select("node", F.expr("length(words) div 4").alias("n"), "profile")
+    counts = write_once(counts)
 
-    roots = nodes.join(members, "node").select("node", "n", F.col("node").alias("root"))
+    roots = settled(nodes.join(members, "node").select("node", "n", F.col("node").alias("root")))
     links, turn = None, 0
     shared = shared.withColumn("done", F.lit(False))  # compared with all of its draw
     while True:
         inside = shared.join(roots, "node")
         if turn < 2:
-            chosen = inside.groupBy("draw").agg(F.min(F.struct("node", "n", "root")).alias("chosen"), F.min("root").alias("low"), F.max("root").alias("high"))
-            chosen = settled(chosen.where("low != high").select("draw", "chosen"))
+            chosen = inside.groupBy("draw").agg(F.first("weight").alias("weight"), F.min(F.struct("node", "n", "root")).alias("chosen"), F.min("root").alias("low"), F.max("root").alias("high"))
+            chosen = settled(chosen.where("low != high").select("draw", "weight", "chosen"))
+            inside = inside.drop("weight")
         else:
             inside, chosen = _next_chosen(inside, FIRST_CANDIDATES * 16 ** (turn - 2), turn)
             if chosen is None:
@@ -241,38 +331,46 @@ def near_duplicates(
             marks = chosen.select("draw", F.col("chosen.node").alias("node"), F.lit(True).alias("now"))
             still = shared.join(inside.select("draw").distinct() if turn > 1 else chosen.select("draw"), "draw", "left_semi")
             still = still.join(marks.hint("merge"), ["draw", "node"], "left")
-            following = settled(still.select("draw", "node", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done")))
+            following = settled(still.select("draw", "weight", "node", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done")))
         pairs = inside.join(chosen, "draw").where(~F.col("done") & (F.col("root") != F.col("chosen.root")))
         longer = F.greatest("n", "chosen.n")
         pairs = pairs.where(F.abs(F.col("n") - F.col("chosen.n")) <= F.floor(F.lit(1 - similarity) * longer + F.lit(1e-9)))
-        one, other = F.struct("node", "root"), F.struct(F.col("chosen.node").alias("node"), F.col("chosen.root").alias("root"))
+        one, other = F.struct("node", "root"), F.struct("chosen.node", "chosen.root")
         if turn > 1:  # both may be chosen
             one, other = F.greatest(one, other), F.least(one, other)
-        pairs = pairs.select(one.alias("x"), other.alias("y")).select(
-            F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.root").alias("ra"), F.col("y.root").alias("rb")
+        pairs = pairs.select(one.alias("x"), other.alias("y"), "weight").select(
+            F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.root").alias("ra"), F.col("y.root").alias("rb"), "weight"
         )
-        pairs = pairs.groupBy("a", "b", "ra", "rb").count()
+        pairs = pairs.groupBy(*PAIR).agg(F.sum("weight").alias("count"))
         if not turn:  # the most promising first: the others seldom have to be aligned any more
             best = Window.partitionBy("a").orderBy(F.desc("count"), F.xxhash64("b"), "b")
             pairs = pairs.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= FIRST_CANDIDATES)
-        pairs = pairs.select("a", "b", "ra", "rb")
-        # What grows with the documents is never broadcast, however small it is here: hence the hints.
-        sides = pairs.join(words.withColumnRenamed("node", "a").hint("merge"), "a")
-        sides = sides.join(words.select(F.col("node").alias("b"), F.col("words").alias("others")).hint("merge"), "b")
-        new = settled(map_arrow(sides, _aligned(similarity), ", ".join(f"{c} {node_type}" for c in ("a", "b", "ra", "rb"))))
+        types = ", ".join(f"{c} long" for c in PAIR)
+        near = settled(map_arrow(_with_both(pairs.select(*PAIR), counts, {"n": "m", "profile": "others"}), _may_link(similarity), types))
+        new = settled(map_arrow(_with_both(near, words.drop("profile"), {"words": "others"}), _aligned(similarity), types))
+        done = [near, chosen] + ([inside] if turn > 1 else [])
         links = new.select("a", "b") if links is None else links.unionByName(new.select("a", "b"))
         if not new.isEmpty():
             # Only classes that were linked in this round are joined, so their graph is small.
             joined = components(new.select(F.col("ra").alias("a"), F.col("rb").alias("b"))).select(F.col("node").alias("root"), F.col("root").alias("to"))
+            done.append(roots)
             roots = settled(roots.join(joined, "root", "left").select("node", "n", F.coalesce("to", "root").alias("root")))
         if turn:
+            done.append(shared)
             shared = following
+        spent(*done)
         turn += 1
-    roots = roots.where(F.col("root") != F.col("node"))
-    classes = nodes.select("a", "b", "node", F.col("k").alias("first")).join(roots, "node", "left")
-    classes = classes.select("a", "b", F.coalesce("root", "node").alias("root"), (F.col("root").isNull()).alias("is_root"), "first")
+    several = roots.where("root != node").select("root").distinct()
+    named = nodes.select("node", "a", "b", "k").join(roots.join(several, "root", "left_semi").select("node", "root"), "node")
+    leaders = named.groupBy("root").agg(F.min(F.struct(F.col("k.doc_id").alias("id"), "a", "b", "k")).alias("leader"))
+    named = named.join(settled(leaders).hint("merge"), "root").select("node", "leader")
+    classes = nodes.select("a", "b", "node", F.col("k").alias("first")).join(named, "node", "left")
+    classes = classes.select("a", "b", "first", F.coalesce("leader", F.struct(F.col("first.doc_id").alias("id"), "a", "b", F.col("first").alias("k"))).alias("leader"))
     found = rows.where("n > 0").join(classes, ["a", "b"])
-    found = found.select("k", F.col("root.id").alias("class_id"), F.col("root.a").alias("class_hash"), (F.col("is_root") & (F.col("k") == F.col("first"))).alias("kept"))
+    kept = (F.col("k") == F.col("first")) & (F.col("first") == F.col("leader.k"))
+    found = found.select("k", F.col("leader.id").alias("class_id"), F.col("leader.a").alias("class_hash"), kept.alias("kept"))
+    ends = nodes.select("node", F.struct(F.col("k.doc_id").alias("id"), F.col("a").alias("hash")).alias("text")).hint("merge")
+    links = links.join(ends.toDF("a", "one"), "a").join(ends.toDF("b", "other"), "b").select(F.col("one").alias("a"), F.col("other").alias("b"))
     alone = rows.where("n = 0").select("k", F.col("k.doc_id").alias("class_id"), F.col("k.h").alias("class_hash"), F.lit(True).alias("kept"))
     return found.unionByName(alone).select(F.col("k.doc_id").alias("doc_id"), "k", "class_id", "class_hash", "kept"), links
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+import weakref
 import zipfile
 from collections.abc import Callable
 from pathlib import Path
@@ -16,6 +17,10 @@ from pyspark.sql import types as T
 import docledger
 
 
+#: Where :func:`settled` wrote each frame.
+_folders: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 @functools.cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="docledger-")
@@ -37,7 +42,21 @@ def settled(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/docledger-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    read = spark.read.schema(df.schema).parquet(path)
+    _folders[read] = path
+    return read
+
+
+def spent(*frames: DataFrame) -> None:
+    """Remove the files of :func:`settled` frames that no later step reads. Shuffle files of finished steps go with the
+    plans that wrote them, as soon as the driver's collector has seen that nothing holds those; iterative work calls for it."""
+    for df in frames:
+        path = _folders.pop(df, None)
+        if path:
+            folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+    if frames:
+        frames[0].sparkSession._jvm.System.gc()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
