@@ -5,9 +5,12 @@ credentials. How widely a value is spread tells examples from leaks: a value tha
 a tutorial or a test file; one that belongs to a single owner and looks random is taken to be live. Opaque tokens are
 only reported if they are live in that sense, base matches always.
 
+Values are hashed where they are found: nothing that is shuffled or written holds one, only hashes, places and whether a
+value looks random.
+
 DataFrame operations only. Texts are read by Java patterns without groups that repeat, so long runs cost no stack. Places
 follow from the lengths of the matches and of the pieces between them, summed in a window over one document's matches. The
-values' statistics are counted by (value, owner) before by value, with partial aggregation, so a value that a third of
+statistics are counted by (hash, owner) before by hash, with partial aggregation, so a value that a third of
 all rows have costs no more than others.
 
 Defined cases. Null and empty texts: no spans. A null source is an owner of its own. Rows equal in id and text are one
@@ -46,33 +49,35 @@ def _matches(kind: str, pattern: str) -> Column:
     )
 
 
+def looks_random(value: Column) -> Column:
+    classes = sum((value.rlike(c).cast("int") for c in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]")), F.lit(0))
+    hex_like = value.rlike("^[0-9a-f]+$") & value.rlike("[0-9]") & value.rlike("[a-f]")
+    different = F.size(F.array_distinct(F.split(value, "")))
+    return ((classes >= LEAST_CLASSES) | hex_like | value.rlike(f"^{ACCESS}$")) & (different >= LEAST_DIFFERENT)
+
+
 def candidates(docs: DataFrame) -> DataFrame:
-    """``k, source, kind, rank, start, end, value`` of all matches, ends exclusive, in code points."""
+    """``k, source, kind, rank, start, end, value_sha256, random`` of all matches, ends exclusive, in code points."""
     keyed = docs.select(row_key().alias("k"), "source", "text")
     lists = [_matches(kind, pattern) for kind, pattern in KINDS.items()]
     none = F.array().cast("array<struct<kind:string,i:int,gap:int,match:string>>")
     found = keyed.select("k", "source", F.explode(F.concat(*[F.coalesce(x, none) for x in lists])).alias("m")).select("k", "source", "m.*")
-    found = settled(found.where(F.col("match").isNotNull())).dropDuplicates(["k", "source", "kind", "i"])
-    so_far = F.sum(F.col("gap") + F.length("match")).over(Window.partitionBy("k", "source", "kind").orderBy("i"))
     value = F.when(F.col("kind") == "assign", F.regexp_extract("match", ASSIGN_VALUE, 1)).otherwise(F.col("match"))
-    rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
-    spans = found.select(
-        "k", "source", "kind", rank.alias("rank"), (so_far - F.length("match")).alias("start"), so_far.alias("end"), value.alias("value")
-    )
-    return spans.where(F.length("value") >= LEAST_VALUE)
-
-
-def looks_random(value: Column) -> Column:
-    classes = sum((value.rlike(c).cast("int") for c in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]")), F.lit(0))
-    hex_like = value.rlike("^[0-9a-f]+$") & value.rlike("[0-9]") & value.rlike("[a-f]")
-    different = F.size(F.array_distinct(F.split(value, "")))
-    return ((classes >= LEAST_CLASSES) | hex_like | value.rlike(f"^{ACCESS}$")) & (different >= LEAST_DIFFERENT)
+    found = found.where(F.col("match").isNotNull()).withColumn("value", value)
+    hashed = F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256")
+    size, enough = F.length("match").alias("size"), (F.length("value") >= LEAST_VALUE).alias("enough")
+    found = found.select("k", "source", "kind", "i", "gap", size, enough, hashed, looks_random(F.col("value")).alias("random"))
+    found = settled(found).dropDuplicates(["k", "source", "kind", "i"])
+    so_far = F.sum(F.col("gap") + F.col("size")).over(Window.partitionBy("k", "source", "kind").orderBy("i"))
+    rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).alias("rank")
+    spans = found.select("k", "source", "kind", rank, (so_far - F.col("size")).alias("start"), so_far.alias("end"), "value_sha256", "random", "enough")
+    return spans.where("enough").drop("enough")
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """``value, owners, repositories``: by how many sources, and in how many documents, each value is held."""
-    held = found.select("value", "source", "k").distinct().groupBy("value", "source").agg(F.count(F.lit(1)).alias("n"))
-    return held.groupBy("value").agg(F.count(F.lit(1)).alias("owners"), F.sum("n").alias("repositories"))
+    """``value_sha256, owners, repositories``: by how many sources, and in how many documents, each value is held."""
+    held = found.select("value_sha256", "source", "k").distinct().groupBy("value_sha256", "source").agg(F.count(F.lit(1)).alias("n"))
+    return held.groupBy("value_sha256").agg(F.count(F.lit(1)).alias("owners"), F.sum("n").alias("repositories"))
 
 
 def find_secrets(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
@@ -88,13 +93,11 @@ def find_secrets(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataF
     begins = F.min(F.when(is_base, F.col("start"))).over(by_place.rowsBetween(1, Window.unboundedFollowing))
     free = (F.coalesce(ended, F.lit(0)) <= F.col("start")) & (F.coalesce(begins, F.col("end")) >= F.col("end"))
     verdict = (
-        F.when(F.col("owners") >= example_owners, "example").when(looks_random(F.col("value")), "live").otherwise("weak")
+        F.when(F.col("owners") >= example_owners, "example").when(F.col("random"), "live").otherwise("weak")
     )
-    judged = settled(found.withColumn("free", free)).join(by_value, "value").withColumn("verdict", verdict)
+    judged = settled(found.withColumn("free", free)).join(by_value, "value_sha256").withColumn("verdict", verdict)
     judged = judged.where(is_base | (F.col("free") & (F.col("verdict") == "live")))
-    return judged.select(
-        "k", "kind", "rank", "start", "end", F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"), "owners", "repositories", "verdict"
-    ).distinct()
+    return judged.select("k", "kind", "rank", "start", "end", "value_sha256", "owners", "repositories", "verdict").distinct()
 
 
 def secrets_by_document(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:

@@ -1,8 +1,10 @@
+import pathlib
 import random
 
 import brute
+from pyspark.sql import functions as F
 
-from docledger.llm import secret_ownership
+from docledger.llm import secret_ownership, store
 
 
 def spans(row, kinds=("assign", "access", "hex")):
@@ -32,6 +34,19 @@ def test_owners_tell_examples_from_leaks(make):
     assert [s["kind"] for s in found[20]] == ["opaque"] and found[21][0]["verdict"] == "weak"
 
 
+def test_no_clear_value_is_written(spark, make):
+    """No file that steps share holds a value, only hashes."""
+    value = "Wk3xPq9LmZt7RvB2nYc5"
+    rows = [(1, f"password = {value}"), (2, f"see {value} here")]
+    found = secret_ownership.secrets_by_document(make([(*r, "en", "src") for r in rows])).collect()
+    assert {r["doc_id"]: [s["kind"] for s in r["found"]] for r in found} == {1: ["assign"], 2: ["opaque"]}
+    folder = pathlib.Path(store.shared_folder(spark)) / f"docledger-{spark.sparkContext.applicationId}"
+    assert any(folder.iterdir())
+    for path in folder.iterdir():
+        for row in spark.read.parquet(str(path)).select(F.to_json(F.struct("*")).alias("row")).where(F.col("row").contains(value)).collect():
+            raise AssertionError(row)
+
+
 def test_odd_rows(make, odd_rows):
     rows = [(*r, "en", None) for r in odd_rows] + [(4, "secret=abcdefghijkl", "en", "a"), (4, "secret=abcdefghijkl", "en", "b")]
     found = secret_ownership.secrets_by_document(make(rows)).collect()
