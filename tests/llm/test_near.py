@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import brute
 import numpy as np
@@ -106,3 +107,39 @@ def test_scattered_edits_at_the_threshold(make):
         found, _ = order_minhash.near_duplicates(make(rows))
         joined = sum(r["doc_id"] % 2 == 1 and r["class_id"] == r["doc_id"] - 1 for r in found.collect())
         assert joined >= 147, (similarity, joined)
+
+
+def test_word_edits_without_whole_masks(monkeypatch):
+    """Places kept as lists, as those of rare words in very long texts, give the same edits."""
+    monkeypatch.setattr(order_minhash, "PLACES_BYTES", 0)
+    test_word_edits_within_the_band()
+
+
+def test_profiles_never_exceed_the_edits():
+    draw = np.random.default_rng(1)
+    for _ in range(300):
+        a, b = (draw.integers(0, 12, draw.integers(1, 25)).astype(np.uint32) * 128 for _ in range(2))
+        rows = order_minhash.profiles(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
+        assert order_minhash.edits_at_least(rows[:1], rows[1:])[0] <= brute.edits(a.tolist(), b.tolist())
+    long = np.zeros(1000, np.uint32)
+    rows = order_minhash.profiles(np.concatenate([long, long[:300]]), np.array([0, 1000, 1300]))
+    assert rows.max() == 255 and order_minhash.edits_at_least(rows[:1], rows[1:])[0] == 0
+
+
+def test_long_near_copies_in_bounded_memory():
+    """Two hundred thousand different words with scattered edits, aligned as one pair."""
+    a = np.arange(200_000, dtype=np.uint32)
+    b = np.delete(a.copy(), np.arange(100, 160_000, 8_000))
+    b[::10_000] = 4_000_000_000
+    tracemalloc.start()
+    assert order_minhash.alike(a, b, 0.8)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 200e6, most
+
+
+def test_links_name_both_texts(make):
+    words = prose(3, 80, 3000).split()
+    _, links = order_minhash.near_duplicates(make([(5, " ".join(words)), (9, " ".join([*words, "more"]))]))
+    ((a, b),) = links.collect()
+    assert {a["id"], b["id"]} == {5, 9} and a["hash"] != b["hash"]
