@@ -7,11 +7,12 @@ at the threshold scattered edits leave a fifth of the shingles in common, and tw
 pairs, while one of ``SKETCHES`` is missed by less than one pair in a hundred, if texts have 50 words or more.
 
 Documents that share a draw are candidates. A bucket's members are compared with one of them: at first each text with the
-``FIRST_CANDIDATES`` such members that it shares most draws with, then with all others that are not in its class yet. After
-that, members outside a bucket's largest class are chosen, 16 times as many each round, and compared with all others of the
-bucket, until every pair of texts in a bucket was compared or is in one class. Pairs whose lengths alone rule a link out need
-no alignment. A candidate is a link if 1 - (word edits / words of the longer text) is at least ``SIMILARITY``; the alignment
-only visits cells that near the diagonal, which suffices to decide that. Classes are the connected components.
+``FIRST_CANDIDATES`` such members that it shares most draws with, then with all others that are not in its class yet. That
+joins most copies. In buckets that still hold several classes all pairs of different ones are compared by their lengths,
+words present and word counts, which bound the edits from below: members are dealt by length and salt to blocks of about
+``BLOCK``, and two blocks meet in one small group, whatever the bucket's size; only pairs that may be links become rows. A
+candidate is a link if 1 - (word edits / words of the longer text) is at least ``SIMILARITY``; the alignment only visits cells
+that near the diagonal, which suffices to decide that. Classes are the connected components.
 
 Exact copies are one node from the first aggregation on, so groups of them of any size cost nothing later.
 
@@ -23,13 +24,14 @@ not read.
 
 from __future__ import annotations
 
+import functools
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docledger.llm import buffers
@@ -40,9 +42,13 @@ from docledger.operators.lineage import write_once
 
 SHINGLE, SKETCHES, SIMILARITY = 5, 32, 0.8
 PROFILE = 256  # counts of words that bound the edits of a pair
+PRESENT = 1024  # bits for the words present, with their occurrence
+BLOCK = 512  # members of a bucket that are compared at once
+PAIRS_AT_ONCE = 1 << 15
+AHEAD = 4  # pairs of two classes that are aligned before all others of these classes
 FIRST_BAND = 64
 PLACES_BYTES = 1 << 25  # for the places of words while two texts are aligned
-FIRST_CANDIDATES = 8  # of a text in the first round; the second compares the others
+FIRST_CANDIDATES = 8  # of a text in the first round; the second compares the others with the same members
 
 _DRAW = np.random.default_rng(20190714)
 _SALTS = _DRAW.integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -184,6 +190,14 @@ def profiles(words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+def presence(words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """For each text a row of ``PRESENT`` bits: which values its words, told apart by occurrence, have modulo ``PRESENT``."""
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    out = np.zeros((len(offsets) - 1, PRESENT), bool)
+    out[row, (occurrence_labelled(words, row) % np.uint64(PRESENT)).astype(np.int64)] = True
+    return np.packbits(out, axis=1)
+
+
 def _sketch(shingle: int, draws: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,7 +221,7 @@ def _sketch(shingle: int, draws: int):
 
 
 def _as_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts as 32-bit word hashes, and their profiles."""
+    """Texts as 32-bit word hashes, their profiles and the words present."""
     for batch in batches:
         data, offsets = buffers.text_bytes(batch.column("text"))
         for a, b in row_groups(offsets, 1 << 21):
@@ -215,11 +229,18 @@ def _as_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             short = (values[0] >> np.uint64(32)).astype(np.uint32)
             words = [short[x:y].tobytes() for x, y in zip(at, at[1:], strict=False)]
             counts = [x.tobytes() for x in profiles(short, at)]
-            columns = [batch.column("node").slice(a, b - a), pa.array(words, pa.binary()), pa.array(counts, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["node", "words", "profile"])
+            present = [x.tobytes() for x in presence(values[0], at)]
+            columns = [batch.column("node").slice(a, b - a), *(pa.array(x, pa.binary()) for x in (words, counts, present))]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "words", "profile", "present"])
 
 
 PAIR = ["a", "b", "ra", "rb"]
+GROUP = ["draw", "c", "i", "d", "j"]
+
+
+def _rows(column: pa.Array, kind: type) -> np.ndarray:
+    """Binary values of equal length as rows of an array."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
 
 
 def _kept_pairs(batch: pa.RecordBatch, which: np.ndarray) -> pa.RecordBatch:
@@ -233,13 +254,70 @@ def _may_link(similarity: float):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            one, other = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, PROFILE) for c in ("profile", "others"))
+            one, other = (_rows(batch.column(c), np.uint8) for c in ("profile", "others"))
             longer = np.maximum(batch.column("n").to_numpy(), batch.column("m").to_numpy())
             yield _kept_pairs(batch, edits_at_least(one, other) <= np.floor((1 - similarity) * longer + 1e-9))
 
     return run
 
 
+def _group_pairs(group: pa.RecordBatch, similarity: float) -> np.ndarray:
+    """Rows of two members of different classes that may be links; the greater node comes first."""
+    node, n, root = (group.column(c).to_numpy() for c in ("node", "n", "root"))
+    right = group.column("right").to_numpy(zero_copy_only=False)
+    left, other = np.flatnonzero(~right), np.flatnonzero(right)
+    own = all(group.column(x)[0] == group.column(y)[0] for x, y in (("c", "d"), ("i", "j")))
+    if own:
+        other = left
+    present, profile = _rows(group.column("present"), np.uint64), _rows(group.column("profile"), np.uint8)
+    bits = np.bitwise_count(present).sum(axis=1, dtype=np.int64)
+    found = []
+    step = max(1, PAIRS_AT_ONCE // max(1, len(other)))
+    for at in range(0, len(left), step):
+        x, y = left[at : at + step, None], other[None, :]
+        most = np.floor((1 - similarity) * np.maximum(n[x], n[y]) + 1e-9).astype(np.int64)
+        may = (root[x] != root[y]) & (np.abs(n[x] - n[y]) <= most)
+        if own:
+            may &= x < y
+        p, q = np.nonzero(may)
+        most = most[p, q]
+        p, q = left[at + p], other[q]
+        for bound in (
+            lambda p, q: np.maximum(bits[p], bits[q]) - np.bitwise_count(present[p] & present[q]).sum(axis=1, dtype=np.int64),
+            lambda p, q: edits_at_least(profile[p], profile[q]),
+        ):
+            near = bound(p, q) <= most
+            p, q, most = p[near], q[near], most[near]
+        first, second = np.where(node[p] > node[q], p, q), np.where(node[p] > node[q], q, p)
+        found.append(np.stack([node[first], node[second], root[first], root[second]]))
+    return np.concatenate(found, axis=1) if found else np.zeros((len(PAIR), 0), np.int64)
+
+
+def _pairs_of_blocks(similarity: float):
+    """Pairs of each group of blocks; groups arrive one after the other and may be cut by batches."""
+
+    def pairs(batch: pa.RecordBatch, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        found = [_group_pairs(batch.slice(a, b - a), similarity) for a, b in zip(starts, starts[1:], strict=False) if b - a > 1]
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in np.concatenate(found, axis=1)], names=PAIR)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if held is not None:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            keys = np.stack([batch.column(c).to_numpy() for c in GROUP])
+            starts = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1])
+            yield from pairs(batch, starts)
+            held = batch.slice(starts[-1])
+        if held is not None:
+            yield from pairs(held, np.array([0, held.num_rows]))
+
+    return run
+
+
 def _aligned(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -270,21 +348,34 @@ def _distinct_buckets(shared: DataFrame) -> DataFrame:
     return settled(shared.join(settled(one.select("draw", "weight")).hint("merge"), "draw").select("draw", "weight", "node"))
 
 
-def _next_chosen(inside: DataFrame, about: int, turn: int) -> tuple[DataFrame, DataFrame | None]:
-    """Members of the draws that still have pairs to compare, and the next to be compared with all of their draw.
+def _in_blocks(inside: DataFrame, similarity: float) -> DataFrame:
+    """Members of draws with several classes, dealt to groups of two blocks in which every pair meets that may be a link.
 
-    Every pair of two classes has a member outside the draw's largest class. Of such members that are not done yet about
-    ``about`` are chosen, all if they are fewer; None if no draw has any.
+    Large draws are cut by length, so that a link's texts are in one class of length or in neighbouring ones, and each class
+    by salt; a member goes to the groups of its block with all others of its own and the neighbouring classes.
     """
-    held = inside.groupBy("draw", "root").agg(F.count(F.lit(1)).alias("size"), F.count_if(~F.col("done")).alias("open"))
-    largest = held.groupBy("draw").agg(F.max(F.struct("size", "root"))["root"].alias("largest"), F.sum("open").alias("all_open"), F.max(F.struct("size", "root", "open"))["open"].alias("inner"))
-    left = settled(largest.withColumn("waiting", F.col("all_open") - F.col("inner")).where("waiting > 0").select("draw", "largest", "waiting"))
-    if left.isEmpty():
-        return inside, None
-    inside = settled(inside.join(left, "draw"))
-    rate = F.ceil(F.col("waiting") / F.lit(about))
-    picked = inside.where(~F.col("done") & (F.col("root") != F.col("largest")) & (F.pmod(F.xxhash64(F.lit(turn), "node"), rate) == 0))
-    return inside, settled(picked.select("draw", F.struct("node", "n", "root").alias("chosen")))
+    sizes = inside.groupBy("draw").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
+    sizes = settled(sizes.where("low != high").select("draw", "size"))
+    by_length = F.floor(F.log("n") / F.lit(np.log(1 / similarity) + 1e-9)) if similarity < 1 else F.col("n")
+    length = F.when(F.col("size") > BLOCK, by_length).otherwise(0).cast("int")
+    members = settled(inside.join(sizes.hint("merge"), "draw").select("draw", "node", "n", "root", length.alias("c")))
+    cells = members.groupBy("draw", "c").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    along = Window.partitionBy("draw").orderBy("c")
+    beside = lambda other, at: F.when(other("c").over(along) == F.col("c") + at, other("blocks").over(along)).otherwise(0)
+    cells = settled(cells.select("draw", "c", "blocks", beside(F.lead, 1).alias("above"), beside(F.lag, -1).alias("below")))
+    placed = members.join(cells.hint("merge"), ["draw", "c"]).withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    c, own = F.col("c"), F.col("own")
+
+    def groups(blocks: str, group: Callable[[Column], tuple]) -> Column:
+        some = F.when(F.col(blocks) > 0, F.sequence(F.lit(0), F.col(blocks) - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(some, lambda at: F.struct(*(x.alias(name) for x, name in zip(group(at), [*GROUP[1:], "right"], strict=True))))
+
+    all_groups = F.concat(
+        groups("blocks", lambda at: (c, F.least(own, at), c, F.greatest(own, at), own > at)),
+        groups("above", lambda at: (c, own, c + 1, at, F.lit(False))),
+        groups("below", lambda at: (c - 1, at, c, own, F.lit(True))),
+    )
+    return placed.select("draw", "node", "n", "root", F.explode(all_groups).alias("group")).select("draw", "group.*", "node", "n", "root")
 
 
 def near_duplicates(
@@ -310,56 +401,55 @@ def near_duplicates(
     members = shared.select("node").distinct()
     texts = keyed.join(nodes.join(members, "node").select("k", "node").hint("merge"), "k").select("node", "text")
     # Dealt by node once: the rounds' joins find it in place.
-    words = write_once(map_arrow(texts, _as_words, "node long, words binary, profile binary").dropDuplicates(["node"]))
-    counts = words.select("node", F.expr("length(words) div 4").alias("n"), "profile")
-    counts = write_once(counts)
-
+    words = write_once(map_arrow(texts, _as_words, "node long, words binary, profile binary, present binary").dropDuplicates(["node"]))
+    counts = write_once(words.select("node", F.expr("length(words) div 4").alias("n"), "profile", "present"))
+    types = ", ".join(f"{x} long" for x in PAIR)
     roots = settled(nodes.join(members, "node").select("node", "n", F.col("node").alias("root")))
-    links, turn = None, 0
-    shared = shared.withColumn("done", F.lit(False))  # compared with all of its draw
-    while True:
+    found: list[DataFrame] = []
+
+    def link(near: DataFrame) -> None:
+        """Align pairs, keep the links and join their classes."""
+        nonlocal roots
+        new = settled(map_arrow(_with_both(near, words.select("node", "words"), {"words": "others"}), _aligned(similarity), types))
+        found.append(new.select("a", "b"))
+        if not new.isEmpty():
+            # Only classes that were linked in this round are joined, so their graph is small.
+            joined = components(new.select(F.col("ra").alias("a"), F.col("rb").alias("b"))).select(F.col("node").alias("root"), F.col("root").alias("to"))
+            before, roots = roots, settled(roots.join(joined, "root", "left").select("node", "n", F.coalesce("to", "root").alias("root")))
+            spent(before)
+
+    compared = []
+    for turn in range(2):
         inside = shared.join(roots, "node")
-        if turn < 2:
-            chosen = inside.groupBy("draw").agg(F.first("weight").alias("weight"), F.min(F.struct("node", "n", "root")).alias("chosen"), F.min("root").alias("low"), F.max("root").alias("high"))
-            chosen = settled(chosen.where("low != high").select("draw", "weight", "chosen"))
-            inside = inside.drop("weight")
-        else:
-            inside, chosen = _next_chosen(inside, FIRST_CANDIDATES * 16 ** (turn - 2), turn)
-            if chosen is None:
-                break
-        if turn:  # classes only grow, so draws of one class are done with
-            marks = chosen.select("draw", F.col("chosen.node").alias("node"), F.lit(True).alias("now"))
-            still = shared.join(inside.select("draw").distinct() if turn > 1 else chosen.select("draw"), "draw", "left_semi")
-            still = still.join(marks.hint("merge"), ["draw", "node"], "left")
-            following = settled(still.select("draw", "weight", "node", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done")))
-        pairs = inside.join(chosen, "draw").where(~F.col("done") & (F.col("root") != F.col("chosen.root")))
+        chosen = inside.groupBy("draw").agg(F.first("weight").alias("weight"), F.min(F.struct("node", "n", "root")).alias("chosen"), F.min("root").alias("low"), F.max("root").alias("high"))
+        chosen = settled(chosen.where("low != high").select("draw", "weight", "chosen"))
+        pairs = inside.drop("weight").join(chosen, "draw").where(F.col("root") != F.col("chosen.root"))
         longer = F.greatest("n", "chosen.n")
         pairs = pairs.where(F.abs(F.col("n") - F.col("chosen.n")) <= F.floor(F.lit(1 - similarity) * longer + F.lit(1e-9)))
-        one, other = F.struct("node", "root"), F.struct("chosen.node", "chosen.root")
-        if turn > 1:  # both may be chosen
-            one, other = F.greatest(one, other), F.least(one, other)
-        pairs = pairs.select(one.alias("x"), other.alias("y"), "weight").select(
-            F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.root").alias("ra"), F.col("y.root").alias("rb"), "weight"
-        )
+        pairs = pairs.select(F.col("node").alias("a"), F.col("chosen.node").alias("b"), F.col("root").alias("ra"), F.col("chosen.root").alias("rb"), "weight")
         pairs = pairs.groupBy(*PAIR).agg(F.sum("weight").alias("count"))
         if not turn:  # the most promising first: the others seldom have to be aligned any more
             best = Window.partitionBy("a").orderBy(F.desc("count"), F.xxhash64("b"), "b")
             pairs = pairs.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= FIRST_CANDIDATES)
-        types = ", ".join(f"{c} long" for c in PAIR)
-        near = settled(map_arrow(_with_both(pairs.select(*PAIR), counts, {"n": "m", "profile": "others"}), _may_link(similarity), types))
-        new = settled(map_arrow(_with_both(near, words.drop("profile"), {"words": "others"}), _aligned(similarity), types))
-        done = [near, chosen] + ([inside] if turn > 1 else [])
-        links = new.select("a", "b") if links is None else links.unionByName(new.select("a", "b"))
-        if not new.isEmpty():
-            # Only classes that were linked in this round are joined, so their graph is small.
-            joined = components(new.select(F.col("ra").alias("a"), F.col("rb").alias("b"))).select(F.col("node").alias("root"), F.col("root").alias("to"))
-            done.append(roots)
-            roots = settled(roots.join(joined, "root", "left").select("node", "n", F.coalesce("to", "root").alias("root")))
-        if turn:
-            done.append(shared)
-            shared = following
-        spent(*done)
-        turn += 1
+        near = settled(map_arrow(_with_both(pairs.select(*PAIR), counts.drop("present"), {"n": "m", "profile": "others"}), _may_link(similarity), types))
+        link(near)
+        compared.append(near)
+        spent(chosen)
+    groups = _in_blocks(shared.join(roots, "node"), similarity).join(counts.select("node", "profile", "present").hint("merge"), "node")
+    groups = groups.select(*GROUP, "right", "node", "n", "root", "profile", "present").repartition(*GROUP).sortWithinPartitions(*GROUP)
+    pairs = map_arrow(groups, _pairs_of_blocks(similarity), types).distinct()
+    before = compared[0].unionByName(compared[1]).select("a", "b")
+    pairs = settled(pairs.join(before.hint("merge"), ["a", "b"], "left_anti").select(*PAIR))
+    # Of each two classes a few pairs first: mostly they are one class then, and the others need no alignment.
+    nth = F.row_number().over(Window.partitionBy("ra", "rb").orderBy(F.xxhash64("a", "b"), "a", "b"))
+    ahead = settled(pairs.withColumn("nth", nth).where(F.col("nth") <= AHEAD).select(*PAIR))
+    link(ahead)
+    rest = pairs.join(ahead.select("a", "b").hint("merge"), ["a", "b"], "left_anti").select("a", "b")
+    for end in ("a", "b"):
+        rest = rest.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"r{end}")).hint("merge"), end)
+    link(settled(rest.where("ra != rb").select(*PAIR)))
+    links = functools.reduce(DataFrame.unionByName, found)
+    spent(*compared, shared, pairs, ahead)
     several = roots.where("root != node").select("root").distinct()
     named = nodes.select("node", "a", "b", "k").join(roots.join(several, "root", "left_semi").select("node", "root"), "node")
     leaders = named.groupBy("root").agg(F.min(F.struct(F.col("k.doc_id").alias("id"), "a", "b", "k")).alias("leader"))
