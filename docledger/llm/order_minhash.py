@@ -43,7 +43,7 @@ from docledger.operators.lineage import write_once
 SHINGLE, SKETCHES, SIMILARITY = 5, 32, 0.8
 PROFILE = 256  # counts of words that bound the edits of a pair
 PRESENT = 1024  # bits for the words present, with their occurrence
-BLOCK = 512  # members of a bucket that are compared at once
+BLOCK = 4096  # members of a bucket that are compared at once
 PAIRS_AT_ONCE = 1 << 15
 AHEAD = 4  # pairs of two classes that are aligned before all others of these classes
 FIRST_BAND = 64
@@ -391,13 +391,18 @@ def near_duplicates(
     key_type = keyed.schema["k"].dataType.simpleString()
     rows = settled(map_arrow(keyed, _sketch(shingle, draws), f"k {key_type}, a long, b long, n long, draws array<long>"))
     nodes = rows.where("n > 0").groupBy("a", "b").agg(F.min("k").alias("k"), F.first("n").alias("n"), F.first("draws").alias("draws"))
-    nodes = settled(nodes.withColumn("node", F.monotonically_increasing_id()))  # numbers, fixed by being written
-    drawn = nodes.select("node", F.explode("draws").alias("draw"))
+    drawn = settled(nodes.withColumn("node", F.monotonically_increasing_id()))  # numbers, fixed by being written
+    # Draws are most of what is written here, so they go as soon as the buckets are known.
+    nodes, drawing = settled(drawn.drop("draws")), rows
+    rows = settled(rows.drop("draws"))
+    spent(drawing)
+    by_draw = drawn.select("node", F.explode("draws").alias("draw"))
     # Small sides of joins on hot keys are settled first: then Spark can split the large side's partitions.
-    several = settled(drawn.groupBy("draw").count().where("count > 1").select("draw"))
-    met = settled(drawn.join(several.hint("merge"), "draw", "left_semi"))
+    several = settled(by_draw.groupBy("draw").count().where("count > 1").select("draw"))
+    met = settled(by_draw.join(several.hint("merge"), "draw", "left_semi"))
+    spent(several, drawn)
     shared = _distinct_buckets(met)
-    spent(several, met)
+    spent(met)
     members = shared.select("node").distinct()
     texts = keyed.join(nodes.join(members, "node").select("k", "node").hint("merge"), "k").select("node", "text")
     # Dealt by node once: the rounds' joins find it in place.
