@@ -143,3 +143,33 @@ def test_links_name_both_texts(make):
     _, links = order_minhash.near_duplicates(make([(5, " ".join(words)), (9, " ".join([*words, "more"]))]))
     ((a, b),) = links.collect()
     assert {a["id"], b["id"]} == {5, 9} and a["hash"] != b["hash"]
+
+
+def test_blocks_compare_every_pair(make, spark, monkeypatch):
+    """Buckets cut into many blocks, by length and salt, and groups cut by batches lose no pair."""
+    monkeypatch.setattr(order_minhash, "BLOCK", 4)
+    monkeypatch.setattr(order_minhash, "PAIRS_AT_ONCE", 3)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(size, "5")
+    try:
+        draw, rows, passage = random.Random(3), [], prose(1, 100, 5000)
+        for i in range(70):
+            rows.append((i, f"{passage} {prose(100 + i, draw.randrange(5, 120), 5000)}"))
+        test_pairs_behind_a_common_passage(make)
+        found, _ = order_minhash.near_duplicates(make(rows))
+        got = {r["doc_id"]: r["class_id"] for r in found.collect()}
+    finally:
+        spark.conf.unset(size)
+    expected = brute.near_classes([t for _, t in rows])
+    smallest = {}
+    for (i, _), c in zip(rows, expected):
+        smallest[c] = min(smallest.get(c, i), i)
+    assert got == {i: smallest[c] for (i, _), c in zip(rows, expected)} and 1 < len(set(got.values())) < 70
+
+
+def test_words_present_never_exceed_the_edits():
+    draw = np.random.default_rng(2)
+    for _ in range(300):
+        a, b = (draw.integers(0, 12, draw.integers(1, 25)).astype(np.uint64) * np.uint64(977) for _ in range(2))
+        one, other = (np.unpackbits(x) for x in order_minhash.presence(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)])))
+        assert max((one > other).sum(), (other > one).sum()) <= brute.edits(a.tolist(), b.tolist())
