@@ -72,3 +72,28 @@ def test_case_and_stems():
     upper = toxicity.features(*buffers.text_bytes(pa.array(["ÉLAN, STUPID. STUPIDITY!"])))
     assert (lower.ids == upper.ids).all()
     assert (lower.ids[1, 1:] == lower.ids[2, 1:]).all() and lower.ids[1, 0] != lower.ids[2, 0]
+
+
+def test_every_labelled_document_is_learned(spark, make, monkeypatch):
+    """Each toxic word stands in a few documents of one shard only; small shards all add to one network, and reruns agree."""
+    monkeypatch.setattr(toxicity, "SHARD_BYTES", 1 << 18)
+    draw, rows, labels = random.Random(5), [], []
+    for i in range(1200):
+        words, bad = prose(i, 25).split(), i % 3 == 0
+        rows.append((i, " ".join([*words[:12], draw.choice(BAD) if bad else "plain", *words[12:]]), "en"))
+        labels.append((i, 1, int(bad)))
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    seen = []
+    rounds = toxicity._round
+    monkeypatch.setattr(toxicity, "_round", lambda shards, *a: (seen.append(shards.selectExpr("sum(length(toxic))").first()[0]), rounds(shards, *a)))
+    one, two = (toxicity.train(make(rows), labels) for _ in range(2))
+    assert len(seen) == 2 * toxicity.LEAST_EPOCHS and set(seen) == {sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(1200))}
+    assert (one.words == two.words).all() and one.threshold == two.threshold
+    found = toxicity.score(make(rows), one).toPandas()
+    assert (found.toxic == (found.doc_id % 3 == 0)).mean() > 0.97
+
+
+def test_counts_stand_for_documents():
+    scores, toxic = np.array([0.9, 0.8, 0.8, 0.3]), np.array([1.0, 1.0, 0.0, 0.0])
+    each = toxicity.best_threshold(np.repeat(scores, [3, 2, 1, 5]), np.repeat(toxic, [3, 2, 1, 5]), np.ones(11), 0.5)
+    assert each == toxicity.best_threshold(scores, toxic, np.array([3, 2, 1, 5]), 0.5) == 0.55
