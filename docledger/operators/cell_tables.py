@@ -2,19 +2,20 @@
 
 Row order matters here, so positions and neighbours come from :mod:`docledger.operators.positions`; what one table
 tells about itself (its header row, its score) is grouped with partial aggregates. Per-table results are joined back
-on ``(doc_id, table_no, _bucket)``, so a table that holds a large part of all rows still spreads over many tasks.
+on ``(doc_id, table_no, _bucket)``, so a table that holds a large part of all rows still spreads over many tasks. Where
+every table is one bucket, windows over the rows as they lie give the same without another exchange.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docledger.functions.numbers import MONEY_TOKEN, PLAIN_NUMBER, money_invoice, to_number_or_null
 from docledger.functions.predicates import contains_any, is_meta_row, is_noise_item, is_summary_row
 from docledger.functions.text import collapse, strip
-from docledger.operators.lineage import write_once
-from docledger.operators.positions import bucket_of, consumed, number_rows
+from docledger.operators.lineage import stored, write_once
+from docledger.operators.positions import beyond_first, bucket_of, consumed, number_rows, one_bucket
 
 TABLE = ["doc_id", "table_no"]
 PART = [*TABLE, "_bucket"]
@@ -39,11 +40,18 @@ def drop_all_null_rows(df: DataFrame, cells: str = "cells") -> DataFrame:
     return df.where(F.exists(cells, lambda x: x.isNotNull()))
 
 
-def table_rows(cells: DataFrame) -> DataFrame:
-    """Non-empty rows with their dense position ``pos`` and the cells of the row after them."""
-    return number_rows(
-        drop_all_null_rows(cells), TABLE, ["row_no"], bucket_of(F.col("row_no")), look_ahead="cells"
-    )
+def several_buckets(cells: DataFrame) -> bool:
+    """Whether any row lies beyond its table's first bucket."""
+    return beyond_first(cells, bucket_of(F.col("row_no")))
+
+
+def table_rows(cells: DataFrame, several: bool = True) -> DataFrame:
+    """Non-empty rows with their dense position ``pos`` and the cells of the row after them.
+
+    ``several`` is what :func:`several_buckets` tells of these cells, or of more; true holds for all.
+    """
+    bucket = bucket_of(F.col("row_no"))
+    return number_rows(drop_all_null_rows(cells), TABLE, ["row_no"], bucket, look_ahead="cells", several=several)
 
 
 def header_score(text: Column) -> Column:
@@ -54,12 +62,8 @@ def header_score(text: Column) -> Column:
     return score
 
 
-def detect_header_row(rows: DataFrame) -> DataFrame:
-    """Header of each table that has one: ``(doc_id, table_no, header_pos, two_rows, header, last_bucket)``.
-
-    The best scored of the first rows, alone or with its successor; below two hits the first row that looks like
-    a heading. The winner's cells travel with its score through the aggregate, so rows are read only once.
-    """
+def _scored(rows: DataFrame) -> DataFrame:
+    """Rows with what they are worth as a header: ``_scored`` for the first rows, ``_fallback`` for headings."""
     cells, next_cells = F.col("cells"), F.col("next_cells")
     text, both = F.col("_text"), F.col("_both")
     # Texts and scores are columns of their own, so that no branch works them out again.
@@ -78,26 +82,69 @@ def detect_header_row(rows: DataFrame) -> DataFrame:
         F.greatest("_single", "_double").alias("score"), (-F.col("pos")).alias("neg"), F.col("_two").alias("two"), *payload
     )
     by_words = F.struct(F.col("pos").alias("pos"), below.alias("two"), *payload)
+    return (
+        scored.withColumn("_scored", F.when(F.col("pos") <= SCAN_ROWS, by_score))
+        .withColumn("_fallback", F.when(heading, by_words))
+        .drop("_text", "_both", "_single", "_double", "_two")
+    )
+
+
+def _header(b: Column, f: Column) -> dict[str, Column]:
+    """The header's place and names from the best scored row ``b`` and the first heading ``f``."""
+    good = b["score"] >= 2
+    chosen = lambda name: F.when(good, b[name]).otherwise(f[name])
+    return {
+        "header_pos": F.when(good, -b["neg"]).otherwise(f["pos"]),
+        "two_rows": chosen("two"),
+        "header": header_names(chosen("cells"), chosen("next_cells"), chosen("two")),
+    }
+
+
+def detect_header_row(rows: DataFrame) -> DataFrame:
+    """Header of each table that has one: ``(doc_id, table_no, header_pos, two_rows, header, last_bucket)``.
+
+    The best scored of the first rows, alone or with its successor; below two hits the first row that looks like
+    a heading. The winner's cells travel with its score through the aggregate, so rows are read only once.
+    """
     best = (
-        scored.select(
-            *PART,
-            F.when(F.col("pos") <= SCAN_ROWS, by_score).alias("_scored"),
-            F.when(heading, by_words).alias("_fallback"),
-        )
+        _scored(rows)
+        .select(*PART, "_scored", "_fallback")
         .groupBy(*TABLE)
         .agg(F.max("_scored").alias("b"), F.min("_fallback").alias("f"), F.max("_bucket").alias("last_bucket"))
     )
-    good = F.col("b.score") >= 2
-    chosen = lambda name: F.when(good, F.col(f"b.{name}")).otherwise(F.col(f"f.{name}"))
+    found = _header(F.col("b"), F.col("f"))
     return (
-        best.withColumn("header_pos", F.when(good, -F.col("b.neg")).otherwise(F.col("f.pos")))
-        .withColumn("two_rows", chosen("two"))
-        .withColumn("header", header_names(chosen("cells"), chosen("next_cells"), F.col("two_rows")))
+        best.withColumns({name: found[name] for name in ("header_pos", "two_rows")})
+        .withColumn("header", found["header"])
         .where(F.col("header_pos").isNotNull())
         .select(*TABLE, "header_pos", "two_rows", "header", "last_bucket")
     )
 
 
+def _headed(rows: DataFrame) -> DataFrame:
+    """Rows of tables of one bucket each with ``header`` and ``_last_header_pos``, null where a table has no header, and
+    ``last_bucket``.
+
+    Names are made in one row of a table and handed to the others.
+    """
+    table = Window.partitionBy(*PART)
+    found = _header(F.col("_b"), F.col("_f"))
+    place = F.struct((found["header_pos"] + found["two_rows"].cast("int")).alias("at"), found["header"].alias("names"))
+    known = F.col("pos") == 0
+    for name in PART:
+        known = known & F.col(name).isNotNull()
+    return (
+        _scored(rows)
+        .withColumn("_b", F.max("_scored").over(table))
+        .withColumn("_f", F.min("_fallback").over(table))
+        .withColumn("_place", F.max(F.when(known, place)).over(table))
+        .withColumn("_last_header_pos", F.col("_place.at"))
+        .withColumn("header", F.col("_place.names"))
+        .withColumn("last_bucket", F.col("_bucket"))
+        .drop("_scored", "_fallback", "_b", "_f", "_place")
+    )
+
+
 def header_names(cells: Column, next_cells: Column, two_rows: Column) -> Column:
     """Name per cell: the header row's own text, else that of the row below."""
     tidy = lambda c: strip(collapse(F.coalesce(c, F.lit(""))))
@@ -110,8 +157,11 @@ def header_names(cells: Column, next_cells: Column, two_rows: Column) -> Column:
 def apply_header(rows: DataFrame) -> DataFrame:
     """Data rows with the column names of their table in ``header``; the header rows go.
 
-    A header is one row per table. It is repeated for each of the table's buckets and joined on those.
+    A header is one row per table. It is repeated for each of the table's buckets and joined on those; tables of one bucket
+    need no join.
     """
+    if one_bucket(rows):
+        return _headed(rows).where(F.col("pos") > F.col("_last_header_pos")).drop("_last_header_pos")
     headers = detect_header_row(rows).select(
         *TABLE,
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("last_bucket"))).alias("_bucket"),
@@ -134,13 +184,12 @@ def map_columns(df: DataFrame) -> DataFrame:
 
 def header_table_to_items(rows: DataFrame) -> DataFrame:
     """Typed items of the tables with a header; noise dropped, missing totals filled."""
-    return _header_items(write_once(rows)).drop("last_bucket")
+    return _header_items(rows if one_bucket(rows) else write_once(rows)).drop("last_bucket")
 
 
-def _header_items(rows: DataFrame) -> DataFrame:
-    mapped = map_columns(apply_header(rows))
+def _typed(mapped: DataFrame, *kept: str) -> DataFrame:
     cell = lambda target: F.get(F.col("cells"), F.col(f"{target}_at"))
-    items = mapped.select(
+    return mapped.select(
         *PART,
         "last_bucket",
         "pos",
@@ -149,15 +198,43 @@ def _header_items(rows: DataFrame) -> DataFrame:
         to_number_or_null(cell("quantity")).alias("quantity"),
         money_invoice(cell("unit_price")).alias("unit_price"),
         money_invoice(cell("line_total")).alias("line_total"),
+        *kept,
     )
-    return _clean_items(items)
+
+
+def _header_items(rows: DataFrame) -> DataFrame:
+    return _clean_items(_typed(map_columns(apply_header(rows))))
+
+
+def _both_parses(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Items by header, and the rows of tables whose header parse has no number; of tables of one bucket each.
+
+    Rows are numbered once and written once: cells stay only with the rows that are read again.
+    """
+    body = F.col("pos") > F.col("_last_header_pos")
+    mapped = map_columns(_headed(rows).withColumn("_body", F.coalesce(body, F.lit(False))))
+    items = _typed(mapped, "_body", "_multi", "cells", "next_cells", "has_next")
+    kept = items.withColumn("_item", F.col("_body") & ~_is_noise()).withColumn("line_total", _filled_total())
+    strong = F.max(F.col("_item") & (numeric_cells() > 0)).over(Window.partitionBy(*PART))
+    marked = kept.withColumn("_strong", strong).where(F.col("_item") | ~F.col("_strong"))
+    fields = ("item", "description", *NUMBERS)
+    read_again = [F.when(~F.col("_strong"), F.col(n)).alias(n) for n in ("cells", "next_cells")]
+    written = stored(marked.select(*PART, "last_bucket", "pos", *fields, "_multi", "has_next", "_item", "_strong", *read_again))
+    by_header = written.where("_item").select(*PART, "last_bucket", "pos", *fields)
+    weak = written.where(~F.col("_strong")).select(*PART, "pos", "_multi", "has_next", "cells", "next_cells")
+    return by_header, weak
+
+
+def _is_noise() -> Column:
+    return is_noise_item(F.col("item"), F.col("description"), *[F.col(n) for n in NUMBERS])
+
+
+def _filled_total() -> Column:
+    return F.coalesce("line_total", F.col("unit_price") * F.col("quantity"))
 
 
 def _clean_items(items: DataFrame) -> DataFrame:
-    noise = is_noise_item(F.col("item"), F.col("description"), *[F.col(n) for n in NUMBERS])
-    return items.where(~noise).withColumn(
-        "line_total", F.coalesce("line_total", F.col("unit_price") * F.col("quantity"))
-    )
+    return items.where(~_is_noise()).withColumn("line_total", _filled_total())
 
 
 def _let(value: Column, use) -> Column:
@@ -313,6 +390,10 @@ def union_candidates(rows: DataFrame) -> DataFrame:
 
     Both parses have several consumers (that choice, the scores, the result), so each is written once.
     """
+    if one_bucket(rows):
+        by_header, weak = _both_parses(rows)
+        by_pairs = stored(line_pairs_to_items(weak))
+        return _candidates(by_header, by_pairs)
     by_header = write_once(_header_items(rows))
     strong = (
         by_header.groupBy(*TABLE)
@@ -321,6 +402,10 @@ def union_candidates(rows: DataFrame) -> DataFrame:
         .select(*TABLE, F.explode(F.sequence(F.lit(0).cast("bigint"), "last_bucket")).alias("_bucket"))
     )
     by_pairs = write_once(line_pairs_to_items(rows.join(strong, PART, "left_anti")))
+    return _candidates(by_header, by_pairs)
+
+
+def _candidates(by_header: DataFrame, by_pairs: DataFrame) -> DataFrame:
     return (
         by_header.drop("last_bucket")
         .withColumn("path", F.lit("header"))
@@ -361,10 +446,12 @@ def best_candidate(scores: DataFrame) -> DataFrame:
     )
 
 
-def choose_items(cells: DataFrame) -> DataFrame:
-    """Items of the best parse of the best table of each document."""
+def choose_items(cells: DataFrame, several: bool | None = None) -> DataFrame:
+    """Items of the best parse of the best table of each document; ``several`` as in :func:`table_rows`, looked up if it is
+    not given."""
+    rows = table_rows(cells, several_buckets(cells) if several is None else several)
     # The header search, the header's rows and the pairs all read the rows: they are numbered once, and stay dealt by bucket.
-    candidates = union_candidates(write_once(table_rows(cells)))
+    candidates = union_candidates(rows if one_bucket(rows) else write_once(rows))
     per_bucket = candidates.groupBy(*PART, "path").agg(
         F.sum(numeric_cells()).alias("numeric_cells"), F.count(F.lit(1)).alias("rows")
     )

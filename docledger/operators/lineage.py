@@ -32,3 +32,10 @@ def write_once(df: DataFrame) -> DataFrame:
             raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` computed now, written as Parquet to the checkpoint folder and read again: compressed, by columns."""
+    path = fresh_folder(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -23,6 +23,16 @@ def bucket_of(row_no: Column) -> Column:
     return F.floor(row_no / BUCKET_ROWS).cast("bigint")
 
 
+def beyond_first(df: DataFrame, bucket: Column) -> bool:
+    """Whether any row lies outside bucket 0; if none does, every group is one bucket. Reads the columns of ``bucket`` only."""
+    return df.agg(F.count_if(~bucket.eqNullSafe(F.lit(0)))).first()[0] > 0
+
+
+def one_bucket(df: DataFrame) -> bool:
+    """``df`` comes from :func:`number_rows`, which found that every group is one bucket."""
+    return bool(df.schema["_multi"].metadata.get("one_bucket"))
+
+
 def number_rows(
     df: DataFrame,
     keys: Sequence[str],
@@ -30,22 +40,28 @@ def number_rows(
     bucket: Column,
     out: str = "pos",
     look_ahead: str | None = None,
+    several: bool | None = None,
 ) -> DataFrame:
     """Add the dense 0-based position ``out`` of each row in its group.
 
     ``bucket`` has to rise with ``order``. ``look_ahead`` names a column whose value in the next row of the group
     is added as ``next_<column>`` (null in the last row). The bucket stays in ``_bucket``; ``_multi`` is true in groups
-    of several buckets and null in others.
+    of several buckets and null in others. Without rows beyond the first bucket (``several``, looked up if it is not given)
+    the second level is left out: no group would have a row in it.
     """
     part = [*keys, "_bucket"]
     inner = Window.partitionBy(*part).orderBy(*order)
-    local = (
-        df.withColumn("_bucket", bucket)
-        .withColumn("_at", F.row_number().over(inner) - 1)
-        .withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy(*part)))
-    )
+    if several is None:
+        several = beyond_first(df, bucket)
+    local = df.withColumn("_bucket", bucket).withColumn("_at", F.row_number().over(inner) - 1)
     if look_ahead:
         local = local.withColumn("_next", F.lead(F.struct(F.col(look_ahead).alias("v"))).over(inner))
+    if not several:
+        single = local.withColumn("_multi", F.lit(None).cast("boolean")).withColumn(out, F.col("_at").cast("bigint"))
+        if look_ahead:
+            single = single.withColumn(f"next_{look_ahead}", F.col("_next")["v"]).withColumn("has_next", F.col("_next").isNotNull())
+        return single.drop("_at", "_next").withMetadata("_multi", {"one_bucket": True})
+    local = local.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy(*part)))
     outer = Window.partitionBy(*keys).orderBy("_bucket")
     before = F.sum("_rows").over(outer.rowsBetween(Window.unboundedPreceding, -1))
     head = [F.lead(F.struct(F.col(look_ahead).alias("v"))).over(outer).alias("_head")] if look_ahead else []
@@ -74,6 +90,8 @@ def last_before(df: DataFrame, keys: Sequence[str], pos: str, when: Column, out:
     part = [*keys, "_bucket"]
     mark = F.when(when, F.col(pos))
     inner = Window.partitionBy(*part).orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
+    if one_bucket(df):
+        return df.withColumn(out, F.coalesce(F.max(mark).over(inner), F.lit(-1).cast("bigint")))
     outer = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     # The filter makes the join that set `_multi` an inner one: without large groups this side is found empty early.
     carried = (

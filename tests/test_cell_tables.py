@@ -204,3 +204,28 @@ def test_many_tokens_in_a_row(spark):
         assert (row.unit_price, row.quantity, row.line_total) == (1000.0, 7.0, 1000.0)
         times[n] = time.time() - start
     assert times[25_000] < times[10] + 15, times
+
+
+def shown(rows, *columns):
+    return sorted(map(str, rows.select(*columns).toLocalIterator()))
+
+
+def test_tables_of_one_bucket_need_one_exchange(spark):
+    """Without rows beyond the first bucket the same items come without a join; null keys and nameless tables included."""
+    cells = [
+        ("a", 0, 0, ["Item", "Qty", "Total"]), ("a", 0, 1, ["pen", "2", "$3.00"]), ("a", 0, 2, ["Subtotal", "", "3.00"]), ("a", 0, 3, [None, None, None]),
+        ("a", 1, 0, ["ink 2 $3.00 6.00", "", ""]), ("a", 1, 1, ["cap $1.00", "", ""]), ("a", 1, 2, ["4 9.00", "", ""]), ("a", 1, 4, ["lid 7 2.00", "", ""]),
+        ("b", 0, 5, ["Product", "Rate", ""]), ("b", 0, 6, ["", "Price", "Amount"]), ("b", 0, 9, ["mug", "5.00", "x"]), ("b", 0, 10, ["cup", "n/a", "1"]),
+        (None, 0, 0, ["Item", "Qty", "Total"]), (None, 0, 1, ["pen", "2", "$3.00"]),
+    ]
+    cells = spark.createDataFrame(cells, "doc_id string, table_no int, row_no int, cells array<string>")
+    assert not cell_tables.several_buckets(cells) and cell_tables.several_buckets(cells.selectExpr("cast(null as int) as row_no"))
+    one, many = (cell_tables.table_rows(cells, several) for several in (False, True))
+    plan = cell_tables.apply_header(one)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join [" not in plan
+    columns = ["doc_id", "table_no", "pos", "item", "description", *cell_tables.NUMBERS]
+    assert shown(one, "doc_id", "pos", "cells", "next_cells", "has_next") == shown(many, "doc_id", "pos", "cells", "next_cells", "has_next")
+    for parse in (cell_tables.header_table_to_items, cell_tables.line_pairs_to_items):
+        assert shown(parse(one), *columns) == shown(parse(many), *columns)
+    assert shown(cell_tables.union_candidates(one), *columns, "path") == shown(cell_tables.union_candidates(many), *columns, "path")
+    assert shown(cell_tables.choose_items(cells), *columns) == shown(cell_tables.choose_items(cells, True), *columns)

@@ -133,3 +133,20 @@ def test_long_digit_runs_are_read_in_linear_time(spark):
     assert found[0] == float("inf") and found[2] is None and found[4] == 7.0
     assert [found[i] for i in (5, 6, 7)] == [None] * 3 and found[8] == 1000.5e10 and abs(found[3] - 5 / 9) < 1e-12
     assert rows.select(money_ocr(rows.t)).count() == len(texts)
+
+
+def test_words_in_any_case(spark):
+    """Plain search on lower case tells what the pattern without case tells, also beside letters of other scripts."""
+    import re
+
+    from docledger.functions import predicates
+
+    old = r"(?i)(SUBTOTAL|TOTAL|TAX|DISCOUNT|GIVEN|CASH|DEBIT|CARD|CHANGE|#\s*ITEMS\s*SOLD|MANAGER|MGR|SURVEY|THANK|APPROVAL|ACCOUNT|TERMINAL|APPR|TC#|OP#|TE#|TR#|ST#)"
+    words = "subtotal tax Discount gıven given cash DEBIT card chan change # ITEMS SOLD #itemssold manager mgr survey THANK THAN\u212a approval appr account terminal TC# op# te# tr# ST# s# invoice \u0130nvoice İtem Unit Price PO # bill to @".split(" ")
+    texts = [None, "", *words, *(" ".join(words[i : i + 2]) for i in range(len(words))), *(w.upper() for w in words), *(w + "x" for w in words)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    sets = [predicates.META_WORDS, predicates.SUMMARY_WORDS, ("item",), ("unit price", "price"), ("thank",), ("taxi",)]
+    pattern = lambda ws: F.coalesce(F.col("t").rlike("(?i)" + "|".join(map(re.escape, ws))), F.lit(False))
+    both = [(predicates.contains_any(F.col("t"), ws), pattern(ws)) for ws in sets] + [(predicates.is_excluded_line(F.col("t")), F.col("t").rlike(old))]
+    for i, (new, was) in enumerate(both):
+        assert df.where(~new.eqNullSafe(was)).collect() == [], i

@@ -14,8 +14,12 @@ META = fn.META_WORDS
 SUMMARY = fn.SUMMARY_WORDS
 
 
+def _numbered(cells):
+    return cell_tables.table_rows(cells, cell_tables.several_buckets(cells))
+
+
 def _rows(spark, sf):
-    return cell_tables.table_rows(views.table_cells(spark, sf))
+    return _numbered(views.table_cells(spark, sf))
 
 
 ROWS = """
@@ -61,7 +65,7 @@ def _two_row_cells(spark, sf):
 SELECT doc_id, 0 AS table_no, row_no + 1 AS pos, 'Item|Details|Quantity|Unit Price|Total' AS header,
        array_to_string(cells, '|') AS cells FROM fx_table_cells WHERE row_no > 0""")
 def apply_header(spark, sf):
-    rows = cell_tables.table_rows(_two_row_cells(spark, sf))
+    rows = _numbered(_two_row_cells(spark, sf))
     joined = lambda name: F.array_join(name, "|").alias(name)
     return cell_tables.apply_header(rows).select("doc_id", "table_no", "pos", joined("header"), joined("cells"))
 
@@ -70,7 +74,7 @@ def apply_header(spark, sf):
 SELECT doc_id, row_no + 1 AS pos, 0 AS item_at, 1 AS description_at, 2 AS quantity_at, 3 AS unit_price_at, 4 AS line_total_at
 FROM fx_table_cells WHERE row_no > 0""")
 def map_columns(spark, sf):
-    rows = cell_tables.table_rows(_two_row_cells(spark, sf))
+    rows = _numbered(_two_row_cells(spark, sf))
     mapped = cell_tables.map_columns(cell_tables.apply_header(rows))
     return mapped.select("doc_id", "pos", *[f"{name}_at" for name in cell_tables.HEADER_WORDS])
 

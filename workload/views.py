@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docledger.operators.lineage import stored
 from docledger.operators.positions import bucket_of, number_rows
 
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
@@ -176,7 +177,7 @@ def receipt_texts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def table_cells(spark: SparkSession, sf: str) -> DataFrame:
-    """Detected table of each order: a header row, its items, a summary row."""
+    """Detected table of each order: a header row, its items, a summary row. Written once, as detected cells are."""
     items = line_items(spark, sf, numbered=True)
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     doc, no = F.col("document_id").alias("doc_id"), F.col("line_no")
@@ -198,7 +199,7 @@ def table_cells(spark: SparkSession, sf: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.sum("line_total").cast("decimal(18,2)").alias("line_total")
     )
     summary = sums.select(*row(F.col("n") + 1, F.array(F.lit("Subtotal"), empty, empty, empty, text("line_total"))))
-    return rows.unionByName(summary)
+    return stored(rows.unionByName(summary))
 
 
 def ocr_passes(spark: SparkSession, sf: str) -> DataFrame:
