@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from docledger.functions.strings import invoice_document_id, normalize_path, text_sample
 from docledger.functions.text import strip
-from docledger.operators.cell_tables import choose_items
+from docledger.operators.cell_tables import choose_items, several_buckets
 from docledger.operators.invoice_text import invoice_meta, invoice_parties
+from docledger.operators.lineage import stored
 from docledger.operators.lines import page_text
 from docledger.operators.ocr_passes import choose_ocr_variant, merge_ocr_passes
 from docledger.operators.receipt_text import exact_sum, explode_items, receipt_bronze
@@ -151,10 +152,12 @@ def ingest_invoices(
         pages = join_pages(pages)
     run = run_identity("invoices", run_ts)
     staging = staging_folder(root, run)
-    processed, failed = split_failures(pages, text_error(F.col("text")))
+    # Pages and texts are read by several steps: they are written once. Row numbers are looked up before cells are joined.
+    processed, failed = split_failures(stored(pages), text_error(F.col("text")))
+    several = several_buckets(cells)
     whole, bad, counts = _counting(invoice_bronze(processed, run_ts), failed.select("doc_id", "error"))
     # Bronze is written once: two tables are derived from it, and extraction is the costly part.
-    write_bronze(choose_items(key_membership(cells, processed, "doc_id")), whole, f"{staging}/bronze")
+    write_bronze(choose_items(key_membership(cells, processed, "doc_id"), several), whole, f"{staging}/bronze")
     bad.write.parquet(f"{staging}/failed")
     meta, bronze_items = (spark.read.parquet(f"{staging}/bronze/{name}") for name in ("meta", "items"))
     meta = with_item_rows(meta, bronze_items, "doc_id")
@@ -186,7 +189,7 @@ def ingest_receipts(
     texts = texts.withColumn("doc_id", F.col("doc_id").cast("string")).withColumn("source_path", normalize_path(F.col("source_path")))
     run = run_identity("receipts", run_ts)
     staging = staging_folder(root, run)
-    processed, failed = split_failures(texts, text_error(F.col("text")))
+    processed, failed = split_failures(stored(texts), text_error(F.col("text")))
     whole, bad, counts = _counting(receipt_meta(processed, run_ts), failed.select("doc_id", "error"))
     whole.write.parquet(f"{staging}/bronze")
     bad.write.parquet(f"{staging}/failed")

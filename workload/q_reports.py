@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from docledger.operators.lineage import stored
 from docledger.plans import gold, reports
 from workload import views
 from workload.registry import query
@@ -186,7 +187,8 @@ SELECT section, CAST(rank AS BIGINT) AS rank, label, value FROM (
      AND abs(diff_sum_vs_subtotal) >= 0.03 ORDER BY abs(diff_sum_vs_subtotal) DESC, document_id LIMIT 50))""",
        ilines=INVOICE_LINES, rlines=RECEIPT_LINES)
 def report_table(spark, sf):
-    return reports.report_table(views.documents(spark, sf), views.line_items(spark, sf))
+    # The sections read both many times: they are written once, as a ledger's tables are.
+    return reports.report_table(stored(views.documents(spark, sf)), stored(views.line_items(spark, sf)))
 
 
 @query(f"""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from docledger import schemas
 from docledger.operators import tables
-from docledger.operators.lineage import fresh_folder
+from docledger.operators.lineage import fresh_folder, stored
 from docledger.plans import gold, loads, pipelines
 from docledger.sources.ledger import Ledger
 from workload import views
@@ -22,8 +22,8 @@ LATER = "2024-02-01T00:00:00"
 def _two_loads(spark, sf) -> Ledger:
     """All documents, then the later batch of :func:`workload.q_loads._batch` with its items, described as changed."""
     ledger = Ledger(spark, fresh_folder(spark, "ledger"), buckets=16)
-    documents = tables.document_rows(views.documents(spark, sf), STAMP)
-    items = tables.item_rows(views.line_items(spark, sf))
+    documents = stored(tables.document_rows(views.documents(spark, sf), STAMP))
+    items = stored(tables.item_rows(views.line_items(spark, sf)))
     loads.load_batch(ledger, documents, items, "first")
     batch = _batch(documents)
     changed = items.join(batch.select("document_id"), "document_id", "left_semi").withColumn("description", F.lit("Changed"))
@@ -84,7 +84,7 @@ def ingest_invoices_line_items(spark, sf):
 
 def _receipt_run(spark, sf):
     """Two passes of every receipt, the second with wider spaces."""
-    texts = views.receipt_texts(spark, sf)
+    texts = stored(views.receipt_texts(spark, sf))
     one = lambda no, text: F.struct(F.lit(0).alias("variant_no"), F.lit("gray").alias("variant"), F.lit(no).alias("pass_no"), F.lit(f"psm{no}").alias("cfg"), text.alias("text"))
     passes = texts.select("doc_id", F.inline(F.array(one(4, c("text")), one(6, F.regexp_replace("text", " ", "  ")))))
     sources = texts.select("doc_id", F.concat(F.lit("orders/"), F.regexp_extract("doc_id", "[0-9]+", 0)).alias("source_path"), F.lit(None).cast("string").alias("file_hash"))
