@@ -33,7 +33,7 @@ from docledger.llm import buffers
 from docledger.llm.repeats import row_groups
 from docledger.llm.store import map_arrow, settled, ship, spent
 
-SHARD_BYTES, ROW_BYTES = 16 << 20, 1 << 10  # a row counts as its text and ROW_BYTES
+SHARD_BYTES, ROW_BYTES = 8 << 20, 1 << 10  # a row counts as its text and ROW_BYTES
 EXACT = 1 << 24  # changes of parameters are added up in units of 1 / EXACT
 BINS = 64  # bins of scores to a unit of the logit
 PREFIXES = (4, 5, 6)
@@ -392,7 +392,7 @@ def train(docs: DataFrame, labels: DataFrame, seed: int = 0) -> Network:
     shards = settled(dealt.groupBy("shard").applyInArrow(_packed, "shard long, data binary, offsets binary, toxic binary, back binary, langs binary"))
     spent(texts)
     net, rule = untrained(seed), _Adagrad(RATE)
-    batches = max(1, (number(0, 0) + number(1, 0)) // parts // BATCH)
+    batches = max(1, (number(0, 0) + number(1, 0)) // BATCH)
     epochs = min(max(UPDATES // batches, LEAST_EPOCHS), MOST_EPOCHS)
     rounds = 1 if parts == 1 else LEAST_EPOCHS
     for i in range(rounds):
