@@ -33,8 +33,12 @@ def exact(value: float) -> Column:
 
 
 def to_number_or_null(c: Column) -> Column:
-    """Decimal or scientific text as double, anything else null (never NaN or infinity)."""
-    return F.translate(F.regexp_extract(c.cast("string"), FLOAT_TEXT, 1), "_", "").try_cast("double")
+    """Decimal or scientific text as double, anything else null (never NaN or infinity).
+
+    Text that does not fit is null before the cast: an empty text there costs a caught exception a row.
+    """
+    fitting = F.get(F.regexp_extract_all(c.cast("string"), F.lit(FLOAT_TEXT), F.lit(1)), F.lit(0))
+    return F.translate(fitting, "_", "").try_cast("double")
 
 
 def money_invoice(c: Column) -> Column:

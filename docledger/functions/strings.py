@@ -133,12 +133,21 @@ def default_currency(c: Column, default: str = "USD") -> Column:
     return F.coalesce(blank_to_null(c), F.lit(default))
 
 
+# Fixed value: names that need no tidying.
+TIDY_NAME = r"\A(?!.*  )[A-Za-z'/&][A-Za-z '/&\-]*+(?<=[A-Za-z'/&])\z"
+
+
 def item_name(c: Column) -> Column:
     """Letters and ``-'/&`` of a receipt line, tidied."""
     letters = F.regexp_replace(c, r"(?U)[^A-Za-z\s\-'/&]", " ")
     return F.btrim(collapse(strip(letters), 2), F.lit(NAME_TRIM))
 
 
+def item_name_of(x: Column) -> Column:
+    """:func:`item_name` of a value that is cheap to name several times, as a lambda variable or its field."""
+    return F.when(x.rlike(TIDY_NAME), x).otherwise(item_name(x))
+
+
 def name_like(c: Column) -> Column:
     name = item_name(c)
     return F.when(F.length(name) >= 3, name)

@@ -9,7 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: every character sequence that ends a line.
-LINE_BREAK = r"\R|[\x1C-\x1E]"
+# It begins with one class of characters, so that a search passes all others by one look each.
+LINE_BREAK = r"[\n\x0B\f\r\x1C-\x1E\x85\u2028\u2029](?:(?<=\r)\n)?+"
 
 # Unicode whitespace as a character class (under the U flag) and as the characters it stands for.
 WS = r"[\s\x1C-\x1F]"
@@ -19,6 +20,11 @@ WS_CHARS = (
 )
 
 
+# Texts with whitespace at an end, and these or texts with a run of it.
+OPEN_END = rf"(?Us)\A(?:{WS}|.*+(?<={WS}))"
+UNTIDY = rf"(?Us){WS}{{2}}|\A{WS}|{WS}\z"
+
+
 def strip(c: Column) -> Column:
     """Remove leading and trailing Unicode whitespace."""
     return F.btrim(c, F.lit(WS_CHARS))
@@ -45,7 +51,14 @@ def text_lines(c: Column) -> Column:
 
 def filled_lines(c: Column) -> Column:
     """Stripped, non-blank lines of a text in order."""
-    return F.filter(F.transform(text_lines(c), strip), lambda x: x != "")
+    stripped = lambda x: F.when(x.rlike(OPEN_END), strip(x)).otherwise(x)
+    return F.filter(F.transform(text_lines(c), stripped), lambda x: x != "")
+
+
+def tidy_lines(c: Column) -> Column:
+    """All lines of a text, stripped, runs of whitespace as one blank. Only lines that need it are worked on."""
+    tidy = lambda x: F.when(x.rlike(UNTIDY), collapse(strip(x), 2)).otherwise(x)
+    return F.transform(text_lines(c), tidy)
 
 
 def concat_lines(lines: Column) -> Column:

@@ -18,22 +18,25 @@ from docledger.functions.numbers import (
     round2,
 )
 from docledger.functions.predicates import is_excluded_line, is_total_named, is_valid_name
-from docledger.functions.strings import item_name, merchant_text_clean, name_like, normalize_line
-from docledger.functions.text import blank_to_null, collapse, extract, filled_lines, strip, text_lines
+from docledger.functions.strings import item_name_of, merchant_text_clean, name_like, normalize_line
+from docledger.functions.text import blank_to_null, collapse, extract, filled_lines, strip, text_lines, tidy_lines
 
-# Brands looked for in the whole text before any line is considered.
+# Brands looked for in the whole text before any line is considered, with a part that the lower-cased text
+# must hold. No character but ASCII letters has the lower case of one in these parts.
 BRANDS = (
-    (r"(?iU)\bwal[-\s\*]*mart\b", "WALMART"),
-    (r"(?iU)\btrader\s*joe'?s?\b", "TRADER JOE'S"),
+    (r"(?iU)\bwal[-\s\*]*mart\b", "mart", "WALMART"),
+    (r"(?iU)\btrader\s*joe'?s?\b", "trader", "TRADER JOE'S"),
 )
 
 # Patterns of single receipt fields.
 NOT_A_MERCHANT = r"(?i)survey|feedback|thank|manager|mgr"
 TC_CODE = r"(?iU)\bTC[#:\s]+([0-9\s]{10,})"
 PHONE = r"(?U)\(?\s*(\d{3})\s*\)?\D*\s*(\d{3})\D*\s*(\d{4})"
+THREE_DIGITS = r"(?U)\d{3}"
 DATE = r"\d{2}[/-]\d{2}[/-]\d{2,4}"
 DATE_AND_TIME = r"(?U)(\d{2}[/-]\d{2}[/-]\d{2,4})\s+(\d{1,2}:\d{2}(?::\d{2})?\s?[APMapm]{0,2})"
-SOLD = r"(?iU)(?:#\s*)?ITEMS\s*SOLD\b"
+SOLD = r"(?iU)ITEMS\s*SOLD\b"
+SOLD_PART = "tem"
 SOLD_COUNT = r"(?iU)(?:#\s*)?ITEMS\s*SOLD\s*[:\-]?\s*(\d+)"
 SOLD_NEXT_LINE = r"(?U)\b(\d{1,3})\b"
 ITEMS_COUNT = r"(?iU)\bITEMS\s+(\d{1,3})\b"
@@ -46,10 +49,11 @@ AMOUNT_LINES = {
     "tendered_meta": r"(?U)\b(?:cash|debit|credit|card|visa|mastercard)\b",
     "change_due_meta": r"(?U)change\s*due|\bchange\b",
 }
-AMOUNT_HINT = r"(?i)tot|tax|discount|change|cash|debit|credit|card|visa"
+AMOUNT_HINT = r"(?i)(?=[tdcv])(?:t(?:ot|ax)|d(?:iscount|ebit)|c(?:hange|ash|redit|ard)|visa)"
 NOT_TAX = r"(?U)non\s*tax|taxable"
 
-# Fixed value: an item line that ends in a price.
+# An item line that ends in a price, and what such a line holds.
+DECIMALS = r"(?U)[.,]\d{2}"
 END_PRICE = r"(?U)^(.+?)\s+(\d+[.,]\d{2})(?:\s*[A-Za-z])?$"
 
 ITEM = "struct<line_no:int,item:string,description:string,quantity:double,unit_price:double,line_total:double>"
@@ -76,9 +80,11 @@ def receipt_merchant(text: Column, lines: Column) -> Column:
         fits = (F.length(line) >= 3) & ~line.rlike(NOT_A_MERCHANT)
         return F.when(fits, blank_to_null(merchant_text_clean(line)))
 
-    found = _first(F.filter(F.transform(F.slice(lines, 1, 10), usable), lambda x: x.isNotNull()))
-    for pattern, brand in reversed(BRANDS):
-        found = F.when(text.rlike(pattern), F.lit(brand)).otherwise(found)
+    # The first usable line ends the work on the others.
+    none = F.lit(None).cast("string")
+    found = F.aggregate(F.slice(lines, 1, 10), none, lambda acc, x: F.when(acc.isNotNull(), acc).otherwise(usable(x)))
+    for pattern, part, brand in reversed(BRANDS):
+        found = F.when(F.lower(text).contains(part) & text.rlike(pattern), F.lit(brand)).otherwise(found)
     return found
 
 
@@ -107,12 +113,14 @@ def phone_candidates(lines: Column) -> Column:
             number.alias("number"),
         )
 
+    def matches(line: Column) -> Column:
+        found = F.regexp_extract_all(line, F.lit(PHONE), F.lit(0))
+        return F.when(line.rlike(THREE_DIGITS), found).otherwise(F.array().cast("array<string>"))
+
     return F.flatten(
         F.transform(
             F.slice(lines, 1, 40),
-            lambda line, i: F.transform(
-                F.regexp_extract_all(line, F.lit(PHONE), F.lit(0)), lambda match, j: candidate(match, i, j)
-            ),
+            lambda line, i: F.transform(matches(line), lambda match, j: candidate(match, i, j)),
         )
     )
 
@@ -143,7 +151,7 @@ def receipt_items_sold(lines: Column) -> Column:
 
     def stated(line: Column, i: Column) -> Column:
         return F.when(
-            line.rlike(SOLD), F.coalesce(extract(line, SOLD_COUNT), extract(F.get(lines, i + 1), SOLD_NEXT_LINE))
+            F.lower(line).contains(SOLD_PART) & line.rlike(SOLD), F.coalesce(extract(line, SOLD_COUNT), extract(F.get(lines, i + 1), SOLD_NEXT_LINE))
         )
 
     known = lambda x: x.isNotNull()
@@ -158,7 +166,7 @@ def amount_lines(lines: Column) -> Column:
 
     Built in stages, each naming the one before once, and only for lines with a digit and part of a keyword.
     """
-    likely = F.filter(lines, lambda x: x.rlike(AMOUNT_HINT) & x.rlike("[0-9]"))
+    likely = F.filter(lines, lambda x: x.rlike("[0-9]") & x.rlike(AMOUNT_HINT))
     tidy = F.transform(likely, lambda x: fix_split_decimal(normalize_line(x)))
     return F.transform(
         tidy,
@@ -216,13 +224,14 @@ def receipt_items(text: Column) -> Column:
     # Stages, each of which names the one before it once or by a lambda variable.
     def split_up(line: Column) -> Column:
         at = line.contains("@")
+        priced = lambda group: F.when(line.rlike(DECIMALS), F.regexp_extract(line, END_PRICE, group)).otherwise("")
         return F.struct(
             line.alias("line"),
             ((line == "") | is_excluded_line(line)).alias("skipped"),
             at.alias("at"),
             F.when(at, F.regexp_extract_all(line, F.lit(f"({PRICE_DECIMAL})"), F.lit(1))).alias("nums"),
-            F.regexp_extract(line, END_PRICE, 1).alias("priced_name"),
-            F.regexp_extract(line, END_PRICE, 2).alias("price"),
+            priced(1).alias("priced_name"),
+            priced(2).alias("price"),
         )
 
     def read(rows: Column, row: Column, i: Column) -> Column:
@@ -231,13 +240,12 @@ def receipt_items(text: Column) -> Column:
             row["skipped"].alias("skipped"),
             row["at"].alias("at"),
             F.transform(row["nums"], money_ocr).alias("nums"),
-            F.when(near & ~row["skipped"], item_name(row["line"])).alias("name"),
-            F.when(row["price"] != "", item_name(row["priced_name"])).alias("priced_name"),
-            money_ocr(row["price"]).alias("price"),
+            F.when(near & ~row["skipped"], item_name_of(row["line"])).alias("name"),
+            F.when(row["price"] != "", item_name_of(row["priced_name"])).alias("priced_name"),
+            F.when(row["price"] != "", money_ocr(row["price"])).alias("price"),
         )
 
-    tidy = F.transform(text_lines(text), normalize_line)
-    info = _over_all(F.transform(tidy, split_up), read)
+    info = _over_all(F.transform(tidy_lines(text), split_up), read)
 
     def by_at(name: Column, nums: Column, i: Column) -> Column:
         qty, unit = F.get(nums, F.lit(0)), F.get(nums, F.lit(1))
