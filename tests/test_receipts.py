@@ -183,3 +183,37 @@ def test_merging_passes_takes_one_exchange(spark, sf):
     chosen = ocr_passes.choose_ocr_variant(ocr_passes.merge_ocr_passes(views.ocr_passes(spark, sf)))
     plan = chosen._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") == 1
+
+
+def test_tables_from_one_reading_of_the_texts(spark, tmp_path):
+    from datetime import date
+
+    from workload import catalog
+
+    tables = {
+        "lineitem": ([(3, 1, 1, 1, 2.0, 9.0, date(2024, 1, 2))], "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double, l_shipdate date"),
+        "part": ([(1, "mint lace", "TIN", "B", 4.5)], "p_partkey bigint, p_name string, p_type string, p_brand string, p_retailprice double"),
+        "orders": ([(3, 1, date(2024, 1, 1))], "o_orderkey bigint, o_custkey bigint, o_orderdate date"),
+        "customer": ([(1, "C")], "c_custkey bigint, c_name string"),
+        "supplier": ([(1, "Some Shop")], "s_suppkey bigint, s_name string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    found = catalog.QUERIES["build_receipt_documents_from_tables"](spark, str(tmp_path))
+    assert "listagg" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert [r.supplier_name for r in found.collect()] == ["SOME SHOP"]
+
+
+def test_lines_are_tidied_as_by_strip(spark):
+    from docledger.functions.strings import normalize_line
+    from docledger.functions.text import filled_lines, strip, text_lines, tidy_lines
+
+    text = "a\r\n b  c  \n\n x\x1cd\te\x85f\r\rg   \nh i"
+    df = spark.createDataFrame([(text,), (None,), ("",)], "t string")
+    old = F.split("t", r"\R|[\x1C-\x1E]", -1)
+    row = df.select(
+        text_lines(F.col("t")).eqNullSafe(old).alias("a"),
+        tidy_lines(F.col("t")).eqNullSafe(F.transform(old, normalize_line)).alias("b"),
+        filled_lines(F.col("t")).eqNullSafe(F.filter(F.transform(old, strip), lambda x: x != "")).alias("c"),
+    )
+    assert row.distinct().collect() == [(True, True, True)]
