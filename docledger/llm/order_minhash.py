@@ -6,12 +6,12 @@ order, which follows the edit similarity better than sets of shingles do. The sm
 at the threshold scattered edits leave a fifth of the shingles in common, and two equal ones are too rare to find all such
 pairs, while one of ``SKETCHES`` is missed by less than one pair in a hundred, if texts have 50 words or more.
 
-Documents that share a draw are candidates. A bucket's members are compared with one of them: at first each text with the
-``FIRST_CANDIDATES`` such members that it shares most draws with, then with all others that are not in its class yet. That
-joins most copies. In buckets that still hold several classes all pairs of different ones are compared by their lengths,
+Documents that share a draw are candidates. A bucket's members are compared with one of them: each text with the
+``FIRST_CANDIDATES`` such members that it shares most draws with. That joins most copies. In buckets that still hold several classes all pairs of different ones are compared by their lengths,
 words present and word counts, which bound the edits from below: members are dealt by length and salt to blocks of about
-``BLOCK``, and two blocks meet in one small group, whatever the bucket's size; only pairs that may be links become rows. A
-candidate is a link if 1 - (word edits / words of the longer text) is at least ``SIMILARITY``; the alignment only visits cells
+``BLOCK``, and two blocks meet in one small group, whatever the bucket's size. Members of a pair that may be a link get their
+words and meet again; pairs are aligned inside the group, unless they are in one class by then, and only links become rows, fewer
+than the group has members. A candidate is a link if 1 - (word edits / words of the longer text) is at least ``SIMILARITY``; the alignment only visits cells
 that near the diagonal, which suffices to decide that. Classes are the connected components.
 
 Exact copies are one node from the first aggregation on, so groups of them of any size cost nothing later.
@@ -44,16 +44,17 @@ SHINGLE, SKETCHES, SIMILARITY = 5, 32, 0.8
 PROFILE = 256  # counts of words that bound the edits of a pair
 PRESENT = 1024  # bits for the words present, with their occurrence
 BLOCK = 4096  # members of a bucket that are compared at once
+BLOCK_WORDS = 1 << 22  # of them
 PAIRS_AT_ONCE = 1 << 15
-AHEAD = 4  # pairs of two classes that are aligned before all others of these classes
 FIRST_BAND = 64
 PLACES_BYTES = 1 << 25  # for the places of words while two texts are aligned
-FIRST_CANDIDATES = 8  # of a text in the first round; the second compares the others with the same members
+FIRST_CANDIDATES = 8  # of a text, before all pairs are compared
 
 _DRAW = np.random.default_rng(20190714)
 _SALTS = _DRAW.integers(0, 1 << 64, 256, dtype=np.uint64)
 _FACTORS = _DRAW.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = np.uint64((1 << 26) - 1)
+ORDERS = _SALTS[:8].view(np.int64).tolist()  # of buckets: by their number with these bits turned
 
 
 def occurrence_labelled(hashes: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -261,63 +262,98 @@ def _may_link(similarity: float):
     return run
 
 
-def _group_pairs(group: pa.RecordBatch, similarity: float) -> np.ndarray:
-    """Rows of two members of different classes that may be links; the greater node comes first."""
-    node, n, root = (group.column(c).to_numpy() for c in ("node", "n", "root"))
-    right = group.column("right").to_numpy(zero_copy_only=False)
+def _group_pairs(group: pa.RecordBatch, similarity: float, classes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows of two members of different ``classes`` that may be links, and the bound of their edits; some at a time.
+
+    The classes may be joined meanwhile.
+    """
+    n, right = (group.column(c).to_numpy(zero_copy_only=False) for c in ("n", "right"))
     left, other = np.flatnonzero(~right), np.flatnonzero(right)
     own = all(group.column(x)[0] == group.column(y)[0] for x, y in (("c", "d"), ("i", "j")))
     if own:
         other = left
     present, profile = _rows(group.column("present"), np.uint64), _rows(group.column("profile"), np.uint8)
     bits = np.bitwise_count(present).sum(axis=1, dtype=np.int64)
-    found = []
     step = max(1, PAIRS_AT_ONCE // max(1, len(other)))
     for at in range(0, len(left), step):
         x, y = left[at : at + step, None], other[None, :]
         most = np.floor((1 - similarity) * np.maximum(n[x], n[y]) + 1e-9).astype(np.int64)
-        may = (root[x] != root[y]) & (np.abs(n[x] - n[y]) <= most)
+        may = (classes[x] != classes[y]) & (np.abs(n[x] - n[y]) <= most)
         if own:
             may &= x < y
         p, q = np.nonzero(may)
         most = most[p, q]
         p, q = left[at + p], other[q]
-        for bound in (
-            lambda p, q: np.maximum(bits[p], bits[q]) - np.bitwise_count(present[p] & present[q]).sum(axis=1, dtype=np.int64),
-            lambda p, q: edits_at_least(profile[p], profile[q]),
-        ):
-            near = bound(p, q) <= most
-            p, q, most = p[near], q[near], most[near]
-        first, second = np.where(node[p] > node[q], p, q), np.where(node[p] > node[q], q, p)
-        found.append(np.stack([node[first], node[second], root[first], root[second]]))
-    return np.concatenate(found, axis=1) if found else np.zeros((len(PAIR), 0), np.int64)
+        least = np.maximum(bits[p], bits[q]) - np.bitwise_count(present[p] & present[q]).sum(axis=1, dtype=np.int64)
+        near = least <= most
+        p, q, most = p[near], q[near], most[near]
+        least = edits_at_least(profile[p], profile[q])
+        near = least <= most
+        yield p[near], q[near], least[near]
+
+
+def _meeting(group: pa.RecordBatch, similarity: float) -> Iterator[pa.RecordBatch]:
+    """Members of some pair that may be a link."""
+    some = np.zeros(group.num_rows, bool)
+    for p, q, _ in _group_pairs(group, similarity, group.column("root").to_numpy()):
+        some[p] = some[q] = True
+    if some.any():
+        yield group.filter(pa.array(some))
+
 
+def _group_links(group: pa.RecordBatch, similarity: float) -> Iterator[pa.RecordBatch]:
+    """Links that join the group's classes as all its links would; the greater node comes first.
 
-def _pairs_of_blocks(similarity: float):
-    """Pairs of each group of blocks; groups arrive one after the other and may be cut by batches."""
+    Two members that meet in several buckets are compared in the first of these, in one of a few orders chosen by node: so
+    the pairs of many texts that share many buckets are spread over them.
+    """
+    node, root = (group.column(c).to_numpy() for c in ("node", "root"))
+    classes, draw = root.copy(), group.column("draw")[0].as_py()
+    draws, words = (group.column(c).to_pylist() for c in ("draws", "words"))
+    words = [np.frombuffer(x, np.uint32) for x in words]
+    earlier = functools.cache(lambda salt: [frozenset(d for d in x if d ^ salt < draw ^ salt) for x in draws])
+    found = []
+    for p, q, least in _group_pairs(group, similarity, classes):
+        order = np.argsort(least, kind="stable")
+        for x, y in zip(p[order].tolist(), q[order].tolist(), strict=True):
+            if classes[x] == classes[y]:
+                continue
+            before = earlier(ORDERS[max(node[x], node[y]) % len(ORDERS)])
+            if before[x].isdisjoint(before[y]) and alike(words[x], words[y], similarity):
+                classes[classes == classes[x]] = classes[y]
+                found.append((x, y) if node[x] > node[y] else (y, x))
+    if found:
+        a, b = np.array(found).T
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (node[a], node[b], root[a], root[b])], names=PAIR)
 
-    def pairs(batch: pa.RecordBatch, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        found = [_group_pairs(batch.slice(a, b - a), similarity) for a, b in zip(starts, starts[1:], strict=False) if b - a > 1]
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in np.concatenate(found, axis=1)], names=PAIR)
+
+def _by_group(use: Callable[[pa.RecordBatch, float], Iterator[pa.RecordBatch]], similarity: float):
+    """``use`` for each group of blocks; groups arrive one after the other and may be cut by batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held: list[pa.RecordBatch] = []
+        last = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            if held is not None:
-                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
             keys = np.stack([batch.column(c).to_numpy() for c in GROUP])
-            starts = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1])
-            yield from pairs(batch, starts)
-            held = batch.slice(starts[-1])
-        if held is not None:
-            yield from pairs(held, np.array([0, held.num_rows]))
+            starts = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1, [batch.num_rows]])
+            for a, b in zip(starts, starts[1:], strict=False):
+                if held and tuple(keys[:, a]) != last:
+                    yield from use(_joined(held), similarity)
+                    held = []
+                held.append(batch.slice(a, b - a))
+                last = tuple(keys[:, a])
+        if held:
+            yield from use(_joined(held), similarity)
 
     return run
 
 
+def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+
 def _aligned(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -359,7 +395,8 @@ def _in_blocks(inside: DataFrame, similarity: float) -> DataFrame:
     by_length = F.floor(F.log("n") / F.lit(np.log(1 / similarity) + 1e-9)) if similarity < 1 else F.col("n")
     length = F.when(F.col("size") > BLOCK, by_length).otherwise(0).cast("int")
     members = settled(inside.join(sizes.hint("merge"), "draw").select("draw", "node", "n", "root", length.alias("c")))
-    cells = members.groupBy("draw", "c").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_WORDS)).cast("int")
+    cells = members.groupBy("draw", "c").agg(blocks.alias("blocks"))
     along = Window.partitionBy("draw").orderBy("c")
     beside = lambda other, at: F.when(other("c").over(along) == F.col("c") + at, other("blocks").over(along)).otherwise(0)
     cells = settled(cells.select("draw", "c", "blocks", beside(F.lead, 1).alias("above"), beside(F.lag, -1).alias("below")))
@@ -412,10 +449,9 @@ def near_duplicates(
     roots = settled(nodes.join(members, "node").select("node", "n", F.col("node").alias("root")))
     found: list[DataFrame] = []
 
-    def link(near: DataFrame) -> None:
-        """Align pairs, keep the links and join their classes."""
+    def join_classes(new: DataFrame) -> None:
+        """Keep the links and join their classes."""
         nonlocal roots
-        new = settled(map_arrow(_with_both(near, words.select("node", "words"), {"words": "others"}), _aligned(similarity), types))
         found.append(new.select("a", "b"))
         if not new.isEmpty():
             # Only classes that were linked in this round are joined, so their graph is small.
@@ -423,38 +459,29 @@ def near_duplicates(
             before, roots = roots, settled(roots.join(joined, "root", "left").select("node", "n", F.coalesce("to", "root").alias("root")))
             spent(before)
 
-    compared = []
-    for turn in range(2):
-        inside = shared.join(roots, "node")
-        chosen = inside.groupBy("draw").agg(F.first("weight").alias("weight"), F.min(F.struct("node", "n", "root")).alias("chosen"), F.min("root").alias("low"), F.max("root").alias("high"))
-        chosen = settled(chosen.where("low != high").select("draw", "weight", "chosen"))
-        pairs = inside.drop("weight").join(chosen, "draw").where(F.col("root") != F.col("chosen.root"))
-        longer = F.greatest("n", "chosen.n")
-        pairs = pairs.where(F.abs(F.col("n") - F.col("chosen.n")) <= F.floor(F.lit(1 - similarity) * longer + F.lit(1e-9)))
-        pairs = pairs.select(F.col("node").alias("a"), F.col("chosen.node").alias("b"), F.col("root").alias("ra"), F.col("chosen.root").alias("rb"), "weight")
-        pairs = pairs.groupBy(*PAIR).agg(F.sum("weight").alias("count"))
-        if not turn:  # the most promising first: the others seldom have to be aligned any more
-            best = Window.partitionBy("a").orderBy(F.desc("count"), F.xxhash64("b"), "b")
-            pairs = pairs.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= FIRST_CANDIDATES)
-        near = settled(map_arrow(_with_both(pairs.select(*PAIR), counts.drop("present"), {"n": "m", "profile": "others"}), _may_link(similarity), types))
-        link(near)
-        compared.append(near)
-        spent(chosen)
+    inside = shared.join(roots, "node")
+    chosen = inside.groupBy("draw").agg(F.first("weight").alias("weight"), F.min(F.struct("node", "n", "root")).alias("chosen"), F.min("root").alias("low"), F.max("root").alias("high"))
+    chosen = settled(chosen.where("low != high").select("draw", "weight", "chosen"))
+    pairs = inside.drop("weight").join(chosen, "draw").where(F.col("root") != F.col("chosen.root"))
+    longer = F.greatest("n", "chosen.n")
+    pairs = pairs.where(F.abs(F.col("n") - F.col("chosen.n")) <= F.floor(F.lit(1 - similarity) * longer + F.lit(1e-9)))
+    pairs = pairs.select(F.col("node").alias("a"), F.col("chosen.node").alias("b"), F.col("root").alias("ra"), F.col("chosen.root").alias("rb"), "weight")
+    pairs = pairs.groupBy(*PAIR).agg(F.sum("weight").alias("count"))
+    best = Window.partitionBy("a").orderBy(F.desc("count"), F.xxhash64("b"), "b")  # the most promising
+    pairs = pairs.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= FIRST_CANDIDATES)
+    near = settled(map_arrow(_with_both(pairs.select(*PAIR), counts.drop("present"), {"n": "m", "profile": "others"}), _may_link(similarity), types))
+    join_classes(settled(map_arrow(_with_both(near, words.select("node", "words"), {"words": "others"}), _aligned(similarity), types)))
+    spent(chosen, near)
+    dealt = lambda groups: groups.repartition(*GROUP).sortWithinPartitions(*GROUP)
     groups = _in_blocks(shared.join(roots, "node"), similarity).join(counts.select("node", "profile", "present").hint("merge"), "node")
-    groups = groups.select(*GROUP, "right", "node", "n", "root", "profile", "present").repartition(*GROUP).sortWithinPartitions(*GROUP)
-    pairs = map_arrow(groups, _pairs_of_blocks(similarity), types).distinct()
-    before = compared[0].unionByName(compared[1]).select("a", "b")
-    pairs = settled(pairs.join(before.hint("merge"), ["a", "b"], "left_anti").select(*PAIR))
-    # Of each two classes a few pairs first: mostly they are one class then, and the others need no alignment.
-    nth = F.row_number().over(Window.partitionBy("ra", "rb").orderBy(F.xxhash64("a", "b"), "a", "b"))
-    ahead = settled(pairs.withColumn("nth", nth).where(F.col("nth") <= AHEAD).select(*PAIR))
-    link(ahead)
-    rest = pairs.join(ahead.select("a", "b").hint("merge"), ["a", "b"], "left_anti").select("a", "b")
-    for end in ("a", "b"):
-        rest = rest.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"r{end}")).hint("merge"), end)
-    link(settled(rest.where("ra != rb").select(*PAIR)))
+    groups = dealt(groups.select(*GROUP, "right", "node", "n", "root", "profile", "present"))
+    meeting = settled(map_arrow(groups, _by_group(_meeting, similarity), groups.schema))
+    if not meeting.isEmpty():
+        draws = meeting.groupBy("node").agg(F.collect_set("draw").alias("draws"))
+        met = meeting.join(draws.hint("merge"), "node").join(words.select("node", "words").hint("merge"), "node")
+        join_classes(settled(map_arrow(dealt(met), _by_group(_group_links, similarity), types)))
     links = functools.reduce(DataFrame.unionByName, found)
-    spent(*compared, shared, pairs, ahead)
+    spent(shared, meeting)
     several = roots.where("root != node").select("root").distinct()
     named = nodes.select("node", "a", "b", "k").join(roots.join(several, "root", "left_semi").select("node", "root"), "node")
     leaders = named.groupBy("root").agg(F.min(F.struct(F.col("k.doc_id").alias("id"), "a", "b", "k")).alias("leader"))

@@ -173,3 +173,21 @@ def test_words_present_never_exceed_the_edits():
         a, b = (draw.integers(0, 12, draw.integers(1, 25)).astype(np.uint64) * np.uint64(977) for _ in range(2))
         one, other = (np.unpackbits(x) for x in order_minhash.presence(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)])))
         assert max((one > other).sum(), (other > one).sum()) <= brute.edits(a.tolist(), b.tolist())
+
+
+def test_candidates_in_a_bucket_are_no_rows(make, monkeypatch):
+    """Texts of the same words in another order behind a common passage: no bound tells them apart, and each pair is aligned."""
+    draw, passage, words, written = random.Random(5), prose(1, 60, 5000), prose(2, 60, 5000).split(), []
+    rows = [(i, f"{passage} {' '.join(draw.sample(words, 60))}") for i in range(40)]
+    settled = order_minhash.settled
+
+    def counted(df):
+        out = settled(df)
+        if set(order_minhash.PAIR) <= set(out.columns):
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(order_minhash, "settled", counted)
+    found, _ = order_minhash.near_duplicates(make(rows))
+    assert {r["class_id"] for r in found.collect()} == set(range(40))
+    assert max(written) <= order_minhash.FIRST_CANDIDATES * len(rows) < 40 * 39 // 2 - 40
