@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from docledger.llm import buffers
 from docledger.llm.order_minhash import near_duplicates
 from docledger.llm.repeats import row_groups, symbol_values
-from docledger.llm.store import fresh, map_arrow, row_key, settled
+from docledger.llm.store import fresh, map_arrow, row_key, settled, spent
 
 DEPTH, MIN_DOCUMENTS, FIXED, MOST = 3, 5, 0.5, 0.5
 SHARES = (0.0, 0.1, 0.5)  # of a leaf's documents that have a token which stays
@@ -136,7 +136,8 @@ def recurring_lines(
     )
     leaves = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("several"), F.sum("docs").alias("in_leaf"))
     leaves = settled(leaves.where(F.col("in_leaf") >= min_documents))
-    lines = settled(lines.join(leaves, "leaf"))
+    counted, lines = lines, settled(lines.join(leaves, "leaf"))
+    spent(counted)
     enough = F.lit(fixed) * F.col("n")
     alone = lines.where((F.col("several") == 1) & (F.col("fixed") >= enough) & (F.col("fixed") > 0))
     alone = alone.select(*LINE, F.col("h1").alias("t1"), F.col("h2").alias("t2"), "docs")
@@ -160,16 +161,21 @@ def recurring_lines(
     placed = alone.unionByName(general)
     common = placed.groupBy("leaf", "t1", "t2").agg(F.sum("docs").alias("d")).where(F.col("d") >= min_documents)
     placed = settled(placed.join(common, ["leaf", "t1", "t2"]).select(*LINE, "t1", "t2"))
-    found = settled(rows.join(placed, LINE).select("k", "line", "leaf", "t1", "t2"))
-    documents = found.select("leaf", "t1", "t2", "k").distinct().groupBy("leaf", "t1", "t2").count()
+    spent(tokens, places, leaves, lines)
+    placed_lines = settled(rows.join(placed, LINE).select("k", "line", "leaf", "t1", "t2"))
+    spent(rows, placed)
+    documents = placed_lines.select("leaf", "t1", "t2", "k").distinct().groupBy("leaf", "t1", "t2").count()
     recurring = settled(documents.where(F.col("count") >= min_documents))
-    found = found.join(recurring, ["leaf", "t1", "t2"], "left_semi")
+    found = placed_lines.join(recurring, ["leaf", "t1", "t2"], "left_semi")
     if by_class:
         found = settled(found)
         some = settled(found.select("k").distinct())
+        spent(placed_lines, recurring)
         chosen = docs.select("doc_id", "text", row_key().alias("k")).join(some.hint("merge"), "k", "left_semi").dropDuplicates(["k"])
-        classes, _ = near_duplicates(chosen.select("doc_id", "text"))
+        chosen = settled(chosen.select("doc_id", "text"))  # read twice
+        classes, _ = near_duplicates(chosen)
         classes = settled(classes.select("k", F.struct("class_id", "class_hash").alias("class")))
+        spent(chosen, some)
         counted = found.select("leaf", "t1", "t2", "k").distinct().join(classes.hint("merge"), "k").select("leaf", "t1", "t2", "class").distinct()
         recurring = settled(counted.groupBy("leaf", "t1", "t2").count().where(F.col("count") >= min_documents))
         found = found.join(recurring, ["leaf", "t1", "t2"], "left_semi")

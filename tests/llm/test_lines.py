@@ -3,7 +3,7 @@ import random
 import brute
 import corpus_pipeline
 
-from docledger.llm import line_templates, queries
+from docledger.llm import line_templates, queries, store
 
 
 def results(df):
@@ -73,3 +73,14 @@ def test_fields_are_general_at_every_size(make):
             rows.append((i, f"{line}\n{' '.join(f'own{x}{name(i)}' for x in letters)}"))
         found = line_templates.drop_recurring_lines(make(rows)).collect()
         assert sum(r["dropped"] == [0] for r in found) == n
+
+
+def test_files_of_finished_steps_go(make, monkeypatch):
+    """Lines, tokens and chosen texts are not kept until the end."""
+    written, settled = [], line_templates.settled
+    monkeypatch.setattr(line_templates, "settled", lambda df: written.append(settled(df)) or written[-1])
+    rows = [(i, f"the same line in each text\n{brute.prose(i, 30)}") for i in range(8)]
+    found = line_templates.recurring_lines(make(rows), by_class=True)
+    assert {(r["k"]["doc_id"], r["line"]) for r in found.collect()} == {(i, 0) for i in range(8)}
+    left = [set(df.columns) for df in written if df in store._folders]
+    assert left and not any(c & {"once", "token", "sample", "text"} for c in left)
