@@ -45,11 +45,16 @@ def contains_any(c: Column, words: tuple[str, ...]) -> Column:
     """
     if any("k" in w or w.endswith("i") or not w.isascii() or w != w.lower() for w in words):
         return F.coalesce(c.rlike("(?i)" + "|".join(re.escape(w) for w in words)), F.lit(False))
+    return holds_any(F.lower(c), words)
+
+
+def holds_any(low: Column, words: tuple[str, ...]) -> Column:
+    """The text, which is in lower case, holds one of the words; null text holds none."""
     # A word that holds another of them adds nothing.
     least = [w for w in dict.fromkeys(words) if not any(v != w and v in w for v in words)]
     found = F.lit(False)
     for w in least:
-        found = found | F.lower(c).contains(w)
+        found = found | low.contains(w)
     return F.coalesce(found, F.lit(False))
 
 

@@ -229,3 +229,37 @@ def test_tables_of_one_bucket_need_one_exchange(spark):
         assert shown(parse(one), *columns) == shown(parse(many), *columns)
     assert shown(cell_tables.union_candidates(one), *columns, "path") == shown(cell_tables.union_candidates(many), *columns, "path")
     assert shown(cell_tables.choose_items(cells), *columns) == shown(cell_tables.choose_items(cells, True), *columns)
+
+
+def test_column_places_are_found_once_a_table(spark, monkeypatch):
+    """No filter works fields out again, and no generated method is longer than the JVM compiles (8,000 bytes)."""
+    cells = [
+        ("a", 0, 0, ["Item", "Details", "", "Unit Price", ""]), ("a", 0, 1, ["", "x", " QTY ", "", "Total"]), ("a", 0, 2, ["pen", "blue", "2", "$1.50", ""]),
+        ("b", 0, 0, ["Item Name", "Colour", None]), ("b", 0, 1, ["", "", "Price"]), ("b", 0, 2, ["ink", "red", "$4.00"]), ("b", 0, 3, ["Subtotal", "", "4.00"]),
+        ("c", 0, 0, ["Amount", "Rate", None]), ("c", 0, 1, ["3", "2.00", "x"]), (None, 0, 0, ["Item", "Qty"]), (None, 0, 1, ["pen", "2"]),
+    ]
+    cells = spark.createDataFrame(cells, "doc_id string, table_no int, row_no int, cells array<string>")
+    rows = cell_tables.table_rows(cells, False)
+    headed = cell_tables.apply_header(rows)
+    places = [f"{target}_at" for target in cell_tables.HEADER_WORDS]
+    again = cell_tables.map_columns(headed.drop("_columns"))
+    assert shown(cell_tables.map_columns(headed), "doc_id", "pos", *places) == shown(again, "doc_id", "pos", *places)
+    items = cell_tables.header_table_to_items(rows)
+    found = {(r.doc_id, r.item, r.description, r.quantity, r.unit_price, r.line_total) for r in items.collect()}
+    assert found == {("a", "pen", "blue", 2.0, 1.5, 3.0), ("b", "ink", "", None, 4.0, None), ("c", "", "", 3.0, 2.0, 3.0)}, found
+    filters = [x for x in items._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in x]
+    assert filters and not any("array_position" in x or "regexp" in x for x in filters), filters
+
+    written = []
+    monkeypatch.setattr(cell_tables, "stored", lambda df: written.append(df) or df)
+    cell_tables.union_candidates(rows)
+    was = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for df in (items, *written):
+            plan = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package$").__getattr__("MODULE$")
+            code = plan.codegenString(df.select("*")._jdf.queryExecution().executedPlan())
+            sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+            assert sizes and max(sizes) < 8000, sizes
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", was)
