@@ -37,7 +37,7 @@ from docledger.llm.store import fresh, map_arrow, row_key, settled, spent
 
 DEPTH, MIN_DOCUMENTS, FIXED, MOST = 3, 5, 0.5, 0.5
 SHARES = (0.0, 0.1, 0.5)  # of a leaf's documents that have a token which stays
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 VARIABLE = np.uint64(0x2A)
 _DIGIT = np.zeros(256, np.int32)
 _DIGIT[ord("0") : ord("9") + 1] = 1

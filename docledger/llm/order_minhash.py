@@ -46,6 +46,7 @@ PRESENT = 1024  # bits for the words present, with their occurrence
 BLOCK = 4096  # members of a bucket that are compared at once
 BLOCK_WORDS = 1 << 22  # of them
 PAIRS_AT_ONCE = 1 << 15
+CHUNK = 1 << 19  # bytes of text that are worked on at once: their arrays of hashes take some 20 times as much
 FIRST_BAND = 64
 PLACES_BYTES = 1 << 25  # for the places of words while two texts are aligned
 FIRST_CANDIDATES = 8  # of a text, before all pairs are compared
@@ -179,8 +180,8 @@ def edits_at_least(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     Words that one text has more often than the other have to be deleted or replaced. Putting words together and cutting
     counts can only make their number smaller.
     """
-    more = a.astype(np.int16) - b.astype(np.int16)
-    return np.maximum(np.maximum(more, 0).sum(axis=1), np.maximum(-more, 0).sum(axis=1))
+    most = np.maximum(a, b).sum(axis=1, dtype=np.int64)  # bytes are not widened before they are added up
+    return most - np.minimum(a.sum(axis=1, dtype=np.int64), b.sum(axis=1, dtype=np.int64))
 
 
 def profiles(words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -203,7 +204,7 @@ def _sketch(shingle: int, draws: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = buffers.text_bytes(batch.column("text"))
-            for a, b in row_groups(offsets, 1 << 21):
+            for a, b in row_groups(offsets, CHUNK):
                 values, at = symbol_values(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], words=True)
                 own = [buffers.Rolling(v, which).ranges(at[:-1], at[1:]).view(np.int64) for which, v in enumerate(values)]
                 n = np.diff(at)
@@ -225,7 +226,7 @@ def _as_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts as 32-bit word hashes, their profiles and the words present."""
     for batch in batches:
         data, offsets = buffers.text_bytes(batch.column("text"))
-        for a, b in row_groups(offsets, 1 << 21):
+        for a, b in row_groups(offsets, CHUNK):
             values, at = symbol_values(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], words=True)
             short = (values[0] >> np.uint64(32)).astype(np.uint32)
             words = [short[x:y].tobytes() for x, y in zip(at, at[1:], strict=False)]

@@ -3,6 +3,7 @@ import tracemalloc
 
 import brute
 import numpy as np
+import pyarrow as pa
 from brute import prose
 
 from docledger.llm import components, order_minhash
@@ -191,3 +192,23 @@ def test_candidates_in_a_bucket_are_no_rows(make, monkeypatch):
     found, _ = order_minhash.near_duplicates(make(rows))
     assert {r["class_id"] for r in found.collect()} == set(range(40))
     assert max(written) <= order_minhash.FIRST_CANDIDATES * len(rows) < 40 * 39 // 2 - 40
+
+
+def test_bounds_and_sketches_take_little_memory():
+    """Counts are compared as bytes, and texts of a batch are hashed some at a time."""
+    rng = np.random.default_rng(1)
+    one, other = (rng.integers(0, 256, (8192, order_minhash.PROFILE), dtype=np.uint8) for _ in range(2))
+    more = one.astype(np.int64) - other
+    least = np.maximum(np.maximum(more, 0).sum(axis=1), np.maximum(-more, 0).sum(axis=1))
+    texts = [" ".join(map(str, rng.integers(0, 5000, 2000))) for _ in range(500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(500)), pa.array(texts)], names=["k", "text"])
+    size = sum(map(len, texts))
+    for use, most in ((lambda: order_minhash.edits_at_least(one, other), 2 * one.nbytes), (lambda: list(order_minhash._sketch(5, 32)(iter([batch]))), 12 * size)):
+        use()
+        tracemalloc.start()
+        found = use()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < most, (peak, most)
+        if isinstance(found, np.ndarray):
+            assert (found == least).all()
