@@ -47,6 +47,7 @@ BLOCK = 4096  # members of a bucket that are compared at once
 BLOCK_WORDS = 1 << 22  # of them
 PAIRS_AT_ONCE = 1 << 15
 CHUNK = 1 << 19  # bytes of text that are worked on at once: their arrays of hashes take some 20 times as much
+GRAM = 3  # words whose runs bound the edits of two texts before these are aligned
 FIRST_BAND = 64
 PLACES_BYTES = 1 << 25  # for the places of words while two texts are aligned
 FIRST_CANDIDATES = 8  # of a text, before all pairs are compared
@@ -58,10 +59,23 @@ _PLACE = np.uint64((1 << 26) - 1)
 ORDERS = _SALTS[:8].view(np.int64).tolist()  # of buckets: by their number with these bits turned
 
 
+def _in_order(values: np.ndarray) -> np.ndarray:
+    """Their places so that equal values follow each other by place; most often by one sort without places."""
+    if len(values) <= int(_PLACE):
+        ranked = (values & ~_PLACE) | np.arange(len(values), dtype=np.uint64)
+        ranked.sort()
+        order = (ranked & _PLACE).astype(np.int64)
+        ranked >>= np.uint64(26)
+        beside = ranked[1:] == ranked[:-1]
+        if np.array_equal(values[order[1:]][beside], values[order[:-1]][beside]):  # else other values lie between equal ones
+            return order
+    return np.argsort(values, kind="stable")
+
+
 def occurrence_labelled(hashes: np.ndarray, row: np.ndarray) -> np.ndarray:
     """Hashes that also tell equal ones in one row apart by their order."""
     own = buffers.mixed(hashes + buffers.mixed(row.astype(np.uint64) + np.uint64(1)))
-    order = np.argsort(own, kind="stable")
+    order = _in_order(own)
     same = np.zeros(len(own), bool)
     same[1:] = own[order[1:]] == own[order[:-1]]
     if not same.any():
@@ -85,8 +99,12 @@ def sketches(values: np.ndarray, offsets: np.ndarray, shingle: int, draws: int)
     at = np.arange(len(labelled), dtype=np.uint64)
     single = counts == 1
     top = np.uint64(np.iinfo(np.uint64).max)
+    ranked = np.empty_like(labelled)
     for i in range(draws):
-        ranked = (((labelled ^ _SALTS[i]) * _FACTORS[i]) & ~_PLACE) | at
+        np.bitwise_xor(labelled, _SALTS[i], out=ranked)
+        ranked *= _FACTORS[i]
+        ranked &= ~_PLACE
+        ranked |= at
         one = (np.minimum.reduceat(ranked, first[:-1]) & _PLACE).astype(np.int64)
         labelled_one = labelled[one]
         ranked[one] = top
@@ -119,12 +137,8 @@ def _near(places: Sequence[int], start: int, width: int) -> int:
     return int.from_bytes(bits, "little")
 
 
-def word_edits(a: np.ndarray, b: np.ndarray, most: int) -> int:
-    """Insertions, deletions and replacements between two sequences, or more than ``most``.
-
-    Bit-parallel over the rows ``j - most .. j + most`` of each column ``j``: bits hold the differences of neighbouring
-    cells, the distance is followed along the diagonal that ends in the last cell.
-    """
+def between(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both without the words that they begin and end with alike."""
     same = min(len(a), len(b))
     differ = np.flatnonzero(a[:same] != b[:same])
     head = int(differ[0]) if len(differ) else same
@@ -132,7 +146,16 @@ def word_edits(a: np.ndarray, b: np.ndarray, most: int) -> int:
     same = min(len(a), len(b))
     differ = np.flatnonzero(a[len(a) - same :][::-1] != b[len(b) - same :][::-1])
     tail = int(differ[0]) if len(differ) else same
-    rows, columns = a[: len(a) - tail].tolist(), b[: len(b) - tail].tolist()
+    return a[: len(a) - tail], b[: len(b) - tail]
+
+
+def word_edits(a: np.ndarray, b: np.ndarray, most: int) -> int:
+    """Insertions, deletions and replacements between two sequences, or more than ``most``.
+
+    Bit-parallel over the rows ``j - most .. j + most`` of each column ``j``: bits hold the differences of neighbouring
+    cells, the distance is followed along the diagonal that ends in the last cell.
+    """
+    rows, columns = (x.tolist() for x in between(a, b))
     shift = len(rows) - len(columns)
     if abs(shift) > most or not rows or not columns:
         return abs(shift)
@@ -163,11 +186,65 @@ def word_edits(a: np.ndarray, b: np.ndarray, most: int) -> int:
     return distance
 
 
+def grams(words: np.ndarray) -> np.ndarray:
+    """One value for each ``GRAM`` words that follow each other."""
+    n = max(0, len(words) - GRAM + 1)
+    return functools.reduce(np.add, (words[i : i + n] * f for i, f in enumerate(_FACTORS[:GRAM])))
+
+
+def bounds(a: np.ndarray, b: np.ndarray, most: int) -> tuple[int, int]:
+    """Word edits between two texts are no fewer and no more; the second counts only words at most ``most`` places apart.
+
+    An edit changes ``GRAM`` runs of words at most. Words stay where runs that each text has once lie in one order in both;
+    what is between is replaced.
+    """
+    one, other = grams(a), grams(b)
+    both = np.concatenate([one, other])
+    order = np.argsort(both, kind="stable")
+    both = both[order]
+    first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])) if len(both) else np.zeros(0, int)
+    size = np.diff(first, append=len(both))
+    of_one = np.diff(np.searchsorted(np.flatnonzero(order < len(one)), np.append(first, len(both))))
+    shared = int(np.minimum(of_one, size - of_one).sum())
+    least = max(abs(len(a) - len(b)), -((shared - max(len(one), len(other))) // GRAM))
+    once = first[(size == 2) & (of_one == 1)]
+    i, j = order[once], order[once + 1] - len(one)
+    near = np.abs(i - j) <= most
+    at = np.full(len(a), -1)
+    for step in range(GRAM):
+        at[i[near] + step] = j[near] + step
+    i = np.flatnonzero(at >= 0)
+    i = i[a[i] == b[at[i]]]
+    j = at[i]
+    # Those that come after all before them and before all after them.
+    ends = np.concatenate([[-1], j, [len(b)]])
+    stay = (j > np.maximum.accumulate(ends)[:-2]) & (j < np.minimum.accumulate(ends[::-1])[::-1][2:])
+    gaps = [np.diff(np.concatenate([[-1], x[stay], [len(t)]])) - 1 for x, t in ((i, a), (j, b))]
+    return least, int(np.maximum(*gaps).sum())
+
+
+_met = np.zeros(1 << 20, bool)
+
+
+def strange(a: np.ndarray, b: np.ndarray) -> int:
+    """How many of ``b`` are not in ``a``, values below 2^20, or fewer."""
+    _met[a] = True
+    here = int(np.count_nonzero(_met[b]))
+    _met[a] = False
+    return len(b) - here
+
+
 def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     longer = max(len(a), len(b))
     most = int((1 - similarity) * longer + 1e-9)
+    a, b = between(a, b)
+    if len(a) == len(b) and np.count_nonzero(a != b) <= most:
+        return True
+    least, enough = bounds(a, b, most)
+    if least > most or enough <= most:  # most pairs are told by that
+        return least <= most
     band = FIRST_BAND  # near copies are told in a narrow one, whatever their length
-    while band < most:
+    while 2 * band < most:
         if word_edits(a, b, band) <= band:
             return True
         band *= 4
@@ -227,7 +304,7 @@ def _as_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = buffers.text_bytes(batch.column("text"))
         for a, b in row_groups(offsets, CHUNK):
-            values, at = symbol_values(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], words=True)
+            values, at = symbol_values(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], words=True, values=1)
             short = (values[0] >> np.uint64(32)).astype(np.uint32)
             words = [short[x:y].tobytes() for x, y in zip(at, at[1:], strict=False)]
             counts = [x.tobytes() for x in profiles(short, at)]
@@ -312,6 +389,7 @@ def _group_links(group: pa.RecordBatch, similarity: float) -> Iterator[pa.Record
     classes, draw = root.copy(), group.column("draw")[0].as_py()
     draws, words = (group.column(c).to_pylist() for c in ("draws", "words"))
     words = [np.frombuffer(x, np.uint32) for x in words]
+    runs = functools.cache(lambda x: (grams(words[x]) >> np.uint64(44)).astype(np.uint32))
     earlier = functools.cache(lambda salt: [frozenset(d for d in x if d ^ salt < draw ^ salt) for x in draws])
     found = []
     for p, q, least in _group_pairs(group, similarity, classes):
@@ -320,7 +398,11 @@ def _group_links(group: pa.RecordBatch, similarity: float) -> Iterator[pa.Record
             if classes[x] == classes[y]:
                 continue
             before = earlier(ORDERS[max(node[x], node[y]) % len(ORDERS)])
-            if before[x].isdisjoint(before[y]) and alike(words[x], words[y], similarity):
+            if not before[x].isdisjoint(before[y]):
+                continue
+            one, other = (x, y) if len(words[x]) < len(words[y]) else (y, x)
+            most = int((1 - similarity) * len(words[other]) + 1e-9)
+            if strange(runs(one), runs(other)) <= GRAM * most and alike(words[x], words[y], similarity):
                 classes[classes == classes[x]] = classes[y]
                 found.append((x, y) if node[x] > node[y] else (y, x))
     if found:

@@ -212,3 +212,58 @@ def test_bounds_and_sketches_take_little_memory():
         assert peak < most, (peak, most)
         if isinstance(found, np.ndarray):
             assert (found == least).all()
+
+
+def test_equal_values_follow_each_other_by_place():
+    draw = np.random.default_rng(3)
+    close = draw.integers(0, 4, 5000).astype(np.uint64)  # same first bits, so that they lie between each other
+    for values in (draw.integers(0, 40, 5000, dtype=np.uint64) << np.uint64(40), close, close[:1], close[:0]):
+        assert (order_minhash._in_order(values) == np.argsort(values, kind="stable")).all()
+
+
+def test_bounds_hold_the_edits():
+    draw = np.random.default_rng(4)
+    for _ in range(1500):
+        a = draw.integers(0, draw.choice([2, 5, 30, 1000]), draw.integers(0, 50)).astype(np.uint32)
+        b = a.tolist()
+        for _ in range(draw.integers(0, 8)):
+            at = int(draw.integers(0, len(b) + 1))
+            b[at : at + 1] = [[], [9], [9, 7], b[:3]][draw.integers(0, 4)]
+        b = np.array(b[5:] + b[:5] if draw.random() < 0.1 else b, np.uint32)
+        edits = brute.edits(a.tolist(), b.tolist())
+        for most in (edits, max(len(a), len(b)) // 5):
+            least, enough = order_minhash.bounds(a, b, most)
+            assert least <= edits <= enough
+        one, other = ((order_minhash.grams(x) >> np.uint64(44)).astype(np.uint32) for x in (a, b))
+        assert order_minhash.strange(one, other) <= order_minhash.GRAM * edits
+
+
+def test_unlike_texts_of_the_same_words_are_not_aligned(monkeypatch):
+    """Many long texts with equal word counts share a passage: none is aligned with another."""
+    draw = np.random.default_rng(5)
+    words = np.repeat(np.arange(40, dtype=np.uint32), 25)
+    texts = [np.concatenate([np.arange(100, 110, dtype=np.uint32), draw.permutation(words)]) for _ in range(30)]
+    near = texts[0].copy()
+    near[[50, 500]] = 7
+    texts.append(near)
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in texts])])
+    flat, nodes = np.concatenate(texts), np.arange(len(texts))
+    group = pa.RecordBatch.from_pydict(
+        {
+            **{name: np.zeros(len(texts), np.int64) for name in order_minhash.GROUP},
+            "right": np.zeros(len(texts), bool),
+            "node": nodes,
+            "n": np.diff(offsets),
+            "root": nodes,
+            "profile": [x.tobytes() for x in order_minhash.profiles(flat, offsets)],
+            "present": [x.tobytes() for x in order_minhash.presence(flat.astype(np.uint64), offsets)],
+            "words": [x.tobytes() for x in texts],
+            "draws": [[0]] * len(texts),
+        }
+    )
+    aligned = []
+    word_edits = order_minhash.word_edits
+    monkeypatch.setattr(order_minhash, "word_edits", lambda *a: aligned.append(a) or word_edits(*a))
+    links = [x for found in order_minhash._group_links(group, 0.8) for x in found.to_pylist()]
+    assert [(x["a"], x["b"]) for x in links] == [(30, 0)]
+    assert len(aligned) <= 1
