@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docledger.functions.dates import load_timestamp
 from docledger.functions.text import blank_to_null
+from docledger.operators.lineage import read_from
 from docledger.operators.positions import numbered
 from docledger.schemas import DOCUMENTS_TABLE, ITEMS_TABLE, columns
 
@@ -60,8 +61,12 @@ def item_rows(silver: DataFrame) -> DataFrame:
 
 
 def assign_line_id(items: DataFrame, offset: int = 0) -> DataFrame:
-    """Add a unique ``id`` above ``offset``, without gaps, so that any number of loads fits."""
-    return numbered(items, "id").select((F.col("id") + F.lit(offset)).alias("id"), *items.columns)
+    """Add a unique ``id`` above ``offset``, without gaps, so that any number of loads fits.
+
+    The rows lie in files that :func:`~docledger.operators.lineage.spent` removes.
+    """
+    found = numbered(items, "id", compact=True)
+    return read_from(found.select((F.col("id") + F.lit(offset)).alias("id"), *items.columns), found)
 
 
 def distinct_keys(df: DataFrame, key: str = "document_id") -> DataFrame:

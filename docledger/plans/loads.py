@@ -9,6 +9,7 @@ from dataclasses import replace as changed
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from docledger.operators.lineage import free_shuffles, spent
 from docledger.operators.tables import assign_line_id, distinct_keys
 from docledger.plans import gold
 from docledger.sources.ledger import MAX_PARTS, Ledger, Version, bucket_of_key
@@ -80,9 +81,13 @@ def load_batch(ledger: Ledger, documents: DataFrame, items: DataFrame, run_id: s
     of_documents, of_items = Observation(), Observation()
     watched = documents.withColumn("bucket", key)
     ledger.write("documents", watched.observe(of_documents, F.count(F.lit(1)).alias("loaded_docs"), F.count_if(missing).alias("no_key")), run)
-    watched = assign_line_id(items, base.last_id).withColumn("bucket", key)
+    free_shuffles(ledger.spark)
+    with_ids = assign_line_id(items, base.last_id)
+    watched = with_ids.withColumn("bucket", key)
     loose = F.count_if(F.col("document_id").isNull())
     ledger.write("line_items", watched.observe(of_items, F.count(F.lit(1)).alias("loaded_items"), loose.alias("loose_items")), run)
+    spent(with_ids)
+    free_shuffles(ledger.spark)
     counted = {"loaded_docs": 0, "no_key": 0, "loaded_items": 0, "loose_items": 0, **observed(of_documents), **observed(of_items)}
 
     touched = ledger.touched(run)
@@ -98,9 +103,11 @@ def load_batch(ledger: Ledger, documents: DataFrame, items: DataFrame, run_id: s
         for table in ("documents", "line_items"):
             old = ledger.read(table, base, copied).drop("run")
             ledger.write(table, old.join(gone, "document_id", "left_anti"), kept)
+            free_shuffles(ledger.spark)
     for part in [run, kept] if copied else [run]:
         for table, sums in gold.bucket_sums(*(ledger.rows_of_run(t, part) for t in ("documents", "line_items"))).items():
             ledger.write(table, sums, part)
+    free_shuffles(ledger.spark)
     parts = {b: (*(() if b in copied else base.parts.get(b, ())), *((kept,) if b in copied else ()), run) for b in touched}
     version = changed(
         base,

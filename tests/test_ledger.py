@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from docledger.operators import tables
+from docledger.operators import lineage, tables
 from docledger.plans import gold, loads, pipelines
 from docledger.schemas import DOCUMENTS_TABLE, ITEMS_TABLE, columns
 from docledger.sources import files
@@ -243,3 +243,29 @@ def test_damaged_receipt_files(spark, tmp_path):
     assert [r.document_id for r in run["line_items"].collect()] == ["WALMART-00-NA"]
     assert files.read_bronze_items(spark, str(tmp_path / "bronze"), "receipt").count() == 1
     assert run["documents"].where(F.col("doc_type") == "receipt").count() == 1
+
+
+def test_a_load_leaves_no_scratch_files(spark, tmp_path, batch, monkeypatch):
+    """Rows written to be numbered are removed, and numbering them deals none."""
+    scratch = tmp_path / "scratch"
+    monkeypatch.setattr(lineage, "fresh_folder", lambda _, name: f"{scratch}/{name}-{len(list(scratch.glob('*')))}")
+    spark.sparkContext.setCheckpointDir(str(scratch / "checkpoints"))
+    ledger = Ledger(spark, str(tmp_path / "l"), buckets=4)
+    documents, items = batch(some(1, range(30)))
+    numbered = tables.assign_line_id(items.repartition(3), 5)
+    assert sorted(r.id for r in numbered.collect()) == list(range(6, 66))
+    assert [p for p in scratch.rglob("part-*") if p.suffix == ".parquet"]
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(_part" not in plan.split("BroadcastHashJoin")[0]
+    lineage.spent(numbered)
+    loads.load_batch(ledger, documents, items, "one")
+    loads.load_batch(ledger, documents.limit(7), items.where("false"), "two")
+    assert not [p for p in scratch.rglob("*") if p.is_file() and p.name.startswith("part-")]
+
+
+def test_only_spent_files_go(spark, tmp_path, monkeypatch):
+    names = iter("abc")
+    monkeypatch.setattr(lineage, "fresh_folder", lambda *_: str(tmp_path / next(names)))
+    one, other = lineage.stored(spark.range(5)), lineage.stored(spark.range(7))
+    lineage.spent(lineage.read_from(one.select("id"), one), spark.range(3))
+    assert not (tmp_path / "a").exists() and other.count() == 7

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from docledger import schemas
 from docledger.operators import tables
-from docledger.operators.lineage import fresh_folder, stored
+from docledger.operators.lineage import fresh_folder, spent, stored
 from docledger.plans import gold, loads, pipelines
 from docledger.sources.ledger import Ledger
 from workload import views
@@ -29,6 +29,7 @@ def _two_loads(spark, sf) -> Ledger:
     changed = items.join(batch.select("document_id"), "document_id", "left_semi").withColumn("description", F.lit("Changed"))
     new = changed.withColumn("document_id", F.concat("document_id", F.lit("-new")))
     loads.load_batch(ledger, batch, changed.unionByName(new), "second")
+    spent(documents, items)
     return ledger
 
 
