@@ -132,7 +132,7 @@ def numbered(df: DataFrame, out: str, compact: bool = False) -> DataFrame:
     """Number all rows from 1 without gaps, in the order of their partitions and of the rows in them.
 
     The rows are checkpointed, so that their partitions stay as they are; the offsets are one row a partition. With
-    ``compact`` they are written as Parquet instead, a quarter of the size, and come back in any order; they can be removed by
+    ``compact`` they are written as Parquet instead, compressed, and come back in any order; they can be removed by
     :func:`~docledger.operators.lineage.spent` when the result has been read.
     """
     tagged = (stored if compact else write_once)(df.withColumn("_tag", F.monotonically_increasing_id()))
